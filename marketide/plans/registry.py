@@ -32,10 +32,12 @@ TRANSACTION_TABLES = ("order_items", "orders", "payments", "shipments", "returns
 
 
 def query(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
-    """Register a builder under its own name."""
+    """Register a builder under its own name. Dates leave as ISO text."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(roles.load_roles(tune(spark), sf_dir))
+        out = build(roles.load_roles(tune(spark), sf_dir))
+        dates = {c: F.col(c).cast("string") for c, kind in out.dtypes if kind == "date"}
+        return out.withColumns(dates) if dates else out
 
     REGISTRY[build.__name__] = run
     return build
@@ -60,6 +62,12 @@ def kept_daily(t: Tables) -> DataFrame:
     return materialise(daily(t).repartition(1))
 
 
+def _fact_sales(t: Tables) -> DataFrame:
+    return star.fact_sales(
+        *_pick(t, "order_items", "orders", "payments", "shipments", "returns", "products", "promotions")
+    )
+
+
 # --- star schema and lines -------------------------------------------------------
 
 
@@ -75,9 +83,7 @@ def dim_customer(t: Tables) -> DataFrame:
 
 @query
 def fact_sales(t: Tables) -> DataFrame:
-    return star.fact_sales(
-        *_pick(t, "order_items", "orders", "payments", "shipments", "returns", "products", "promotions")
-    )
+    return _fact_sales(t).withColumn("return_quantity", F.col("return_quantity").cast("double"))
 
 
 @query
@@ -198,24 +204,15 @@ def q6_age_group_orders(t: Tables) -> DataFrame:
     )
 
 
-def _fact_sales(t: Tables) -> DataFrame:
-    return star.fact_sales(
-        *_pick(t, "order_items", "orders", "payments", "shipments", "returns", "products", "promotions")
-    )
-
-
 @query
 def q7_region_revenue(t: Tables) -> DataFrame:
     regions = questions.q7_region_revenue(_fact_sales(t), _dim_customer(t))
-    return questions.top_label(regions, "region", "actual_revenue").withColumn(
-        "actual_revenue", F.round("actual_revenue", 2)
-    )
+    return questions.top_label(regions, "region", "actual_revenue")
 
 
 @query
 def q7_region_revenue_report(t: Tables) -> DataFrame:
-    regions = questions.q7_region_revenue(_fact_sales(t), _dim_customer(t))
-    return regions.withColumn("actual_revenue", F.round("actual_revenue", 2))
+    return questions.q7_region_revenue(_fact_sales(t), _dim_customer(t))
 
 
 @query
@@ -322,9 +319,7 @@ def table_summary(t: Tables) -> DataFrame:
 
 @query
 def latest_days(t: Tables) -> DataFrame:
-    return quality.preview(daily(t), 5, "date", last=True).withColumn(
-        "actual_revenue", F.round("actual_revenue", 2)
-    ).select("date", "actual_revenue", "quantity")
+    return quality.preview(daily(t).select("date", "actual_revenue", "quantity"), 5, "date", last=True)
 
 
 # --- encoders --------------------------------------------------------------------
@@ -401,10 +396,7 @@ def holiday_flags(t: Tables) -> DataFrame:
 @query
 def cpi_deflate(t: Tables) -> DataFrame:
     real = revenue.deflate(daily(t).select("date", "actual_revenue"), t["cpi"], real="real_revenue")
-    return real.select(
-        "date", "CPI", F.round("inflation_factor", 9).alias("inflation_factor"),
-        F.round("real_revenue", 2).alias("real_revenue"),
-    )
+    return real.drop("actual_revenue")
 
 
 @query
@@ -412,23 +404,23 @@ def inflation_lookup(t: Tables) -> DataFrame:
     days = daily(t).select("date", "actual_revenue")
     nominal = revenue.index_of_day(days, t["cpi"])
     return nominal.select(
-        "date", F.round("inflation_factor", 9).alias("inflation_factor"),
-        F.round(F.col("actual_revenue") * F.col("inflation_factor"), 2).alias("nominal_revenue"),
+        "date", "inflation_factor",
+        (F.col("actual_revenue") * F.col("inflation_factor")).alias("nominal_revenue"),
     )
 
 
-def _rounded(df: DataFrame, digits: int = 2) -> DataFrame:
-    return df.withColumns({
-        c: F.round(F.col(f"`{c}`"), digits) for c, kind in df.dtypes if kind == "double"
-    })
+def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
+    """Figures that depend on the order of additions, rounded; all doubles by default."""
+    chosen = columns or [c for c, kind in df.dtypes if kind == "double"]
+    return df.withColumns({c: F.round(F.col(c), digits) for c in chosen})
 
 
 @query
 def lag_features(t: Tables) -> DataFrame:
     out = series.add_lags(daily(t).select("date", "actual_revenue"), "actual_revenue")
-    return _rounded(out.withColumn(
+    return out.withColumn(
         "revenue_diff_lag1_lag7", F.col("actual_revenue_lag1") - F.col("actual_revenue_lag7")
-    ))
+    )
 
 
 @query
@@ -439,7 +431,7 @@ def rolling_features(t: Tables) -> DataFrame:
         "roll_mean_30": series.rolling("actual_revenue", 30),
         "roll_std_7": series.rolling("actual_revenue", 7, "std"),
     })
-    return _rounded(out)
+    return _rounded(out, 2, "roll_std_7")
 
 
 @query
@@ -447,7 +439,7 @@ def ewma_features(t: Tables) -> DataFrame:
     out = daily(t).select("date", "actual_revenue")
     for span in series.EWM_SPANS:
         out = series.add_ewm(out, "actual_revenue", span, f"ewma_{span}")
-    return _rounded(out)
+    return _rounded(out, 2, "ewma_7", "ewma_30")
 
 
 @query
@@ -461,14 +453,14 @@ def regional_series(t: Tables) -> DataFrame:
         "roll_mean_7", series.rolling("actual_revenue", 7, "mean", "date", ("region",))
     )
     out = series.add_ewm(out, "actual_revenue", 7, "ewma_7", "date", ("region",))
-    return _rounded(out)
+    return _rounded(out, 2, "ewma_7")
 
 
 @query
 def traffic_rolling(t: Tables) -> DataFrame:
     rolled = series.traffic_features(t["daily_sessions"])
     last = series.traffic_features(t["daily_sessions"], window=None)
-    return _rounded(rolled.join(last, "date"), 6)
+    return rolled.join(last, "date").withColumn("sessions_lag1", F.col("sessions_lag1").cast("double"))
 
 
 def _matrix(t: Tables) -> DataFrame:
@@ -480,11 +472,9 @@ def _matrix(t: Tables) -> DataFrame:
 @query
 def training_matrix(t: Tables) -> DataFrame:
     out = _matrix(t)
-    waves = {c: F.round(c, 9) for c in out.columns if c.startswith(("sin_", "cos_", "inflation"))}
-    money = {c: F.round(c, 2) for c in out.columns if "revenue" in c}
-    return out.withColumns(waves | money).withColumn(
-        "sessions_roll_30_lag1", F.round("sessions_roll_30_lag1", 6)
-    )
+    waves = [c for c in out.columns if c.startswith(("sin_", "cos_"))]
+    weighted = [c for c in out.columns if "_std_" in c or "_ewma_" in c]
+    return _rounded(_rounded(out, 9, *waves), 2, *weighted)
 
 
 @query
@@ -492,7 +482,9 @@ def training_matrix_v1(t: Tables) -> DataFrame:
     lines = priced(t)
     slices = series.daily_slices(lines, {"category": ["ECONOMY"], "color": ["red"]})
     with_slices = series.daily_sales(lines).join(slices, "date")
-    return _rounded(series.early_training_matrix(with_slices, t["daily_sessions"]))
+    return _rounded(
+        series.early_training_matrix(with_slices, t["daily_sessions"]), 2, "revenue_roll_std_7_lag1"
+    )
 
 
 @query
@@ -507,7 +499,7 @@ def expanding_folds(t: Tables) -> DataFrame:
 
 @query
 def last_n(t: Tables) -> DataFrame:
-    return _rounded(series.last_rows(daily(t).select("date", "actual_revenue"), 60))
+    return series.last_rows(daily(t).select("date", "actual_revenue"), 60)
 
 
 # --- seasonal forecast -----------------------------------------------------------
@@ -567,7 +559,7 @@ def _naive(t: Tables) -> DataFrame:
 
 @query
 def naive_lag7_errors(t: Tables) -> DataFrame:
-    return _rounded(_naive(t))
+    return _naive(t)
 
 
 @query
@@ -592,7 +584,7 @@ def extreme_months(t: Tables) -> DataFrame:
 
 @query
 def worst_best_days(t: Tables) -> DataFrame:
-    return _rounded(errors.extreme_days(_naive(t)))
+    return errors.extreme_days(_naive(t))
 
 
 CORRELATED = ["actual_revenue_lag1", "actual_revenue_lag7", "revenue_roll_mean_7_lag1",

@@ -183,25 +183,39 @@ def daily_sessions(orders_table: DataFrame) -> DataFrame:
     )
 
 
-def load_roles(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    raw = {
-        name: _read(spark, sf_dir, name)
-        for name in ("region", "nation", "customer", "part", "orders", "lineitem", "events")
-    }
-    return {
-        "products": products(raw["part"]),
-        "customers": customers(raw["customer"], raw["nation"]),
-        "geography": geography(raw["nation"], raw["region"]),
-        "orders": orders(raw["orders"]),
-        "order_items": order_items(raw["lineitem"]),
-        "payments": payments(raw["orders"]),
-        "shipments": shipments(raw["lineitem"]),
-        "returns": returns(raw["lineitem"]),
-        "reviews": reviews(raw["lineitem"]),
-        "promotions": promotions(spark),
-        "holidays": holidays(spark),
-        "cpi": cpi(spark),
-        "web_traffic": web_traffic(raw["events"]),
-        "daily_sessions": daily_sessions(raw["orders"]),
-        "inventory": raw["part"],
-    }
+# Role table -> (builder, test tables it reads).
+BUILDERS = {
+    "products": (products, ("part",)),
+    "customers": (customers, ("customer", "nation")),
+    "geography": (geography, ("nation", "region")),
+    "orders": (orders, ("orders",)),
+    "order_items": (order_items, ("lineitem",)),
+    "payments": (payments, ("orders",)),
+    "shipments": (shipments, ("lineitem",)),
+    "returns": (returns, ("lineitem",)),
+    "reviews": (reviews, ("lineitem",)),
+    "web_traffic": (web_traffic, ("events",)),
+    "daily_sessions": (daily_sessions, ("orders",)),
+    "inventory": (lambda part: part, ("part",)),
+}
+FIXED = {"promotions": promotions, "holidays": holidays, "cpi": cpi}
+
+
+class Roles(dict):
+    """The retail tables by name, each built when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name in FIXED:
+            self[name] = FIXED[name](self.spark)
+        else:
+            build, needed = BUILDERS[name]
+            self[name] = build(*(_read(self.spark, self.sf_dir, table) for table in needed))
+        return self[name]
+
+
+def load_roles(spark: SparkSession, sf_dir: str) -> Roles:
+    return Roles(spark, sf_dir)
