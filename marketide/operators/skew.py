@@ -39,12 +39,13 @@ DEFAULT = Spread()
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate, from file sizes and pruned columns; no job is run."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
-    except Exception:  # no JVM plan at hand (remote session): treat as large
+    """Catalyst's size estimate, from file sizes and pruned columns; no job is run.
+
+    None if it cannot be had, which callers take as large.
+    """
+    if not hasattr(df, "_jdf"):  # remote session, no plan at hand
         return None
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def is_large(df: DataFrame, spread: Spread = DEFAULT) -> bool:

@@ -408,6 +408,7 @@ _DATE_COLUMNS = {
     "publish_star": ["first_date", "last_date"],
     "table_summary": ["first_date", "last_date"],
     "encoded_promotions": ["start_date", "end_date"],
+    "submission_merge": ["Date"],
 } | {
     name: ["date"] for name in (
         "daily_sales", "daily_sliced_revenue", "daily_slices_long", "latest_days", "calendar_features",
@@ -423,7 +424,7 @@ def oracles() -> dict[str, str]:
     """SQL per query name."""
     out = _plain_oracles()
     for name, columns in _DATE_COLUMNS.items():
-        texts = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in columns)
+        texts = ", ".join(f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in columns)
         out[name] = f"SELECT * REPLACE ({texts}) FROM ({out[name]}) AS result"
     return out
 
@@ -714,6 +715,9 @@ def _plain_oracles() -> dict[str, str]:
             _MATRIX_PARTS, _correlation("actual_revenue", CORRELATED), m=_MATRIX),
         "error_correlation": with_parts(
             _MATRIX_PARTS, _correlation("abs(actual_revenue - actual_revenue_lag7)", CORRELATED), m=_MATRIX),
+        "submission_merge": with_parts("forecast", """
+            SELECT date AS "Date", round(Revenue_pred, 4) AS "Revenue", COGS AS "COGS"
+            FROM forecast WHERE year(date) > 2000"""),
         "scaled_features": with_parts("daily", "SELECT date, " + ", ".join(
             f"round(({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER (), 9) AS {c}_scaled"
             for c in ("quantity", "customer_id", "is_returned")) + " FROM daily"),

@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketide.operators import encode, errors, quality, questions, revenue, seasonal, series, star
+from marketide.operators import (
+    encode,
+    errors,
+    forecast,
+    model,
+    quality,
+    questions,
+    revenue,
+    seasonal,
+    series,
+    star,
+)
 from marketide.session import materialise, shared_dir, tune
 from marketide.sources import readers, roles, writers
 
@@ -59,7 +71,7 @@ def daily(t: Tables) -> DataFrame:
 
 def kept_daily(t: Tables) -> DataFrame:
     """The daily series, computed once for plans that read it several times."""
-    return materialise(daily(t).repartition(1))
+    return materialise(daily(t))
 
 
 def _fact_sales(t: Tables) -> DataFrame:
@@ -607,11 +619,110 @@ def error_correlation(t: Tables) -> DataFrame:
 
 @query
 def scaled_features(t: Tables) -> DataFrame:
-    from pyspark.ml.functions import vector_to_array
-
     columns = ["quantity", "customer_id", "is_returned"]
     scaled = encode.scaled(kept_daily(t).select("date", *columns), columns)
     values = vector_to_array("features")
     return scaled.select(
         "date", *[F.round(values[i], 9).alias(f"{c}_scaled") for i, c in enumerate(columns)]
     )
+
+
+# --- models ----------------------------------------------------------------------
+
+# Small learners keep the registered model queries short; ``model`` has the full defaults.
+QUERY_LEARNERS = (model.Learner(trees=8, rate=0.3, depth=3), model.Learner(trees=8, rate=0.3, depth=4))
+
+
+def _split_matrix(t: Tables) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Training part, last fifth, feature names."""
+    split = series.chrono_split(materialise(_matrix(t)))
+    train = split.where("is_train = 1").drop("is_train")
+    test = split.where("is_train = 0").drop("is_train")
+    return train, test, series.feature_columns(train.columns)
+
+
+@query
+def gbt_ensemble_metrics(t: Tables) -> DataFrame:
+    train, test, features = _split_matrix(t)
+    return model.evaluate(model.fit_ensemble(train, features, QUERY_LEARNERS), test)
+
+
+@query
+def gbt_errors(t: Tables) -> DataFrame:
+    train, test, features = _split_matrix(t)
+    ensemble = model.fit_ensemble(train, features, QUERY_LEARNERS)
+    return errors.extreme_days(model.model_errors(ensemble, test))
+
+
+@query
+def gbt_importance(t: Tables) -> DataFrame:
+    train, _, features = _split_matrix(t)
+    return model.importance(model.fit_ensemble(train, features, QUERY_LEARNERS), train)
+
+
+@query
+def permutation_importance(t: Tables) -> DataFrame:
+    train, test, features = _split_matrix(t)
+    return model.permutation_importance(model.fit_ensemble(train, features, QUERY_LEARNERS), test)
+
+
+@query
+def scaled_pipeline_r2(t: Tables) -> DataFrame:
+    train, test, features = _split_matrix(t)
+    r2 = model.scaled_pipeline_r2(train, test, features, QUERY_LEARNERS[1])
+    return test.agg(F.count("*").alias("n"), F.lit(r2).alias("r2"))
+
+
+@query
+def cv_search(t: Tables) -> DataFrame:
+    train, _, features = _split_matrix(t)
+    results = model.search(train, features, trials=2, folds=3, tree_range=(3, 6))
+    return model.search_table(train, results)
+
+
+def _horizon(t: Tables) -> DataFrame:
+    """The days of the last, incomplete year."""
+    return t["orders"].where(F.year("order_date") > BASE_YEAR).select(
+        F.col("order_date").alias("date")
+    ).distinct()
+
+
+def _history(matrix: DataFrame) -> DataFrame:
+    return matrix.where(F.year("date") <= BASE_YEAR)
+
+
+@query
+def recursive_forecast(t: Tables) -> DataFrame:
+    history = _history(materialise(_matrix(t)))
+    ensemble = model.fit_ensemble(history, series.feature_columns(history.columns), QUERY_LEARNERS)
+    days = forecast.future_days(_horizon(t), t["holidays"], t["promotions"], t["cpi"])
+    return forecast.recursive_forecast(history, days, ensemble)
+
+
+@query
+def regional_forecast(t: Tables) -> DataFrame:
+    """One model over all regions, five series forecast side by side."""
+    keys = ("region",)
+    regions = _dim_customer(t).where(F.col("region").isNotNull()).select("customer_id", "region")
+    by_region = series.daily_sales(priced(t).join(regions, "customer_id"), keys)
+    matrix = series.training_matrix(
+        by_region, t["promotions"], t["cpi"], t["holidays"], t["daily_sessions"], keys
+    )
+    history = _history(materialise(matrix))
+    features = series.feature_columns(history.columns, (*series.NOT_FEATURES, *keys))
+    ensemble = model.fit_ensemble(history, features, QUERY_LEARNERS)
+    targets = forecast.targets_per_series(history, _horizon(t), keys)
+    days = forecast.future_days(targets, t["holidays"], t["promotions"], t["cpi"])
+    return forecast.recursive_forecast(history, days, ensemble, keys)
+
+
+@query
+def submission_merge(t: Tables) -> DataFrame:
+    sales = _sales(t)
+    sample = sales.where(F.year("date") > BASE_YEAR).withColumnRenamed("date", "Date")
+    days = sample.select(F.col("Date").alias("date"))
+    predicted = seasonal.seasonal_forecast(sales, days, BASE_YEAR, *FULL_YEARS, digits=None)
+    merged = forecast.merge_submission(
+        sample, predicted.select("date", F.col("Revenue_pred").alias("revenue"))
+    )
+    return _rounded(merged, 4, "Revenue")
