@@ -25,6 +25,8 @@ class Spread:
     ``rows_per_task``: a frequent key is dealt over enough tasks to leave each about this many.
     ``tracked`` bounds the sketch, ``max_keys`` the list of frequent keys and with it
     the broadcast. Any key with more than about 4 / tracked of the rows is found.
+    ``broadcast_small``: a right side below the session's broadcast threshold is left to
+    Catalyst, which then broadcasts it and shuffles nothing.
     """
 
     above_bytes: int = 256 * 1024 * 1024
@@ -33,6 +35,7 @@ class Spread:
     max_keys: int = 512
     slices: int = 64
     null_tasks: int = 4096
+    broadcast_small: bool = True
 
 
 DEFAULT = Spread()
@@ -53,6 +56,15 @@ def is_large(df: DataFrame, spread: Spread = DEFAULT) -> bool:
     return size is None or size > spread.above_bytes
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Catalyst itself would broadcast ``df``, by its own estimate and threshold."""
+    size = estimated_bytes(df)
+    if size is None:
+        return False
+    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return size <= threshold
+
+
 def _any_null(columns: list[Column]) -> Column:
     missing = F.lit(False)
     for c in columns:
@@ -116,12 +128,14 @@ def join_spread(
 
     ``probe`` is a cheap frame with the key columns of ``left`` (its source scan) for
     counting; by default ``left`` itself. Rows of ``left`` with a NULL key never match
-    and are dealt over many tasks instead of meeting in one.
+    and are dealt over many tasks instead of meeting in one. Both sides are placed by
+    an explicit repartition: left to itself, Spark may keep a side where an earlier
+    aggregate on ``keys`` put it and pull the salted rows together again.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"join_spread supports left and inner, not {how}")
     source = left if probe is None else probe
-    if not is_large(source.select(*keys), spread):
+    if not is_large(source, spread) or (spread.broadcast_small and fits_broadcast(right)):
         return left.join(right, keys, how)
 
     hot = frequent_keys(source, keys, spread)
@@ -137,7 +151,8 @@ def join_spread(
     salted_right = (
         _tag(right, keys, hot, "hot").withColumn("salt", F.explode(copies)).drop("hot_tasks")
     )
-    joined = salted_left.join(salted_right, [*keys, "salt"], how).drop("salt")
+    place = [*keys, "salt"]
+    joined = salted_left.repartition(*place).join(salted_right.repartition(*place), place, how)
     return joined.select(*left.columns, *[c for c in right.columns if c not in keys])
 
 
@@ -154,7 +169,7 @@ def attach_to_lines(
     (order, product) too large for a task is dealt out by input split.
     """
     pair = ["order_id", "product_id"]
-    if not is_large(lines.select(*pair), spread):
+    if not is_large(lines, spread):
         out = lines.join(by_order, "order_id", "left")
         for table in by_line:
             out = out.join(table, pair, "left")
