@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketide.functions.metrics import error_metrics, mae, mape, rmse
@@ -71,14 +71,15 @@ def extreme_days(errors: DataFrame, n: int = 5) -> DataFrame:
     return worst.withColumn("kind", F.lit("worst")).unionByName(best.withColumn("kind", F.lit("best")))
 
 
-def correlations(df: DataFrame, target: str, features: Iterable[str]) -> DataFrame:
-    """(feature, correlation_score): size of the Pearson correlation with ``target``, one pass.
+def _correlation(a: Column, b: Column) -> Column:
+    """Pearson correlation, NULL for a constant (where ``corr`` divides by zero under ANSI)."""
+    x, y = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(x) * F.stddev_pop(y))
+
 
-    A constant feature has no correlation and shows NULL.
-    """
+def correlations(df: DataFrame, target: str, features: Iterable[str]) -> DataFrame:
+    """(feature, correlation_score): size of the Pearson correlation with ``target``, one pass."""
     names = list(features)
-    row = df.agg(*[F.abs(F.corr(F.col(f"`{c}`").cast("double"), F.col(target))).alias(c) for c in names])
-    long = row.unpivot([], names, "feature", "correlation_score")
-    return long.withColumn(
-        "correlation_score", F.when(~F.isnan("correlation_score"), F.col("correlation_score"))
-    )
+    y = F.col(target).cast("double")
+    row = df.agg(*[F.abs(_correlation(F.col(f"`{c}`").cast("double"), y)).alias(c) for c in names])
+    return row.unpivot([], names, "feature", "correlation_score")
