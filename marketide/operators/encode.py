@@ -6,9 +6,11 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketide.operators.skew import DEFAULT, Spread, join_spread
+
 # Ordinal codes.
 SIZE_CODES = {"S": 1, "M": 2, "L": 3, "XL": 4, "XXL": 5}
 AGE_CODES = {"Unknown": 0, "18-24": 1, "25-34": 2, "35-44": 3, "45-54": 4, "55+": 5}
@@ -82,10 +84,14 @@ def frequency_rank(df: DataFrame, column: str, prefix: int = 2) -> DataFrame:
     )
 
 
-def rank_encode(df: DataFrame, column: str) -> DataFrame:
+def rank_encode(df: DataFrame, column: str, spread: Spread = DEFAULT) -> DataFrame:
     """Replace a label by its frequency rank. NULL is a label like any other."""
-    ranks = frequency_rank(df, column).select(F.col(column).alias("rank_label"), "rank")
-    joined = df.join(ranks, F.col(column).eqNullSafe(F.col("rank_label")), "left")
+    def key(c: str) -> Column:
+        return F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit(""))
+
+    ranks = frequency_rank(df, column).select(key(column).alias("rank_key"), "rank")
+    keyed = df.withColumn("rank_key", key(column))
+    joined = join_spread(keyed, ranks, ["rank_key"], "left", spread=spread)
     return joined.select(
         *[F.col("rank").alias(c) if c == column else F.col(f"`{c}`") for c in df.columns]
     )

@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketide.operators.skew import DEFAULT, Spread, join_spread
-
 
 def top_label(df: DataFrame, key: str, value: str, ascending: bool = False) -> DataFrame:
     """The row with the largest (or smallest) value; ties go to the lowest key."""
@@ -59,9 +57,7 @@ def q2_segment_margin(products: DataFrame) -> DataFrame:
     )
 
 
-def q3_return_reasons(
-    returns: DataFrame, products: DataFrame, category: str, spread: Spread = DEFAULT
-) -> DataFrame:
+def q3_return_reasons(returns: DataFrame, products: DataFrame, category: str) -> DataFrame:
     """Number of returns per reason in one category."""
     counts = (
         returns.where(F.col("return_reason").isNotNull() & F.col("product_id").isNotNull())
@@ -69,7 +65,7 @@ def q3_return_reasons(
     )
     chosen = products.where(F.col("category") == category).select("product_id")
     return (
-        join_spread(counts, chosen, ["product_id"], "inner", spread=spread)
+        counts.join(chosen, "product_id")
         .groupBy("return_reason").agg(F.sum("n").alias("n_returns"))
     )
 
@@ -135,7 +131,6 @@ def q9_return_rate(
     products: DataFrame,
     returns: DataFrame,
     repeat_lines: bool = True,
-    spread: Spread = DEFAULT,
 ) -> DataFrame:
     """Returned over sold quantity per size.
 
@@ -163,7 +158,7 @@ def q9_return_rate(
     )
     sizes = products.where(F.col("size").isNotNull()).select("product_id", "size")
     return (
-        join_spread(per_product, sizes, ["product_id"], "inner", spread=spread)
+        per_product.join(sizes, "product_id")
         .groupBy("size")
         .agg(F.sum("total_sold").alias("total_sold"), F.sum("total_returned").alias("total_returned"))
         .withColumn("return_rate", F.try_divide(F.col("total_returned"), F.col("total_sold")))

@@ -73,28 +73,39 @@ def _any_null(columns: list[Column]) -> Column:
 
 
 def frequent_keys(
-    df: DataFrame, keys: list[str], spread: Spread = DEFAULT, prefix: str = "hot"
-) -> DataFrame:
-    """At most ``max_keys`` rows: hash of a frequent key, number of tasks to deal it over.
+    df: DataFrame, key_sets: dict[str, list[str]], spread: Spread = DEFAULT
+) -> dict[str, DataFrame]:
+    """Per named key set at most ``max_keys`` rows: hash of a frequent key, tasks to deal it over.
 
-    Sketches are merged in two steps so that no single task receives one per input split.
+    All key sets are counted in one scan of their columns. Sketches are merged in two
+    steps so that no single task receives one per input split.
     """
-    columns = [F.col(k) for k in keys]
-    hashed = df.where(~_any_null(columns)).select(
-        F.xxhash64(*columns).alias("key_hash"),
-        F.pmod(F.spark_partition_id(), F.lit(spread.slices)).alias("slice"),
+    hashes = [
+        F.when(~_any_null([F.col(k) for k in keys]), F.xxhash64(*keys)).alias(name)
+        for name, keys in key_sets.items()
+    ]
+    slices = F.pmod(F.spark_partition_id(), F.lit(spread.slices)).alias("slice")
+    sliced = df.select(*hashes, slices).groupBy("slice").agg(
+        *[F.expr(f"approx_top_k_accumulate({n}, {spread.tracked})").alias(n) for n in key_sets]
     )
-    sliced = hashed.groupBy("slice").agg(
-        F.expr(f"approx_top_k_accumulate(key_hash, {spread.tracked})").alias("sketch")
+    merged = sliced.agg(
+        *[F.expr(f"approx_top_k_combine({n}, {spread.tracked})").alias(n) for n in key_sets]
     )
-    merged = sliced.agg(F.expr(f"approx_top_k_combine(sketch, {spread.tracked})").alias("sketch"))
-    found = merged.select(
-        F.explode(F.expr(f"approx_top_k_estimate(sketch, {spread.max_keys})")).alias("found")
-    )
-    return found.where(F.col("found.count") > spread.rows_per_task).select(
-        F.col("found.item").alias(f"{prefix}_hash"),
-        F.ceil(F.col("found.count") / spread.rows_per_task).cast("int").alias(f"{prefix}_tasks"),
+    lists = [
+        f"transform(approx_top_k_estimate({n}, {spread.max_keys}), "
+        f"x -> struct('{n}' AS key_set, x.item AS item, x.count AS n))"
+        for n in key_sets
+    ]
+    found = merged.select(F.inline(F.expr(f"concat({', '.join(lists)})"))).where(
+        (F.col("n") > spread.rows_per_task) & F.col("item").isNotNull()
     )
+    return {
+        name: found.where(F.col("key_set") == name).select(
+            F.col("item").alias(f"{name}_hash"),
+            F.ceil(F.col("n") / spread.rows_per_task).cast("int").alias(f"{name}_tasks"),
+        )
+        for name in key_sets
+    }
 
 
 def _tag(df: DataFrame, keys: list[str], hot: DataFrame, prefix: str) -> DataFrame:
@@ -138,7 +149,7 @@ def join_spread(
     if not is_large(source, spread) or (spread.broadcast_small and fits_broadcast(right)):
         return left.join(right, keys, how)
 
-    hot = frequent_keys(source, keys, spread)
+    hot = frequent_keys(source, {"hot": keys}, spread)["hot"]
     right = _same_key_types(left, right, keys)
     columns = [F.col(k) for k in keys]
     salt = (
@@ -175,15 +186,14 @@ def attach_to_lines(
             out = out.join(table, pair, "left")
         return out
 
-    hot_order = frequent_keys(lines, ["order_id"], spread, "order")
-    hot_pair = frequent_keys(lines, pair, spread, "pair")
+    hot = frequent_keys(lines, {"order": ["order_id"], "pair": pair}, spread)
     order_tasks, pair_tasks = F.col("order_tasks"), F.col("pair_tasks")
     by_product = F.pmod(F.xxhash64(F.col("product_id")), order_tasks).cast("int")
     tags = ("order_tasks", "pair_tasks")
     place = ("order_id", "salt")
 
     def tag(df: DataFrame) -> DataFrame:
-        return _tag(_tag(df, ["order_id"], hot_order, "order"), pair, hot_pair, "pair")
+        return _tag(_tag(df, ["order_id"], hot["order"], "order"), pair, hot["pair"], "pair")
 
     out = tag(lines).withColumn(
         "salt",
@@ -193,7 +203,9 @@ def attach_to_lines(
         .otherwise(by_product),
     ).drop(*tags).repartition(*place)
 
-    orders = _tag(_same_key_types(lines, by_order, ["order_id"]), ["order_id"], hot_order, "order")
+    orders = _tag(
+        _same_key_types(lines, by_order, ["order_id"]), ["order_id"], hot["order"], "order"
+    )
     every = F.sequence(F.lit(0), F.coalesce(order_tasks, F.lit(1)) - 1)
     orders = orders.withColumn("salt", F.explode(every)).drop("order_tasks")
     out = out.join(orders.repartition(*place), list(place), "left")

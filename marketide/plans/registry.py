@@ -20,6 +20,7 @@ from marketide.operators import (
     series,
     star,
 )
+from marketide.operators.skew import join_spread
 from marketide.session import materialise, shared_dir, tune
 from marketide.sources import readers, roles, writers
 
@@ -454,12 +455,17 @@ def ewma_features(t: Tables) -> DataFrame:
     return _rounded(out, 2, "ewma_7", "ewma_30")
 
 
+def _regional_lines(t: Tables) -> DataFrame:
+    regions = _dim_customer(t).select("customer_id", "region")
+    return join_spread(priced(t), regions, ["customer_id"], "left", probe=t["orders"])
+
+
 @query
 def regional_series(t: Tables) -> DataFrame:
     """The window features over five series side by side."""
-    regions = _dim_customer(t).select("customer_id", "region")
-    lines = priced(t).join(regions, "customer_id", "left")
-    by_region = series.daily_sales(lines, ("region",)).select("region", "date", "actual_revenue")
+    by_region = series.daily_sales(_regional_lines(t), ("region",)).select(
+        "region", "date", "actual_revenue"
+    )
     out = series.add_lags(by_region, "actual_revenue", (1, 7), "date", ("region",))
     out = out.withColumn(
         "roll_mean_7", series.rolling("actual_revenue", 7, "mean", "date", ("region",))
@@ -703,8 +709,8 @@ def recursive_forecast(t: Tables) -> DataFrame:
 def regional_forecast(t: Tables) -> DataFrame:
     """One model over all regions, five series forecast side by side."""
     keys = ("region",)
-    regions = _dim_customer(t).where(F.col("region").isNotNull()).select("customer_id", "region")
-    by_region = series.daily_sales(priced(t).join(regions, "customer_id"), keys)
+    lines = _regional_lines(t).where(F.col("region").isNotNull())
+    by_region = series.daily_sales(lines, keys)
     matrix = series.training_matrix(
         by_region, t["promotions"], t["cpi"], t["holidays"], t["daily_sessions"], keys
     )

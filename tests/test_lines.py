@@ -141,9 +141,13 @@ def test_spread_lines_give_the_same_rows(spark, tables):
 
 def test_hot_order_is_dealt_over_tasks(spark, tables):
     hot = hot_tables(spark, tables)
-    found = {r.hot_hash: r.hot_tasks for r in frequent_keys(hot["order_items"], ["order_id"], EAGER).collect()}
-    assert max(found.values()) >= 300 // EAGER.rows_per_task
-    assert len(found) <= EAGER.max_keys
+    keys = {"o": ["order_id"], "p": ["order_id", "product_id"]}
+    found = frequent_keys(hot["order_items"], keys, EAGER)
+    orders = {r.o_hash: r.o_tasks for r in found["o"].collect()}
+    pairs = {r.p_hash: r.p_tasks for r in found["p"].collect()}
+    assert max(orders.values()) >= 300 // EAGER.rows_per_task
+    assert max(pairs.values()) >= 200 // EAGER.rows_per_task
+    assert max(len(orders), len(pairs)) <= EAGER.max_keys
     lines = star.fact_sales(*pick(hot, FACT), spread=EAGER)
     plan = lines._jdf.queryExecution().optimizedPlan().toString()
     assert "salt" in plan

@@ -5,6 +5,7 @@ from pyspark.ml.functions import vector_to_array
 
 from helpers import d, retail, rows
 from marketide.operators import encode, quality
+from marketide.operators.skew import Spread
 
 
 @pytest.fixture(scope="module")
@@ -37,9 +38,10 @@ def test_frequency_rank_orders_count_then_label(spark):
     for prefix in (1, 2, 5):
         got = {r.city: r["rank"] for r in encode.frequency_rank(df, "city", prefix).collect()}
         assert got == {x: i for i, x in enumerate(order, start=1)}
-    coded = encode.rank_encode(df, "city")
-    assert coded.count() == len(labels)
-    assert coded.where("city IS NULL").count() == 0
+    eager = Spread(above_bytes=0, rows_per_task=2, broadcast_small=False)
+    for spread in (Spread(), eager):
+        coded = [r.city for r in encode.rank_encode(df, "city", spread).collect()]
+        assert sorted(coded) == sorted(order.index(x) + 1 for x in labels)
 
 
 def test_encoded_tables(tables):
