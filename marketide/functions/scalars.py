@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -32,14 +33,42 @@ def joined_labels(column: Column | str) -> Column:
     return F.array_join(F.array_sort(F.collect_set(as_column(column))), ", ")
 
 
-def exact_sum(column: Column | str) -> Column:
-    """Aggregate: a money sum that does not depend on the order of the rows.
+# Money is added up in whole units and millionths, two plain integer sums: unlike sums
+# of doubles they do not change with task order and retries, and unlike sums of
+# decimals they cost no more than doubles. They hold up to 9e18 units or 9e12 rows.
+MICROS = 1_000_000
 
-    Sums of doubles change with task order and retries; decimals do not. A sum
-    over nothing but NULLs is 0.
-    """
-    amount = as_column(column).cast("decimal(18,6)")
-    return F.coalesce(F.sum(amount).cast("double"), F.lit(0.0))
+
+def money_parts(amount: Column | str) -> tuple[Column, Column]:
+    """Whole units and millionths of an amount."""
+    value = as_column(amount)
+    units = F.floor(value)
+    return units, F.rint((value - units) * MICROS).cast("long")
+
+
+def _joined(units: Column, micros: Column) -> Column:
+    whole = units.cast("decimal(20,0)") + micros.cast("decimal(20,0)") * F.lit(Decimal("0.000001"))
+    return F.coalesce(whole.cast("double"), F.lit(0.0))
+
+
+def exact_sum(amount: Column | str) -> Column:
+    """Aggregate: an exact money sum; over nothing but NULLs it is 0."""
+    units, micros = money_parts(amount)
+    return _joined(F.sum(units), F.sum(micros))
+
+
+def part_sums(amount: Column | str, name: str) -> list[Column]:
+    """Aggregates: an exact sum left in two columns, for a later ``whole_sum``."""
+    units, micros = money_parts(amount)
+    return [F.sum(units).alias(f"{name}_units"), F.sum(micros).alias(f"{name}_micros")]
+
+
+def whole_sum(name: str, condition: Column | None = None) -> Column:
+    """Aggregate: the total of what ``part_sums`` left, of the rows that meet the condition."""
+    units, micros = F.col(f"{name}_units"), F.col(f"{name}_micros")
+    if condition is not None:
+        units, micros = F.when(condition, units), F.when(condition, micros)
+    return _joined(F.sum(units), F.sum(micros))
 
 
 def sum_or_zero(column: Column | str) -> Column:

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketide.functions.scalars import part_sums, whole_sum
+
 
 def top_label(df: DataFrame, key: str, value: str, ascending: bool = False) -> DataFrame:
     """The row with the largest (or smallest) value; ties go to the lowest key."""
@@ -109,13 +111,13 @@ def q7_region_revenue(sales: DataFrame, dim_customer: DataFrame) -> DataFrame:
     per_customer = (
         sales.where(F.col("customer_id").isNotNull())
         .groupBy("customer_id")
-        .agg(F.sum(F.col("actual_revenue").cast("decimal(18,6)")).alias("revenue"))
+        .agg(*part_sums("actual_revenue", "revenue"))
     )
     regions = dim_customer.where(F.col("region").isNotNull()).select("customer_id", "region")
     return (
         per_customer.join(regions, "customer_id")
         .groupBy("region")
-        .agg(F.coalesce(F.sum("revenue").cast("double"), F.lit(0.0)).alias("actual_revenue"))
+        .agg(whole_sum("revenue").alias("actual_revenue"))
     )
 
 

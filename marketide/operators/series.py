@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from marketide.functions.scalars import (
     calendar_columns,
-    exact_sum,
     harmonic_columns,
+    part_sums,
     sum_or_zero,
+    whole_sum,
 )
 from marketide.operators.revenue import attach_promotions, deflate, order_totals, with_net_revenue
 from marketide.operators.skew import DEFAULT, Spread, attach_to_lines, join_spread
@@ -88,15 +89,15 @@ def daily_sales(lines: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
         lines.where(F.col("date").isNotNull())
         .groupBy("date", *keys, "order_id", "customer_id")
         .agg(
-            F.sum(F.col("actual_revenue").cast("decimal(18,6)")).alias("actual_revenue"),
-            F.sum(F.col("gross_profit").cast("decimal(18,6)")).alias("gross_profit"),
+            *part_sums("actual_revenue", "revenue"),
+            *part_sums("gross_profit", "profit"),
             F.sum("quantity").alias("quantity"),
             F.sum("is_returned").alias("is_returned"),
         )
     )
     return by_order.groupBy("date", *keys).agg(
-        F.coalesce(F.sum("actual_revenue").cast("double"), F.lit(0.0)).alias("actual_revenue"),
-        F.coalesce(F.sum("gross_profit").cast("double"), F.lit(0.0)).alias("gross_profit"),
+        whole_sum("revenue").alias("actual_revenue"),
+        whole_sum("profit").alias("gross_profit"),
         F.count_distinct("order_id").alias("order_id"),
         sum_or_zero("quantity").alias("quantity"),
         F.count_distinct("customer_id").alias("customer_id"),
@@ -108,10 +109,12 @@ def daily_slices_long(lines: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame
     """(date, slice, label, revenue): net revenue per day and product label."""
     combined = _by_labels(lines, keys)
     return (
-        combined.unpivot(["date", *keys, "revenue"], list(SLICES), "slice", "label")
+        combined.unpivot(
+            ["date", *keys, "revenue_units", "revenue_micros"], list(SLICES), "slice", "label"
+        )
         .where(F.col("label").isNotNull())
         .groupBy("date", *keys, "slice", "label")
-        .agg(F.sum("revenue").cast("double").alias("revenue"))
+        .agg(whole_sum("revenue").alias("revenue"))
     )
 
 
@@ -124,8 +127,7 @@ def daily_slices(
     that much smaller table.
     """
     sums = [
-        F.coalesce(F.sum(F.when(F.col(c) == label, F.col("revenue"))).cast("double"), F.lit(0.0))
-        .alias(f"revenue_{c}_{label}")
+        whole_sum("revenue", F.col(c) == label).alias(f"revenue_{c}_{label}")
         for c, values in labels.items() for label in values
     ]
     return _by_labels(lines, keys).groupBy("date", *keys).agg(*sums)
@@ -135,7 +137,7 @@ def _by_labels(lines: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return (
         lines.where(F.col("date").isNotNull())
         .groupBy("date", *keys, *SLICES)
-        .agg(F.sum(F.col("actual_revenue").cast("decimal(18,6)")).alias("revenue"))
+        .agg(*part_sums("actual_revenue", "revenue"))
     )
 
 

@@ -14,6 +14,8 @@ PLAN_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed sort-merge join even if the stage after it must shuffle again.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Hash instead of sort where adaptive execution has seen that every partition is small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # Lines placed by (order, salt) may join on (order, product, salt) where they are.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
