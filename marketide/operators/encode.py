@@ -62,26 +62,28 @@ def one_hot(
 def frequency_rank(df: DataFrame, column: str, prefix: int = 2) -> DataFrame:
     """Per label (NULL included) its count and its rank, rarest = 1, ties in label order.
 
-    A plain ranking would sort all labels in one task. Labels are ranked inside
-    (count, first letters) instead, and only the sizes of those groups are summed up
-    in order; letters and label sort alike, so the ranks are the same.
+    A plain ranking would sort all labels in one task. Here a rank is the number of
+    labels with a smaller count, plus those of the same count with smaller first
+    letters, plus the place among the rest; letters and label sort alike. Only the
+    distinct counts meet in one task: k of them need at least k^2 / 2 rows.
     """
     counts = df.groupBy(F.col(column).alias("label")).agg(F.count("*").alias("n"))
-    grouped = counts.withColumn("letters", F.substring("label", 1, prefix))
-    nulls_first = [F.col("n"), F.asc_nulls_first("letters")]
+    grouped = counts.withColumn("letters", F.coalesce(
+        F.concat(F.lit("="), F.substring("label", 1, prefix)), F.lit("")
+    ))
     sizes = grouped.groupBy("n", "letters").agg(F.count("*").alias("size"))
-    running = Window.orderBy(*nulls_first).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.withColumn("before", F.coalesce(F.sum("size").over(running), F.lit(0)))
-    inside = Window.partitionBy("n", "letters").orderBy("label")
-    ranked = grouped.withColumn("place", F.row_number().over(inside)).alias("g").join(
-        offsets.alias("o"),
-        (F.col("g.n") == F.col("o.n")) & F.col("g.letters").eqNullSafe(F.col("o.letters")),
-    )
-    return ranked.select(
-        F.col("g.label").alias(column),
-        F.col("g.n").alias("n"),
-        (F.col("before") + F.col("place")).cast("int").alias("rank"),
-    )
+
+    def sum_before(w) -> Column:
+        return F.coalesce(F.sum("size").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    by_letters = sizes.select("n", "letters", sum_before(
+        Window.partitionBy("n").orderBy("letters")).alias("before_letters"))
+    by_count = sizes.groupBy("n").agg(F.sum("size").alias("size")).select(
+        "n", sum_before(Window.orderBy("n")).alias("before_count"))
+    place = F.row_number().over(Window.partitionBy("n", "letters").orderBy("label"))
+    ranked = grouped.withColumn("place", place).join(by_letters, ["n", "letters"]).join(by_count, "n")
+    rank = F.col("before_count") + F.col("before_letters") + F.col("place")
+    return ranked.select(F.col("label").alias(column), "n", rank.cast("int").alias("rank"))
 
 
 def rank_encode(df: DataFrame, column: str, spread: Spread = DEFAULT) -> DataFrame:

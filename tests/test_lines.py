@@ -153,6 +153,27 @@ def test_hot_order_is_dealt_over_tasks(spark, tables):
     assert "salt" in plan
 
 
+def test_no_task_holds_the_hot_order(spark, tables):
+    """Three quarters of the lines are one order; no partition after the joins holds half of it."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        hot = hot_tables(spark, tables)
+        matrix = star.transaction_matrix(*pick(hot, MATRIX), spread=EAGER)
+        plain = star.transaction_matrix(*pick(hot, MATRIX))
+        sizes = [
+            max(r.n for r in df.where("order_id = 1").groupBy(F.spark_partition_id().alias("task"))
+                .agg(F.count("*").alias("n")).collect())
+            for df in (matrix, plain)
+        ]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sizes[1] == 302 and sizes[0] < 151
+
+
 def test_lines_are_shuffled_once_for_order_and_line_joins(spark, tables):
     """Joins on (order, salt) and on (order, product, salt) share one placement."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
