@@ -88,7 +88,8 @@ def frequent_keys(
     sliced = df.select(*hashes, slices).groupBy("slice").agg(
         *[F.expr(f"approx_top_k_accumulate({n}, {spread.tracked})").alias(n) for n in key_sets]
     )
-    merged = sliced.agg(
+    # Grouped by a constant rather than ungrouped: an ungrouped combine fails on empty partitions.
+    merged = sliced.groupBy(F.pmod("slice", F.lit(1)).alias("all")).agg(
         *[F.expr(f"approx_top_k_combine({n}, {spread.tracked})").alias(n) for n in key_sets]
     )
     lists = [

@@ -215,6 +215,23 @@ def test_join_spread_equals_join(spark, how):
         join_spread(left, right, ["k"], "full")
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_join_spread_without_rows_or_keys(spark, adaptive):
+    """No left rows, or only missing keys: nothing to count, and many empty partitions."""
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        right = spark.createDataFrame([(7, "a")], "k long, v string")
+        missing = spark.range(6).select(F.lit(None).cast("long").alias("k"), "id")
+        assert rows(join_spread(missing, right, ["k"], "left", spread=EAGER)) == [
+            (None, i, None) for i in range(6)
+        ]
+        assert rows(join_spread(missing, right, ["k"], "inner", spread=EAGER)) == []
+        empty = spark.range(6).where("id > 9").select(F.col("id").alias("k"), "id")
+        assert rows(join_spread(empty, right, ["k"], "left", spread=EAGER)) == []
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_deflate_fills_both_ways(spark):
     days = spark.createDataFrame(
         [(d("2020-01-05"), 80.0), (d("2020-02-05"), 90.0), (d("2020-03-05"), 120.0), (d("2020-04-05"), 60.0)],
