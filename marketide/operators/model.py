@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import math
 import random
-from dataclasses import asdict, dataclass, replace
+from dataclasses import asdict, dataclass
 
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -187,7 +187,7 @@ def search_table(df: DataFrame, results: list[Trial]) -> DataFrame:
 
 def best_learners(results: list[Trial]) -> tuple[Learner, Learner]:
     """Settings of the best trial; the final fits use them without early stopping."""
-    return tuple(replace(learner) for learner in results[0].learners)
+    return results[0].learners
 
 
 def importance(ensemble: Ensemble, df: DataFrame, model: int = 0, top: int = 10) -> DataFrame:

@@ -48,7 +48,8 @@ def query(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]
     """Register a builder under its own name. Dates leave as ISO text."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        out = build(roles.load_roles(tune(spark), sf_dir))
+        tune(spark, readers.stored_bytes(spark, f"{sf_dir}/lineitem.parquet"))
+        out = build(roles.load_roles(spark, sf_dir))
         dates = {c: F.col(c).cast("string") for c, kind in out.dtypes if kind == "date"}
         return out.withColumns(dates) if dates else out
 

@@ -20,24 +20,27 @@ PLAN_SETTINGS = {
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
-SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+# Starting size of shuffles, before adaptive execution merges what turns out small.
+# Past some number of partitions their blocks get too small to fetch well.
+SHUFFLE_PARTITION_BYTES = 512 * 1024 * 1024
+MOST_SHUFFLE_PARTITIONS = 50_000
 
 
-def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
-    """Apply ``PLAN_SETTINGS``; with ``input_bytes`` also size the first shuffle.
+def shuffle_partitions(input_bytes: int, least: int) -> int:
+    """Partitions to start a shuffle of this much data with, ``least`` or more."""
+    wanted = -(-input_bytes // SHUFFLE_PARTITION_BYTES)
+    return max(least, min(wanted, MOST_SHUFFLE_PARTITIONS))
 
-    The partition count is only a starting point: adaptive execution merges
-    partitions that turn out small.
-    """
+
+def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
+    """Apply ``PLAN_SETTINGS``; with ``input_bytes`` also size the first shuffle."""
     for key, value in PLAN_SETTINGS.items():
         spark.conf.set(key, value)
     if input_bytes is not None:
-        wanted = max(
-            int(spark.conf.get("spark.sql.shuffle.partitions")),
-            -(-input_bytes // SHUFFLE_PARTITION_BYTES),
-        )
+        least = int(spark.conf.get("spark.sql.shuffle.partitions"))
         spark.conf.set(
-            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted)
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+            str(shuffle_partitions(input_bytes, least)),
         )
     return spark
 

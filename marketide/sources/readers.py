@@ -11,6 +11,14 @@ from pyspark.sql.types import DateType, DoubleType, FloatType, StructType
 from marketide.sources.schemas import TABLES
 
 
+# Quotes inside a field are doubled, and blanks around a value belong to it.
+CSV_DIALECT = {
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
 def find_column(df: DataFrame, name: str) -> str | None:
     """The real spelling of ``name`` in ``df``, ignoring case."""
     return next((c for c in df.columns if c.lower() == name.lower()), None)
@@ -63,13 +71,15 @@ def read_csv(
     path: str,
     schema: StructType | None = None,
     date_format: str | None = None,
+    multiline: bool = False,
 ) -> DataFrame:
     """One CSV file or folder. A byte-order mark and CRLF line ends are accepted.
 
     Columns are matched to ``schema`` by header name, never by position, so a
-    file with its columns in another order reads the same.
+    file with its columns in another order reads the same. ``multiline`` allows line
+    breaks inside quoted fields; such a file cannot be split among tasks.
     """
-    raw = spark.read.csv(path, header=True, encoding="UTF-8")
+    raw = spark.read.csv(path, header=True, encoding="UTF-8", multiLine=multiline, **CSV_DIALECT)
     if schema is not None and date_format is not None:
         raw = parse_dates(
             raw,
@@ -100,13 +110,23 @@ def read_catalog(
     return tables
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` is there, on whichever file system it names."""
+def _file_system(spark: SparkSession, path: str):
+    """``path`` for the JVM, and the file system it is on."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return jvm_path, jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    jvm_path, system = _file_system(spark, path)
     return system.exists(jvm_path)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file or folder, 0 if it is not there; asks the file system, runs no job."""
+    jvm_path, system = _file_system(spark, path)
+    return system.getContentSummary(jvm_path).getLength() if system.exists(jvm_path) else 0
+
+
 def read_optional(
     spark: SparkSession, path: str, schema: StructType | None = None
 ) -> DataFrame | None:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketide.sources.readers import CSV_DIALECT
+
 DATED_FACTS = {"fact_sales": "order_date", "fact_webtraffic": "date"}
 
 
@@ -13,7 +15,7 @@ def write_csv(df: DataFrame, path: str, date_column: str | None = None) -> None:
     out = df
     if date_column is not None:
         out = df.withColumn(date_column, F.date_format(date_column, "yyyy-MM-dd"))
-    out.write.mode("overwrite").csv(path, header=True)
+    out.write.mode("overwrite").csv(path, header=True, **CSV_DIALECT)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:

@@ -29,6 +29,16 @@ def test_columns_are_found_by_name_not_place(spark, tmp_path):
     assert readers.find_column(got, "nothing") is None
 
 
+def test_quotes_blanks_and_line_breaks(spark, tmp_path):
+    text = b'a,b\n"say ""hi"", all", x \n'
+    assert rows(readers.read_csv(spark, _file(tmp_path, "q.csv", text))) == [('say "hi", all', " x ")]
+    broken = b'a,b\n"two\nlines",1\n'
+    got = readers.read_csv(spark, _file(tmp_path, "m.csv", broken), multiline=True)
+    assert rows(got) == [("two\nlines", "1")]
+    writers.write_csv(got, str(tmp_path / "again"))
+    assert rows(readers.read_csv(spark, str(tmp_path / "again"), multiline=True)) == rows(got)
+
+
 def test_date_format_and_bad_dates(spark, tmp_path):
     path = _file(tmp_path, "s.csv", b"Date,Revenue,COGS\n02/01/2020,1,1\n")
     got = readers.read_csv(spark, path, schemas.SALES, date_format="dd/MM/yyyy")
