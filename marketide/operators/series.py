@@ -105,6 +105,46 @@ def daily_sales(lines: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
+def daily_series(
+    lines: DataFrame, labels: dict[str, list[str]], keys: tuple[str, ...] = ()
+) -> DataFrame:
+    """``daily_sales`` with net revenue per label as ``revenue_{column}_{label}``.
+
+    All sums are taken in one pass per day and label combination. The distinct counts
+    read the lines again, but only order, customer and day, for which Catalyst drops
+    the joins to products, promotions and returns.
+    """
+    known = lines.where(F.col("date").isNotNull())
+    combined = known.groupBy("date", *keys, *labels).agg(
+        *part_sums("actual_revenue", "revenue"),
+        *part_sums("gross_profit", "profit"),
+        F.sum("quantity").alias("quantity"),
+        F.sum("is_returned").alias("is_returned"),
+    )
+    sums = combined.groupBy("date", *keys).agg(
+        whole_sum("revenue").alias("actual_revenue"),
+        whole_sum("profit").alias("gross_profit"),
+        sum_or_zero("quantity").alias("quantity"),
+        sum_or_zero("is_returned").alias("is_returned"),
+        *_label_sums(labels),
+    ).alias("s")
+    counts = known.select("date", *keys, "order_id", "customer_id").distinct().groupBy("date", *keys).agg(
+        F.count_distinct("order_id").alias("order_id"),
+        F.count_distinct("customer_id").alias("customer_id"),
+    ).alias("c")
+    same_day = F.col("s.date") == F.col("c.date")
+    for key in keys:
+        same_day = same_day & F.col(f"s.{key}").eqNullSafe(F.col(f"c.{key}"))
+    return sums.join(counts, same_day).select("s.*", "c.order_id", "c.customer_id")
+
+
+def _label_sums(labels: dict[str, list[str]]) -> list[Column]:
+    return [
+        whole_sum("revenue", F.col(c) == label).alias(f"revenue_{c}_{label}")
+        for c, values in labels.items() for label in values
+    ]
+
+
 def daily_slices_long(lines: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """(date, slice, label, revenue): net revenue per day and product label."""
     combined = _by_labels(lines, keys)
@@ -126,11 +166,7 @@ def daily_slices(
     Lines are first summed per day and label combination; the wide sums then run over
     that much smaller table.
     """
-    sums = [
-        whole_sum("revenue", F.col(c) == label).alias(f"revenue_{c}_{label}")
-        for c, values in labels.items() for label in values
-    ]
-    return _by_labels(lines, keys).groupBy("date", *keys).agg(*sums)
+    return _by_labels(lines, keys).groupBy("date", *keys).agg(*_label_sums(labels))
 
 
 def _by_labels(lines: DataFrame, keys: tuple[str, ...]) -> DataFrame:

@@ -411,7 +411,7 @@ _DATE_COLUMNS = {
     "submission_merge": ["Date"],
 } | {
     name: ["date"] for name in (
-        "daily_sales", "daily_sliced_revenue", "daily_slices_long", "latest_days", "calendar_features",
+        "daily_sales", "daily_series", "daily_sliced_revenue", "daily_slices_long", "latest_days", "calendar_features",
         "promo_active_days", "holiday_flags", "cpi_deflate", "inflation_lookup", "lag_features",
         "rolling_features", "ewma_features", "regional_series", "traffic_rolling", "training_matrix",
         "training_matrix_v1", "chrono_split", "expanding_folds", "last_n", "seasonal_forecast",
@@ -496,6 +496,9 @@ def _plain_oracles() -> dict[str, str]:
                 ("fact_webtraffic", _EVENTS_TRAFFIC, 3, "date"),
             ])),
         "daily_sales": with_parts("daily", "SELECT * FROM daily"),
+        "daily_series": with_parts(
+            "daily", "SELECT * FROM daily JOIN sliced USING (date)",
+            sliced=f"SELECT order_date AS date, {_sliced()} FROM sold GROUP BY order_date"),
         "daily_sliced_revenue": with_parts(
             "sold", f"SELECT order_date AS date, {_sliced()} FROM sold GROUP BY order_date"),
         "daily_slices_long": with_parts("sold", " UNION ALL ".join(

@@ -151,6 +151,12 @@ def daily_sales(t: Tables) -> DataFrame:
     return daily(t)
 
 
+@query
+def daily_series(t: Tables) -> DataFrame:
+    wide = series.daily_series(priced(t), LABELS)
+    return wide.toDF(*[c.replace("#", "_") for c in wide.columns])
+
+
 @query
 def daily_sliced_revenue(t: Tables) -> DataFrame:
     wide = series.daily_slices(priced(t), LABELS)
@@ -498,9 +504,7 @@ def training_matrix(t: Tables) -> DataFrame:
 
 @query
 def training_matrix_v1(t: Tables) -> DataFrame:
-    lines = priced(t)
-    slices = series.daily_slices(lines, {"category": ["ECONOMY"], "color": ["red"]})
-    with_slices = series.daily_sales(lines).join(slices, "date")
+    with_slices = series.daily_series(priced(t), {"category": ["ECONOMY"], "color": ["red"]})
     return _rounded(
         series.early_training_matrix(with_slices, t["daily_sessions"]), 2, "revenue_roll_std_7_lag1"
     )

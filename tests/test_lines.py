@@ -110,6 +110,12 @@ def test_daily_sales_and_slices(tables):
         known = r.revenue_category_Streetwear + r.revenue_category_Outdoor
         assert same(known, daily[day].actual_revenue)
     assert wide[d("2020-03-01")].revenue_color_red == 0.0
+    whole = series.daily_series(lines, {"category": ["Streetwear", "Outdoor"], "color": ["red"]})
+    got = {r.date: r.asDict() for r in whole.collect()}
+    assert got == {day: daily[day].asDict() | r.asDict() for day, r in wide.items()}
+    per_color = series.daily_series(lines, {"category": ["Outdoor"]}, ("color",))
+    one_way = series.daily_sales(lines, ("color",))
+    assert rows(per_color.select(*one_way.columns)) == rows(one_way)   # a missing key stays a series
     long = rows(series.daily_slices_long(lines))
     assert (d("2020-01-01"), "color", "red", 699.0) in long
     assert all(label is not None for _, _, label, _ in long)
