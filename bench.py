@@ -18,7 +18,7 @@ from marketide.plans.registry import REGISTRY
 from marketide.session import build_session
 
 HEADLINE = (
-    "fact_sales", "transaction_matrix", "net_revenue_lines", "daily_sales", "daily_sliced_revenue",
+    "fact_sales", "transaction_matrix", "net_revenue_lines", "daily_sales", "daily_series",
     "q1_order_gap", "q2_segment_margin", "q3_return_reason", "q4_bounce_rate", "q5_promoted_share",
     "q6_age_group_orders", "q7_region_revenue", "q8_cancelled_payment", "q9_size_return_rate",
     "q10_installments", "null_profile", "duplicate_profile", "join_reconciliation",

@@ -112,7 +112,7 @@ def daily_series(
 
     All sums are taken in one pass per day and label combination. The distinct counts
     read the lines again, but only order, customer and day, for which Catalyst drops
-    the joins to products, promotions and returns.
+    the joins to products, promotions and returns (all but salted ones).
     """
     known = lines.where(F.col("date").isNotNull())
     combined = known.groupBy("date", *keys, *labels).agg(
