@@ -51,8 +51,9 @@ def table(columns, data):
 def test_every_query_has_sql_but_the_models():
     assert set(REGISTRY) - set(ORACLES) == WITHOUT_SQL
     assert not set(ORACLES) - set(REGISTRY)
-    assert set(entry_point.queries()) == set(REGISTRY)
-    assert entry_point.oracle_sql() == ORACLES
+    assert entry_point.queries().items() >= REGISTRY.items()
+    assert entry_point.oracle_sql().items() >= ORACLES.items()
+    assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
