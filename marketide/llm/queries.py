@@ -3,15 +3,25 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
-from marketide.llm import bpe, counts, exact, packed
-from marketide.llm.tables import read
+from pyspark.sql import functions as F
+
+from marketide.llm import ann, bpe, counts, exact, jaccard, langid, lines, packed, quality
+from marketide.llm.tables import crc_bucket, read
 
 RANKS = "byte_bpe_50k.tiktoken"
 VOCABULARY = "byte_bpe_50k.json"
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_report(read(spark, sf_dir, "documents"))
+
+
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_groups(read(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(read(spark, sf_dir, "documents"), hash_all=True)
 
@@ -20,12 +30,34 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path(RANKS))
 
 
+def op6_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read(spark, sf_dir, "embeddings"))
+
+
 def op7_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = packed.scratch(spark, "ids")
     packed.write(read(spark, sf_dir, "documents"), path, public_tokenizers.path(VOCABULARY))
     return packed.read_documents(spark, path)
 
 
+def _held_out(buckets: int, which: int) -> Column:
+    """Documents that nothing is learned from; those without an id are among them."""
+    return F.coalesce(crc_bucket("doc_id", buckets) == which, F.lit(True))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    learned = langid.profiles(docs.where(~_held_out(4, 2)))
+    return langid.predict(docs, learned).withColumn("held_out", _held_out(4, 2))
+
+
+def op9_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = quality.learn(docs, read(spark, sf_dir, "labels").where(~_held_out(5, 0)))
+    scored = quality.score(docs, model).withColumn("held_out", _held_out(5, 0))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = counts.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
     return found.withColumn("over_limit", found["n_tokens"] > 1024)
@@ -33,7 +65,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op4_exact_dedup, op5_byte_bpe, op7_packed_ids, op10_token_counts)
+    for f in (
+        op2_line_dedup, op3_ngram_jaccard, op4_exact_dedup, op5_byte_bpe, op6_hilbert_neighbours,
+        op7_packed_ids, op8_language_id, op9_quality_gam, op10_token_counts,
+    )
 }
 
 SQL = {
