@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from marketide.llm import pretokens
 from marketide.llm.bpe import text_batches
@@ -110,6 +111,12 @@ def predict(docs: DataFrame, learned: DataFrame, size: int = PROFILE) -> DataFra
     letter get ``und`` and 0, and so do all texts if nothing was learned. Equal distances
     go to the language that sorts first. Rows that repeat a doc_id get a row each.
     """
+    found = annotate(texts(docs), learned, size)
+    return found.select("doc_id", F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"))
+
+
+def annotate(docs: DataFrame, learned: DataFrame, size: int = PROFILE) -> DataFrame:
+    """All columns of ``docs``, and _lang and _score as ``predict`` has them."""
     # At most ``size`` rows for each language.
     table = learned.toPandas()
     langs = sorted(table["lang"].unique())
@@ -122,7 +129,7 @@ def predict(docs: DataFrame, learned: DataFrame, size: int = PROFILE) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, items in text_batches(batches):
             n = len(items)
-            owners, grams = ngrams(items)
+            owners, grams = ngrams([t or "" for t in items])
             pred, score = np.full(n, -1), np.zeros(n)
             if len(grams) and langs:
                 groups, grams, counts = counted(owners, grams)
@@ -146,8 +153,8 @@ def predict(docs: DataFrame, learned: DataFrame, size: int = PROFILE) -> DataFra
                 pred[some] = best[some]
                 score[some] = 1 - distance[best, np.arange(n)][some] / (used[some] * size)
             names = np.array([*langs, UNKNOWN], dtype=object)[pred]
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(0), pa.array(names, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"]
-            )
+            columns = [*rows.columns, pa.array(names, pa.string()), pa.array(score)]
+            yield pa.RecordBatch.from_arrays(columns, [*rows.schema.names, "_lang", "_score"])
 
-    return texts(docs).mapInArrow(run, "doc_id long, lang_pred string, score double")
+    schema = StructType([*docs.schema.fields, StructField("_lang", StringType()), StructField("_score", DoubleType())])
+    return docs.mapInArrow(run, schema)

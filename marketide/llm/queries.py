@@ -7,13 +7,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from marketide.llm import ann, bpe, counts, exact, jaccard, langid, lines, packed, quality
+from marketide.llm import ann, bpe, counts, exact, jaccard, langid, lines, mixing, packed, quality
 from marketide.llm.tables import crc_bucket, read
 
 RANKS = "byte_bpe_50k.tiktoken"
 VOCABULARY = "byte_bpe_50k.json"
 
 
+def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    draws, _ = mixing.mix(read(spark, sf_dir, "documents"))
+    return draws
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_report(read(spark, sf_dir, "documents"))
 
@@ -40,21 +45,21 @@ def op7_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.read_documents(spark, path)
 
 
-def _held_out(buckets: int, which: int) -> Column:
+def held_out(buckets: int, which: int) -> Column:
     """Documents that nothing is learned from; those without an id are among them."""
     return F.coalesce(crc_bucket("doc_id", buckets) == which, F.lit(True))
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    learned = langid.profiles(docs.where(~_held_out(4, 2)))
-    return langid.predict(docs, learned).withColumn("held_out", _held_out(4, 2))
+    learned = langid.profiles(docs.where(~held_out(4, 2)))
+    return langid.predict(docs, learned).withColumn("held_out", held_out(4, 2))
 
 
 def op9_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    model = quality.learn(docs, read(spark, sf_dir, "labels").where(~_held_out(5, 0)))
-    scored = quality.score(docs, model).withColumn("held_out", _held_out(5, 0))
+    model = quality.learn(docs, read(spark, sf_dir, "labels").where(~held_out(5, 0)))
+    scored = quality.score(docs, model).withColumn("held_out", held_out(5, 0))
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
@@ -66,7 +71,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_line_dedup, op3_ngram_jaccard, op4_exact_dedup, op5_byte_bpe, op6_hilbert_neighbours,
+        op1_source_mix, op2_line_dedup, op3_ngram_jaccard, op4_exact_dedup, op5_byte_bpe, op6_hilbert_neighbours,
         op7_packed_ids, op8_language_id, op9_quality_gam, op10_token_counts,
     )
 }
