@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from marketide.llm import bpe, exact, jaccard, langid, mixing
 from marketide.llm.queries import RANKS, held_out
-from marketide.llm.tables import read
 from marketide.llm.packed import scratch
+from marketide.llm.tables import free_names, read
 
 #: Below this score a text's n-grams are unlike those of every language learned.
 LEAST_SCORE = 0.2
@@ -24,9 +24,10 @@ REPEATS = 2.0
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that is known; a missing lang is filled in."""
-    found = langid.annotate(docs, langid.profiles(docs.where(~held_out(4, 2))))
-    stay = found.where((F.col("_lang") != langid.UNKNOWN) & (F.col("_score") >= LEAST_SCORE))
-    return stay.withColumn("lang", F.coalesce(F.col("lang").cast("string"), "_lang")).select(docs.columns)
+    lang, score = free_names(docs, "found_lang", "found_score")
+    found = langid.annotate(docs, langid.profiles(docs.where(~held_out(4, 2))), (lang, score))
+    stay = found.where((F.col(lang) != langid.UNKNOWN) & (F.col(score) >= LEAST_SCORE))
+    return stay.withColumn("lang", F.coalesce(F.col("lang").cast("string"), F.col(lang))).select(docs.columns)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketide.llm.tables import kept, texts
+from marketide.llm.tables import free_names, kept, texts
 
 #: Characters under the prefix hash.
 PREFIX = 256
@@ -85,9 +85,10 @@ def _hash_suspects(docs: DataFrame, prefixes: DataFrame) -> DataFrame:
 
 def drop_exact(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that ``exact_groups`` keeps, with all their columns."""
+    gone_id, gone_hash = free_names(docs, "gone_id", "gone_hash")
     gone = exact_groups(docs).where("NOT kept").select(
-        F.col("doc_id").alias("_gone_id"), F.col("text_sha256").alias("_gone_hash")
+        F.col("doc_id").alias(gone_id), F.col("text_sha256").alias(gone_hash)
     ).distinct()
     digest = F.sha2(normalised(F.coalesce(F.col("text").cast("string"), F.lit(""))), 256)
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_gone_id")) & (digest == F.col("_gone_hash"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(gone_id)) & (digest == F.col(gone_hash))
     return docs.join(gone, same, "left_anti")

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from marketide.llm import linking, pretokens
 from marketide.llm.bpe import text_batches
-from marketide.llm.tables import kept, texts
+from marketide.llm.tables import free_names, kept, texts
 
 WORDS, PERCENT = 5, 80
 
@@ -83,10 +83,6 @@ def shingle_sets(items: list[str], words: int) -> list[np.ndarray]:
     return out
 
 
-def _ids(part: pa.RecordBatch) -> np.ndarray:
-    return part.column(part.schema.get_field_index("doc_id")).to_numpy(zero_copy_only=False)
-
-
 def describe(docs: DataFrame, words: int) -> DataFrame:
     """kind 0: id, size and digest (d0, d1) of each text's set; kind 1: counters of a task (chunk, counts)."""
 
@@ -262,5 +258,7 @@ def similar_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
 def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` whose doc_id is its component's smallest, and rows without doc_id."""
-    gone = similar_groups(docs, words, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone.distinct(), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    (gone_id,) = free_names(docs, "gone_id")
+    found = similar_groups(docs, words, percent).where("doc_id <> component_id")
+    gone = found.select(F.col("doc_id").alias(gone_id)).distinct()
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col(gone_id), "left_anti")

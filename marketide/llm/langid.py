@@ -111,12 +111,11 @@ def predict(docs: DataFrame, learned: DataFrame, size: int = PROFILE) -> DataFra
     letter get ``und`` and 0, and so do all texts if nothing was learned. Equal distances
     go to the language that sorts first. Rows that repeat a doc_id get a row each.
     """
-    found = annotate(texts(docs), learned, size)
-    return found.select("doc_id", F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"))
+    return annotate(texts(docs), learned, ("lang_pred", "score"), size)
 
 
-def annotate(docs: DataFrame, learned: DataFrame, size: int = PROFILE) -> DataFrame:
-    """All columns of ``docs``, and _lang and _score as ``predict`` has them."""
+def annotate(docs: DataFrame, learned: DataFrame, names: tuple[str, str], size: int = PROFILE) -> DataFrame:
+    """All columns of ``docs``, and under ``names`` the language and score that ``predict`` gives."""
     # At most ``size`` rows for each language.
     table = learned.toPandas()
     langs = sorted(table["lang"].unique())
@@ -152,9 +151,9 @@ def annotate(docs: DataFrame, learned: DataFrame, size: int = PROFILE) -> DataFr
                 some = used > 0
                 pred[some] = best[some]
                 score[some] = 1 - distance[best, np.arange(n)][some] / (used[some] * size)
-            names = np.array([*langs, UNKNOWN], dtype=object)[pred]
-            columns = [*rows.columns, pa.array(names, pa.string()), pa.array(score)]
-            yield pa.RecordBatch.from_arrays(columns, [*rows.schema.names, "_lang", "_score"])
+            found = np.array([*langs, UNKNOWN], dtype=object)[pred]
+            columns = [*rows.columns, pa.array(found, pa.string()), pa.array(score)]
+            yield pa.RecordBatch.from_arrays(columns, [*rows.schema.names, *names])
 
-    schema = StructType([*docs.schema.fields, StructField("_lang", StringType()), StructField("_score", DoubleType())])
+    schema = StructType([*docs.schema.fields, StructField(names[0], StringType()), StructField(names[1], DoubleType())])
     return docs.mapInArrow(run, schema)

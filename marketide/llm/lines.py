@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from marketide.llm import linking, pretokens
 from marketide.llm.bpe import text_batches
-from marketide.llm.tables import kept, texts
+from marketide.llm.tables import free_names, kept, texts
 
 SHINGLE = 8
 PERCENT = 80
@@ -205,11 +205,12 @@ def dropped_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` with the dropped lines taken out of text; everything else stays, null texts too."""
-    gone = dropped_lines(docs, percent).select(F.col("doc_id").alias("_id"), F.col("dropped").alias("_dropped"))
+    gone_id, dropped = free_names(docs, "gone_id", "dropped")
+    gone = dropped_lines(docs, percent).toDF(gone_id, dropped)
     lines = F.split(F.col("text"), "\n", -1)
-    rest = F.filter(lines, lambda x, i: ~F.array_contains("_dropped", i))
-    joined = docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left")
-    text = F.when(F.col("_dropped").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
+    rest = F.filter(lines, lambda x, i: ~F.array_contains(dropped, i))
+    joined = docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col(gone_id)), "left")
+    text = F.when(F.col(dropped).isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
     return joined.withColumn("text", text).select(docs.columns)
 
 

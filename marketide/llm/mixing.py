@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketide.llm.tables import kept
+from marketide.llm.tables import free_names, kept
 
 #: Tokens are white-space separated words unless the caller has better counts.
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -189,7 +189,8 @@ def permuted(rows: DataFrame, number: Column, seed: int, name: str = "position")
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, each as often as it is drawn, with all their columns."""
     draws, _ = mix(docs, **options)
-    copies = draws.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_copies"))
-    joined = docs.join(copies, F.col("doc_id").cast("long") == F.col("_id"), "left")
-    times = F.coalesce("_copies", F.lit(1)).cast("int")
-    return joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), times))).select(docs.columns)
+    drawn_id, times, copy = free_names(docs, "drawn_id", "times", "copy")
+    drawn = draws.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(drawn_id)).agg(F.max("copies").alias(times))
+    joined = docs.join(drawn, F.col("doc_id").cast("long") == F.col(drawn_id), "left")
+    copies = F.array_repeat(F.lit(0), F.coalesce(times, F.lit(1)).cast("int"))
+    return joined.withColumn(copy, F.explode(copies)).select(docs.columns)

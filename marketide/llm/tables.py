@@ -10,9 +10,6 @@ from marketide.session import materialise
 #: Text that a Python worker has in hand at once; a longer text makes a batch of its own.
 BATCH_BYTES = 1_000_000
 
-WORK_ID, WORK_TEXT = "doc_id", "text"
-
-
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -20,8 +17,8 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def texts(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id and text (null as empty), and whatever else is asked for; other columns do not travel."""
     return docs.select(
-        F.col(WORK_ID).cast("long").alias(WORK_ID),
-        F.coalesce(F.col(WORK_TEXT).cast("string"), F.lit("")).alias(WORK_TEXT),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         *more,
     )
 
@@ -31,6 +28,17 @@ def kept(df: DataFrame) -> DataFrame:
     return materialise(df)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores in front until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def crc_bucket(column: str, buckets: int) -> Column:
     """crc32 of the column as text, modulo ``buckets``; null for a null."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % buckets

@@ -1,0 +1,89 @@
+"""Fuzzy line dedup against comparing all lines."""
+
+from collections import Counter, defaultdict
+
+import numpy as np
+
+from marketide.llm import lines, queries
+
+
+def brute(texts, percent=80, size=8):
+    """(doc_id, line) of every line that goes, by comparing all pairs."""
+    known = []
+    for i in sorted(texts):
+        for j, line in enumerate((texts[i] or "").split("\n")):
+            line = " ".join(line.lower().split())
+            if line:
+                grams = [line[x:x + size] for x in range(len(line) - size + 1)] if len(line) >= size else [line]
+                known.append((i, j, frozenset(grams)))
+    parent = list(range(len(known)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    where = defaultdict(list)
+    for i, (_, _, s) in enumerate(known):
+        common = Counter(j for x in s for j in where[x])
+        for j, n in common.items():
+            if 100 * n >= percent * (len(s) + len(known[j][2]) - n):
+                a, b = root(i), root(j)
+                parent[max(a, b)] = min(a, b)
+        for x in s:
+            where[x].append(i)
+    return {known[i][:2] for i in range(len(known)) if root(i) != i}
+
+
+def test_query(spark, documents):
+    expected = brute({i: r["text"] for i, r in documents.items()})
+    rows = queries.op2_line_dedup(spark, "/root/testdata/sf0.001").collect()
+    assert {r["doc_id"]: r["n_lines"] for r in rows} == {
+        i: len(r["text"].split("\n")) if r["text"] else 0 for i, r in documents.items()
+    }
+    found = {(r["doc_id"], j) for r in rows for j in r["dropped"]}
+    # Banding may miss a pair near the threshold, and never makes one up.
+    assert found <= expected
+    assert len(found) >= 0.99 * len(expected)
+
+
+def test_signatures_meet_as_often_as_they_should():
+    rng = np.random.default_rng(3)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz "))
+    met = total = strangers = 0
+    for _ in range(150):
+        a = rng.choice(letters, 200)
+        b = a.copy()
+        b[rng.integers(0, 200, 2)] = "#"
+        values = [lines.shingles(["".join(x)])[0] for x in (a, b)]
+        overlap = len(np.intersect1d(*values)) / len(np.union1d(*values))
+        keys = [lines.band_keys(lines.minima(v, np.zeros(1, np.int64)))[:, 0] for v in values]
+        if overlap >= 0.8:
+            total += 1
+            met += bool((keys[0] == keys[1]).any())
+        other = lines.shingles(["".join(rng.choice(letters, 200))])[0]
+        strangers += bool((keys[0] == lines.band_keys(lines.minima(other, np.zeros(1, np.int64)))[:, 0]).any())
+    assert total > 100 and met >= 0.99 * total and not strangers
+
+
+def test_awkward_rows(awkward, nothing):
+    rows = lines.line_report(awkward).collect()
+    assert len(rows) == awkward.count()
+    by_id = {r["doc_id"]: r for r in rows if r["doc_id"] is not None}
+    assert by_id[3]["n_lines"] == 0 and by_id[4]["n_lines"] == 0 and by_id[5]["n_lines"] == 2
+    # The first of two equal lines stays, also within a document; the blank line stays.
+    assert by_id[11]["dropped"] == [2, 4]
+    assert by_id[1]["dropped"] == [] and by_id[2]["dropped"] == [0] and by_id[10]["dropped"] == [0]
+    left = lines.dedup_lines(awkward)
+    assert left.columns == awkward.columns and left.count() == awkward.count()
+    text = {r["doc_id"]: r["text"] for r in left.collect()}
+    assert text[11] == "one line\n\nanother line of words here" and text[2] == "" and text[3] is None
+    assert lines.line_report(nothing).count() == 0
+    assert lines.dedup_lines(nothing).count() == 0
+
+
+def test_hot_line(spark):
+    texts = {i: f"the line that all of them have in common\nown line {i * 7919} of {i ** 3} and {i ** 5}" for i in range(400)}
+    df = spark.createDataFrame(sorted(texts.items()), "doc_id long, text string").repartition(5)
+    gone = {(r["doc_id"], j) for r in lines.line_report(df).collect() for j in r["dropped"]}
+    assert {(i, 0) for i in range(1, 400)} <= gone and (0, 0) not in gone
