@@ -33,42 +33,45 @@ def joined_labels(column: Column | str) -> Column:
     return F.array_join(F.array_sort(F.collect_set(as_column(column))), ", ")
 
 
-# Money is added up in whole units and millionths, two plain integer sums: unlike sums
-# of doubles they do not change with task order and retries, and unlike sums of
-# decimals they cost no more than doubles. They hold up to 9e18 units or 9e12 rows.
+# Money is added up in whole units, millionths and millionths of these, three plain integer
+# sums: unlike sums of doubles they do not change with task order and retries, and unlike
+# sums of decimals they cost no more than doubles. An amount counts to 1e-12; the sums hold
+# up to 9e18 units or 9e12 rows.
 MICROS = 1_000_000
+MONEY_PARTS = ("units", "micros", "picos")
 
 
-def money_parts(amount: Column | str) -> tuple[Column, Column]:
-    """Whole units and millionths of an amount."""
+def money_parts(amount: Column | str) -> tuple[Column, Column, Column]:
+    """Whole units, millionths, and millionths of millionths of an amount."""
     value = as_column(amount)
     units = F.floor(value)
-    return units, F.rint((value - units) * MICROS).cast("long")
+    micros = F.rint((value - units) * MICROS)
+    picos = F.rint((value - units - micros / MICROS) * MICROS * MICROS)
+    return units, micros.cast("long"), picos.cast("long")
 
 
-def _joined(units: Column, micros: Column) -> Column:
+def _joined(units: Column, micros: Column, picos: Column) -> Column:
     whole = units.cast("decimal(20,0)") + micros.cast("decimal(20,0)") * F.lit(Decimal("0.000001"))
-    return F.coalesce(whole.cast("double"), F.lit(0.0))
+    rest = picos.cast("decimal(20,0)") * F.lit(Decimal("0.000000000001"))
+    return F.coalesce((whole + rest).cast("double"), F.lit(0.0))
 
 
 def exact_sum(amount: Column | str) -> Column:
-    """Aggregate: an exact money sum; over nothing but NULLs it is 0."""
-    units, micros = money_parts(amount)
-    return _joined(F.sum(units), F.sum(micros))
+    """Aggregate: a money sum that is the same in every run; over nothing but NULLs it is 0."""
+    return _joined(*map(F.sum, money_parts(amount)))
 
 
 def part_sums(amount: Column | str, name: str) -> list[Column]:
-    """Aggregates: an exact sum left in two columns, for a later ``whole_sum``."""
-    units, micros = money_parts(amount)
-    return [F.sum(units).alias(f"{name}_units"), F.sum(micros).alias(f"{name}_micros")]
+    """Aggregates: such a sum left in three columns, for a later ``whole_sum``."""
+    return [F.sum(p).alias(f"{name}_{part}") for p, part in zip(money_parts(amount), MONEY_PARTS)]
 
 
 def whole_sum(name: str, condition: Column | None = None) -> Column:
     """Aggregate: the total of what ``part_sums`` left, of the rows that meet the condition."""
-    units, micros = F.col(f"{name}_units"), F.col(f"{name}_micros")
+    parts = [F.col(f"{name}_{part}") for part in MONEY_PARTS]
     if condition is not None:
-        units, micros = F.when(condition, units), F.when(condition, micros)
-    return _joined(F.sum(units), F.sum(micros))
+        parts = [F.when(condition, p) for p in parts]
+    return _joined(*map(F.sum, parts))
 
 
 def sum_or_zero(column: Column | str) -> Column:

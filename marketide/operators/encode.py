@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.ml import Pipeline
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketide.operators.skew import DEFAULT, Spread, join_spread
+from marketide.session import materialise
 
 # Ordinal codes.
 SIZE_CODES = {"S": 1, "M": 2, "L": 3, "XL": 4, "XXL": 5}
@@ -59,31 +60,25 @@ def one_hot(
     return df.select(*kept, *flags)
 
 
-def frequency_rank(df: DataFrame, column: str, prefix: int = 2) -> DataFrame:
+def frequency_rank(df: DataFrame, column: str) -> DataFrame:
     """Per label (NULL included) its count and its rank, rarest = 1, ties in label order.
 
-    A plain ranking would sort all labels in one task. Here a rank is the number of
-    labels with a smaller count, plus those of the same count with smaller first
-    letters, plus the place among the rest; letters and label sort alike. Only the
-    distinct counts meet in one task: k of them need at least k^2 / 2 rows.
+    A plain ranking would sort all labels in one task. Here labels are range-partitioned
+    by (count, label), so every task ranks its own range, and a label's rank is its place
+    there after all labels of earlier ranges: one figure per range.
     """
     counts = df.groupBy(F.col(column).alias("label")).agg(F.count("*").alias("n"))
-    grouped = counts.withColumn("letters", F.coalesce(
-        F.concat(F.lit("="), F.substring("label", 1, prefix)), F.lit("")
-    ))
-    sizes = grouped.groupBy("n", "letters").agg(F.count("*").alias("size"))
-
-    def sum_before(w) -> Column:
-        return F.coalesce(F.sum("size").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-
-    by_letters = sizes.select("n", "letters", sum_before(
-        Window.partitionBy("n").orderBy("letters")).alias("before_letters"))
-    by_count = sizes.groupBy("n").agg(F.sum("size").alias("size")).select(
-        "n", sum_before(Window.orderBy("n")).alias("before_count"))
-    place = F.row_number().over(Window.partitionBy("n", "letters").orderBy("label"))
-    ranked = grouped.withColumn("place", place).join(by_letters, ["n", "letters"]).join(by_count, "n")
-    rank = F.col("before_count") + F.col("before_letters") + F.col("place")
-    return ranked.select(F.col("label").alias(column), "n", rank.cast("int").alias("rank"))
+    order = ["n", F.col("label").asc_nulls_first()]
+    # The high bits of the id are the range, the low 33 the place in it.
+    placed = materialise(
+        counts.repartitionByRange(*order).sortWithinPartitions(*order)
+        .withColumn("id", F.monotonically_increasing_id())
+    ).withColumn("range", F.shiftright("id", 33))
+    sizes = placed.groupBy("range").agg(F.count("*").alias("size"))
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("range", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"))
+    rank = F.col("before") + F.col("id").bitwiseAND((1 << 33) - 1) + 1
+    return placed.join(before, "range").select(F.col("label").alias(column), "n", rank.cast("int").alias("rank"))
 
 
 def rank_encode(df: DataFrame, column: str, spread: Spread = DEFAULT) -> DataFrame:
@@ -133,5 +128,15 @@ def scaler_stages(features: list[str], out: str = "features") -> list:
 
 
 def scaled(df: DataFrame, features: list[str]) -> DataFrame:
-    """The scaled features as a vector column ``features``."""
-    return Pipeline(stages=scaler_stages(features)).fit(df).transform(df).drop("raw_features")
+    """The features at zero mean and unit population deviation, as a vector column ``features``.
+
+    A feature that never changes becomes 0 throughout.
+    """
+    figures = df.agg(*[
+        f(name).alias(f"{f.__name__}_{i}") for i, name in enumerate(features) for f in (F.avg, F.stddev_pop)
+    ]).first()
+    columns = [
+        (F.col(name) - F.lit(figures[f"avg_{i}"])) / F.lit(figures[f"stddev_pop_{i}"] or 1.0)
+        for i, name in enumerate(features)
+    ]
+    return df.withColumn("features", array_to_vector(F.array(*[c.cast("double") for c in columns])))

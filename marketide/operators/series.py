@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from marketide.functions.scalars import (
     calendar_columns,
     harmonic_columns,
+    MONEY_PARTS,
     part_sums,
     sum_or_zero,
     whole_sum,
@@ -150,7 +151,7 @@ def daily_slices_long(lines: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame
     combined = _by_labels(lines, keys)
     return (
         combined.unpivot(
-            ["date", *keys, "revenue_units", "revenue_micros"], list(SLICES), "slice", "label"
+            ["date", *keys, *(f"revenue_{part}" for part in MONEY_PARTS)], list(SLICES), "slice", "label"
         )
         .where(F.col("label").isNotNull())
         .groupBy("date", *keys, "slice", "label")

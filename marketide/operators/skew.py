@@ -1,11 +1,12 @@
 """Joins that stay balanced when a few keys hold most of the rows.
 
 A plain hash shuffle sends all rows of one key to one task. Here the frequent keys
-of the large side are found with a small mergeable sketch, their rows are dealt
-over several tasks by a salt, and the few matching rows of the other side are
-repeated once per salt. All other keys keep salt 0 and are shuffled once, as usual.
+of the large side are counted first, on the key columns alone; their rows are dealt
+over several tasks by a salt, and the few matching rows of the other side are repeated
+once per salt. All other keys keep salt 0 and are shuffled once, as usual.
 
-The sketch only decides where rows travel: a missed key costs time, never rows.
+The list of frequent keys is computed once and written to the shared folder, so that
+both sides of a join see the same one.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketide.session import materialise
+
 
 @dataclass(frozen=True)
 class Spread:
@@ -23,18 +26,14 @@ class Spread:
     ``above_bytes``: a side smaller than this fits in one task whatever its keys are,
     so looking for frequent keys would only cost a scan.
     ``rows_per_task``: a frequent key is dealt over enough tasks to leave each about this many.
-    ``tracked`` bounds the sketch, ``max_keys`` the list of frequent keys and with it
-    the broadcast. Any key with more than about 4 / tracked of the rows is found.
+    There are at most rows / rows_per_task frequent keys, each listed in 12 bytes: 3 MB for
+    1e12 rows.
     ``broadcast_small``: a right side below the session's broadcast threshold is left to
     Catalyst, which then broadcasts it and shuffles nothing.
     """
 
     above_bytes: int = 256 * 1024 * 1024
     rows_per_task: int = 4_000_000
-    tracked: int = 8192
-    max_keys: int = 512
-    slices: int = 64
-    null_tasks: int = 4096
     broadcast_small: bool = True
 
 
@@ -75,31 +74,26 @@ def _any_null(columns: list[Column]) -> Column:
 def frequent_keys(
     df: DataFrame, key_sets: dict[str, list[str]], spread: Spread = DEFAULT
 ) -> dict[str, DataFrame]:
-    """Per named key set at most ``max_keys`` rows: hash of a frequent key, tasks to deal it over.
+    """Per named key set: hash of every frequent key, tasks to deal it over.
 
-    All key sets are counted in one scan of their columns. Sketches are merged in two
-    steps so that no single task receives one per input split.
+    All key sets are counted in one scan of their columns; counting starts in each task,
+    so a frequent key is a row per task by the time it is shuffled. Keys with a NULL are
+    not counted.
     """
     hashes = [
-        F.when(~_any_null([F.col(k) for k in keys]), F.xxhash64(*keys)).alias(name)
+        F.struct(
+            F.lit(name).alias("key_set"),
+            F.when(~_any_null([F.col(k) for k in keys]), F.xxhash64(*keys)).alias("item"),
+        )
         for name, keys in key_sets.items()
     ]
-    slices = F.pmod(F.spark_partition_id(), F.lit(spread.slices)).alias("slice")
-    sliced = df.select(*hashes, slices).groupBy("slice").agg(
-        *[F.expr(f"approx_top_k_accumulate({n}, {spread.tracked})").alias(n) for n in key_sets]
-    )
-    # Grouped by a constant rather than ungrouped: an ungrouped combine fails on empty partitions.
-    merged = sliced.groupBy(F.pmod("slice", F.lit(1)).alias("all")).agg(
-        *[F.expr(f"approx_top_k_combine({n}, {spread.tracked})").alias(n) for n in key_sets]
-    )
-    lists = [
-        f"transform(approx_top_k_estimate({n}, {spread.max_keys}), "
-        f"x -> struct('{n}' AS key_set, x.item AS item, x.count AS n))"
-        for n in key_sets
-    ]
-    found = merged.select(F.inline(F.expr(f"concat({', '.join(lists)})"))).where(
-        (F.col("n") > spread.rows_per_task) & F.col("item").isNotNull()
+    counted = (
+        df.select(F.inline(F.array(*hashes)))
+        .where(F.col("item").isNotNull())
+        .groupBy("key_set", "item")
+        .agg(F.count("*").alias("n"))
     )
+    found = materialise(counted.where(F.col("n") > spread.rows_per_task))
     return {
         name: found.where(F.col("key_set") == name).select(
             F.col("item").alias(f"{name}_hash"),
@@ -112,7 +106,7 @@ def frequent_keys(
 def _tag(df: DataFrame, keys: list[str], hot: DataFrame, prefix: str) -> DataFrame:
     """Add ``{prefix}_tasks``: NULL unless the row's key is frequent.
 
-    The broadcast list has at most ``max_keys`` rows by construction of the sketch.
+    The broadcast list has at most rows / ``rows_per_task`` rows, see ``Spread``.
     """
     hashed = df.withColumn(f"{prefix}_hash", F.xxhash64(*[F.col(k) for k in keys]))
     return hashed.join(F.broadcast(hot), f"{prefix}_hash", "left").drop(f"{prefix}_hash")
@@ -154,7 +148,7 @@ def join_spread(
     right = _same_key_types(left, right, keys)
     columns = [F.col(k) for k in keys]
     salt = (
-        F.when(_any_null(columns), _dealt(F.lit(spread.null_tasks)))
+        F.when(_any_null(columns), F.spark_partition_id())
         .when(F.col("hot_tasks").isNotNull(), _dealt(F.col("hot_tasks")))
         .otherwise(F.lit(0))
     )
@@ -177,8 +171,9 @@ def attach_to_lines(
     """Order lines, with one order-grain table and any (order, product)-grain tables joined on.
 
     Every side is placed by (order_id, salt) with an explicit repartition, which also
-    serves the joins on (order_id, product_id): the lines are shuffled once. An order too large for a task is cut by product, and a single
-    (order, product) too large for a task is dealt out by input split.
+    serves the joins on (order_id, product_id): the lines are shuffled once. An order too
+    large for a task is cut by product; a single (order, product) too large for a task, and
+    the lines of such an order that have no product, are dealt out by input split.
     """
     pair = ["order_id", "product_id"]
     if not is_large(lines, spread):
@@ -198,9 +193,9 @@ def attach_to_lines(
 
     out = tag(lines).withColumn(
         "salt",
-        F.when(F.col("order_id").isNull(), _dealt(F.lit(spread.null_tasks)))
+        F.when(F.col("order_id").isNull(), F.spark_partition_id())
         .when(order_tasks.isNull(), F.lit(0))
-        .when(pair_tasks.isNotNull(), _dealt(order_tasks))
+        .when(pair_tasks.isNotNull() | F.col("product_id").isNull(), _dealt(order_tasks))
         .otherwise(by_product),
     ).drop(*tags).repartition(*place)
 

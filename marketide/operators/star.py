@@ -106,6 +106,16 @@ def fact_sales(
     )
 
 
+def revenue_lines(
+    order_items: DataFrame, orders: DataFrame, promotions: DataFrame, spread: Spread = DEFAULT
+) -> DataFrame:
+    """order_id, customer_id and net revenue of every line, as the sales fact has them, and nothing else."""
+    per_order = order_grain(order_items, orders.select("order_id", "customer_id"), totals=True)
+    lines = attach_to_lines(order_items, per_order, [], spread)
+    lines = attach_promotions(lines, promotions, probe=order_items, spread=spread)
+    return with_net_revenue(lines).select("order_id", "customer_id", "actual_revenue")
+
+
 def transaction_matrix(
     order_items: DataFrame,
     orders: DataFrame,

@@ -20,7 +20,7 @@ from marketide.operators import (
     series,
     star,
 )
-from marketide.operators.skew import join_spread
+from marketide.operators.skew import DEFAULT, Spread, join_spread
 from marketide.session import materialise, shared_dir, tune
 from marketide.sources import readers, roles, writers
 
@@ -41,6 +41,9 @@ LABELS = {
 }
 Q3_CATEGORY = "ECONOMY"
 
+# The entries named *_spread take the path of large tables: every key above a thousand rows is dealt out.
+FORCED = Spread(above_bytes=0, rows_per_task=1000, broadcast_small=False)
+
 TRANSACTION_TABLES = ("order_items", "orders", "payments", "shipments", "returns", "reviews")
 
 
@@ -61,14 +64,16 @@ def _pick(t: Tables, *names: str) -> list[DataFrame]:
     return [t[n] for n in names]
 
 
-def priced(t: Tables) -> DataFrame:
+def priced(t: Tables, spread: Spread = DEFAULT) -> DataFrame:
     return series.priced_lines(
-        *_pick(t, "order_items", "orders", "returns", "products", "promotions")
+        *_pick(t, "order_items", "orders", "returns", "products", "promotions"), spread=spread
     )
 
 
 def daily(t: Tables) -> DataFrame:
-    return series.daily_sales(priced(t))
+    """The daily series, its sums rounded far below the amounts' own digits, so that figures
+    derived from it do not hang on the last digit of a double."""
+    return _rounded(series.daily_sales(priced(t)), 6)
 
 
 def kept_daily(t: Tables) -> DataFrame:
@@ -76,10 +81,12 @@ def kept_daily(t: Tables) -> DataFrame:
     return materialise(daily(t))
 
 
-def _fact_sales(t: Tables) -> DataFrame:
-    return star.fact_sales(
-        *_pick(t, "order_items", "orders", "payments", "shipments", "returns", "products", "promotions")
+def _fact_sales(t: Tables, spread: Spread = DEFAULT) -> DataFrame:
+    fact = star.fact_sales(
+        *_pick(t, "order_items", "orders", "payments", "shipments", "returns", "products", "promotions"),
+        spread=spread,
     )
+    return fact.withColumn("return_quantity", F.col("return_quantity").cast("double"))
 
 
 # --- star schema and lines -------------------------------------------------------
@@ -97,7 +104,12 @@ def dim_customer(t: Tables) -> DataFrame:
 
 @query
 def fact_sales(t: Tables) -> DataFrame:
-    return _fact_sales(t).withColumn("return_quantity", F.col("return_quantity").cast("double"))
+    return _fact_sales(t)
+
+
+@query
+def fact_sales_spread(t: Tables) -> DataFrame:
+    return _fact_sales(t, FORCED)
 
 
 @query
@@ -105,6 +117,11 @@ def transaction_matrix(t: Tables) -> DataFrame:
     return star.transaction_matrix(*_pick(t, *TRANSACTION_TABLES))
 
 
+@query
+def transaction_matrix_spread(t: Tables) -> DataFrame:
+    return star.transaction_matrix(*_pick(t, *TRANSACTION_TABLES), spread=FORCED)
+
+
 @query
 def net_revenue_lines(t: Tables) -> DataFrame:
     return star.net_revenue_lines(*_pick(t, *TRANSACTION_TABLES, "promotions")).select(
@@ -153,19 +170,25 @@ def daily_sales(t: Tables) -> DataFrame:
 
 @query
 def daily_series(t: Tables) -> DataFrame:
-    wide = series.daily_series(priced(t), LABELS)
+    wide = _rounded(series.daily_series(priced(t), LABELS), 6)
+    return wide.toDF(*[c.replace("#", "_") for c in wide.columns])
+
+
+@query
+def daily_series_spread(t: Tables) -> DataFrame:
+    wide = _rounded(series.daily_series(priced(t, FORCED), LABELS), 6)
     return wide.toDF(*[c.replace("#", "_") for c in wide.columns])
 
 
 @query
 def daily_sliced_revenue(t: Tables) -> DataFrame:
-    wide = series.daily_slices(priced(t), LABELS)
+    wide = _rounded(series.daily_slices(priced(t), LABELS), 6)
     return wide.toDF(*[c.replace("#", "_") for c in wide.columns])
 
 
 @query
 def daily_slices_long(t: Tables) -> DataFrame:
-    return series.daily_slices_long(priced(t))
+    return _rounded(series.daily_slices_long(priced(t)), 6)
 
 
 # --- questions -------------------------------------------------------------------
@@ -224,15 +247,19 @@ def q6_age_group_orders(t: Tables) -> DataFrame:
     )
 
 
+def _region_revenue(t: Tables) -> DataFrame:
+    lines = star.revenue_lines(*_pick(t, "order_items", "orders", "promotions"))
+    return _rounded(questions.q7_region_revenue(lines, _dim_customer(t)), 6)
+
+
 @query
 def q7_region_revenue(t: Tables) -> DataFrame:
-    regions = questions.q7_region_revenue(_fact_sales(t), _dim_customer(t))
-    return questions.top_label(regions, "region", "actual_revenue")
+    return questions.top_label(_region_revenue(t), "region", "actual_revenue")
 
 
 @query
 def q7_region_revenue_report(t: Tables) -> DataFrame:
-    return questions.q7_region_revenue(_fact_sales(t), _dim_customer(t))
+    return _region_revenue(t)
 
 
 @query
@@ -364,7 +391,7 @@ def encoded_promotions(t: Tables) -> DataFrame:
     coded = encode.encode_promotions(
         t["promotions"],
         {"promo_type": ["fixed", "percentage"],
-         "promo_channel": ["all_channels", "email", "in_store", "online", "social_media"]},
+         "promo_channel": ["call_centre", "mobile_app", "storefront", "voucher"]},
     )
     used = t["order_items"].groupBy("promo_id").agg(F.count("*").alias("n_lines"))
     return coded.join(used, "promo_id", "left")
@@ -470,7 +497,7 @@ def _regional_lines(t: Tables) -> DataFrame:
 @query
 def regional_series(t: Tables) -> DataFrame:
     """The window features over five series side by side."""
-    by_region = series.daily_sales(_regional_lines(t), ("region",)).select(
+    by_region = _rounded(series.daily_sales(_regional_lines(t), ("region",)), 6).select(
         "region", "date", "actual_revenue"
     )
     out = series.add_lags(by_region, "actual_revenue", (1, 7), "date", ("region",))
@@ -504,7 +531,7 @@ def training_matrix(t: Tables) -> DataFrame:
 
 @query
 def training_matrix_v1(t: Tables) -> DataFrame:
-    with_slices = series.daily_series(priced(t), {"category": ["ECONOMY"], "color": ["red"]})
+    with_slices = _rounded(series.daily_series(priced(t), {"category": ["ECONOMY"], "color": ["red"]}), 6)
     return _rounded(
         series.early_training_matrix(with_slices, t["daily_sessions"]), 2, "revenue_roll_std_7_lag1"
     )
@@ -715,7 +742,7 @@ def regional_forecast(t: Tables) -> DataFrame:
     """One model over all regions, five series forecast side by side."""
     keys = ("region",)
     lines = _regional_lines(t).where(F.col("region").isNotNull())
-    by_region = series.daily_sales(lines, keys)
+    by_region = _rounded(series.daily_sales(lines, keys), 6)
     matrix = series.training_matrix(
         by_region, t["promotions"], t["cpi"], t["holidays"], t["daily_sessions"], keys
     )

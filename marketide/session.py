@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,15 +22,12 @@ PLAN_SETTINGS = {
 }
 
 # Starting size of shuffles, before adaptive execution merges what turns out small.
-# Past some number of partitions their blocks get too small to fetch well.
 SHUFFLE_PARTITION_BYTES = 512 * 1024 * 1024
-MOST_SHUFFLE_PARTITIONS = 50_000
 
 
 def shuffle_partitions(input_bytes: int, least: int) -> int:
     """Partitions to start a shuffle of this much data with, ``least`` or more."""
-    wanted = -(-input_bytes // SHUFFLE_PARTITION_BYTES)
-    return max(least, min(wanted, MOST_SHUFFLE_PARTITIONS))
+    return max(least, -(-input_bytes // SHUFFLE_PARTITION_BYTES))
 
 
 def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
@@ -48,6 +46,8 @@ def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
 def build_session(app: str = "marketide", master: str | None = None, **conf: str) -> SparkSession:
     """A tuned session; ``conf`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app)
+    # What was materialised goes when no plan refers to it any more.
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
@@ -63,7 +63,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor reaches")
     folder = tempfile.mkdtemp(prefix="marketide-")
     spark.conf.set("spark.checkpoint.dir", folder)

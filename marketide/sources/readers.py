@@ -75,11 +75,12 @@ def read_csv(
 ) -> DataFrame:
     """One CSV file or folder. A byte-order mark and CRLF line ends are accepted.
 
-    Columns are matched to ``schema`` by header name, never by position, so a
-    file with its columns in another order reads the same. ``multiline`` allows line
-    breaks inside quoted fields; such a file cannot be split among tasks.
+    Columns are matched by header name, never by position: the files of a folder may
+    have their columns in different orders. ``multiline`` allows line breaks inside quoted
+    fields; such a file cannot be split among tasks.
     """
-    raw = spark.read.csv(path, header=True, encoding="UTF-8", multiLine=multiline, **CSV_DIALECT)
+    options = {"header": True, "encoding": "UTF-8", "multiLine": multiline, **CSV_DIALECT}
+    raw = _by_header(spark, path, options)
     if schema is not None and date_format is not None:
         raw = parse_dates(
             raw,
@@ -92,6 +93,36 @@ def read_csv(
     return conform(raw, schema)
 
 
+def _first_line(spark: SparkSession, path: str) -> str:
+    """The header of a file, without byte-order mark and line end."""
+    jvm_path, system = _file_system(spark, path)
+    java = spark._jvm.java.io
+    lines = java.BufferedReader(java.InputStreamReader(system.open(jvm_path), "UTF-8"))
+    try:
+        return (lines.readLine() or "").lstrip("\ufeff")
+    finally:
+        lines.close()
+
+
+def _by_header(spark: SparkSession, path: str, options: dict) -> DataFrame:
+    """The files of ``path``, those with one header read together, and all joined by column name."""
+    files = [path]
+    jvm_path, system = _file_system(spark, path)
+    if system.exists(jvm_path) and system.getFileStatus(jvm_path).isDirectory():
+        listed = (f.getPath() for f in system.listStatus(jvm_path) if f.isFile() and f.getLen() > 0)
+        files = sorted(f.toString() for f in listed if not f.getName().startswith(("_", ".")))
+    if len(files) < 2:
+        return spark.read.csv(path, **options)
+    groups: dict[str, list[str]] = {}
+    for name in files:
+        groups.setdefault(_first_line(spark, name), []).append(name)
+    frames = [spark.read.csv(group, **options) for group in groups.values()]
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame, allowMissingColumns=True)
+    return out
+
+
 def read_table(spark: SparkSession, root: str, name: str, fmt: str = "csv") -> DataFrame:
     """A table of the catalog from ``root``, in its declared types."""
     schema = TABLES.get(name)

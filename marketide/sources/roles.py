@@ -12,17 +12,19 @@ from pyspark.sql import functions as F
 
 from marketide.sources.readers import nan_to_null
 
-# Test promotions. P7 is left out on purpose: lines that carry it match nothing.
+# Test promotions, one per discount step of the lines but the seventh, so that lines with P7
+# match nothing. They cover: no minimum and minimums below, around and above usual orders,
+# small shares and a fixed amount above most line values, categories, stacking.
 PROMOTION_ROWS = """
-    ('P1',  'Spring',  'percentage', 12.0,   DATE'1995-03-18', DATE'1995-04-17', CAST(NULL AS STRING), 'email',        1, 0),
-    ('P2',  'Mid',     'percentage', 18.0,   DATE'1996-06-23', DATE'1996-07-22', CAST(NULL AS STRING), 'online',       0, 0),
-    ('P3',  'Fall',    'percentage', 10.0,   DATE'1997-08-30', DATE'1997-10-02', CAST(NULL AS STRING), 'email',        0, 100000),
-    ('P4',  'Year',    'percentage', 20.0,   DATE'1997-11-18', DATE'1998-01-02', CAST(NULL AS STRING), 'all_channels', 0, 150000),
-    ('P5',  'Urban',   'fixed',      50.0,   DATE'1998-07-30', DATE'1998-09-02', 'ECONOMY',            'online',       0, 150000),
-    ('P6',  'Rural',   'fixed',      5000.0, DATE'1999-01-31', DATE'1999-03-01', 'PROMO',              'in_store',     0, 0),
-    ('P8',  'Surplus', 'fixed',      90000.0,DATE'1999-02-15', DATE'1999-03-20', CAST(NULL AS STRING), 'social_media', 1, 0),
-    ('P9',  'Club',    'percentage', 15.0,   DATE'2000-05-01', DATE'2000-06-15', 'LARGE',              'online',       0, 200000),
-    ('P10', 'Close',   'percentage', 25.0,   DATE'2000-12-01', DATE'2001-01-31', CAST(NULL AS STRING), 'all_channels', 1, 200000)
+    ('P1',  'first basket',   'percentage', 7.5,     DATE'1995-01-09', DATE'1995-11-24', CAST(NULL AS STRING), 'mobile_app', 1, 0),
+    ('P2',  'parcel voucher', 'fixed',      240.0,   DATE'1995-12-04', DATE'1996-05-10', CAST(NULL AS STRING), 'voucher',    0, 0),
+    ('P3',  'bulk buyer',     'percentage', 33.0,    DATE'1996-05-13', DATE'1996-09-27', CAST(NULL AS STRING), 'call_centre', 1, 90000),
+    ('P4',  'thousand off',   'fixed',      1000.0,  DATE'1996-10-07', DATE'1997-02-14', CAST(NULL AS STRING), 'mobile_app', 0, 60000),
+    ('P5',  'jubilee',        'percentage', 5.0,     DATE'1997-06-16', DATE'1997-06-29', 'STANDARD',           'storefront', 0, 120000),
+    ('P6',  'shelf clearing', 'fixed',      65000.0, DATE'1997-12-08', DATE'1998-03-06', 'SMALL',              'storefront', 1, 0),
+    ('P8',  'giant order',    'percentage', 12.5,    DATE'1998-08-10', DATE'1999-08-13', CAST(NULL AS STRING), 'call_centre', 0, 260000),
+    ('P9',  'points redeemed','fixed',      15.0,    DATE'1999-10-18', DATE'2000-04-21', 'MEDIUM',             'voucher',    1, 45000),
+    ('P10', 'end of range',   'percentage', 45.0,    DATE'2000-07-03', DATE'2001-05-25', CAST(NULL AS STRING), 'storefront', 0, 0)
 """
 
 # Test holidays: new year, two spring days and one autumn day.

@@ -10,11 +10,19 @@ from marketide.sources.readers import CSV_DIALECT
 DATED_FACTS = {"fact_sales": "order_date", "fact_webtraffic": "date"}
 
 
-def write_csv(df: DataFrame, path: str, date_column: str | None = None) -> None:
-    """A folder of UTF-8 CSV parts with headers. No byte-order mark is written."""
+BOM = "\ufeff"
+
+
+def write_csv(df: DataFrame, path: str, date_column: str | None = None, bom: bool = False) -> None:
+    """A folder of UTF-8 CSV parts with headers, each begun by a byte-order mark if asked for.
+
+    The mark goes in front of the first header name, so it is the first thing in a file.
+    """
     out = df
     if date_column is not None:
         out = df.withColumn(date_column, F.date_format(date_column, "yyyy-MM-dd"))
+    if bom:
+        out = out.toDF(*[BOM + c if i == 0 else c for i, c in enumerate(out.columns)])
     out.write.mode("overwrite").csv(path, header=True, **CSV_DIALECT)
 
 

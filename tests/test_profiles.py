@@ -1,6 +1,7 @@
 """Encoders and data-quality profiles."""
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.ml.functions import vector_to_array
 
 from helpers import d, retail, rows
@@ -35,9 +36,8 @@ def test_frequency_rank_orders_count_then_label(spark):
     df = spark.createDataFrame([(x,) for x in labels], "city string")
     counts = {x: labels.count(x) for x in set(labels)}
     order = sorted(counts, key=lambda x: (counts[x], x is not None, x or ""))
-    for prefix in (1, 2, 5):
-        got = {r.city: r["rank"] for r in encode.frequency_rank(df, "city", prefix).collect()}
-        assert got == {x: i for i, x in enumerate(order, start=1)}
+    got = {r.city: r["rank"] for r in encode.frequency_rank(df, "city").collect()}
+    assert got == {x: i for i, x in enumerate(order, start=1)}
     eager = Spread(above_bytes=0, rows_per_task=2, broadcast_small=False)
     for spread in (Spread(), eager):
         coded = [r.city for r in encode.rank_encode(df, "city", spread).collect()]
@@ -56,10 +56,21 @@ def test_encoded_tables(tables):
     assert "region_North" in encode.encode_geography(tables["geography"]).columns
 
 
-def test_scaling_uses_sample_deviation(spark):
+def test_labels_that_begin_alike_are_ranked_in_many_tasks(spark):
+    df = spark.range(4000).select(F.concat(F.lit("customer_"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("k"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        ranked = encode.frequency_rank(df, "k")
+        got = {r.k: r["rank"] for r in ranked.collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert got == {f"customer_{i:06d}": i + 1 for i in range(4000)}
+
+
+def test_scaling_uses_population_deviation(spark):
     df = spark.createDataFrame([(1.0, 5.0), (2.0, 7.0), (3.0, 12.0)], "a double, b double")
     got = encode.scaled(df, ["a", "b"]).select(vector_to_array("features")[0].alias("x"))
-    assert sorted(r.x for r in got.collect()) == pytest.approx([-1.0, 0.0, 1.0])
+    assert sorted(r.x for r in got.collect()) == pytest.approx([-1.5**0.5, 0.0, 1.5**0.5])
 
 
 def test_null_profile_counts_nan(spark):

@@ -16,7 +16,7 @@ def test_settings_and_shuffle_size(spark):
     tune(spark, 0)
     assert spark.conf.get(initial) == before
     spark.conf.unset(initial)
-    assert shuffle_partitions(10**15, 200) == 50_000
+    assert shuffle_partitions(10**15, 200) == 1_862_646
     assert shuffle_partitions(10**14, 200) > 200
     assert shuffle_partitions(1, 200) == 200
 

@@ -29,6 +29,24 @@ def test_columns_are_found_by_name_not_place(spark, tmp_path):
     assert readers.find_column(got, "nothing") is None
 
 
+def test_files_of_a_folder_may_order_their_columns(spark, tmp_path):
+    (tmp_path / "orders.csv").mkdir()
+    _file(tmp_path / "orders.csv", "a.csv", b"order_id,customer_id\n1,100\n2,200\n")
+    _file(tmp_path / "orders.csv", "b.csv", "\ufeffcustomer_id,order_id\r\n300,3\r\n".encode())
+    _file(tmp_path / "orders.csv", "c.csv", b"order_id,customer_id\n4,400\n")
+    got = readers.read_csv(spark, str(tmp_path / "orders.csv"))
+    assert rows(got.select("order_id", "customer_id")) == [("1", "100"), ("2", "200"), ("3", "300"), ("4", "400")]
+
+
+def test_byte_order_mark_on_request(spark, tmp_path):
+    df = spark.createDataFrame([(1, "x"), (2, None), (3, "")], "a int, b string")
+    writers.write_csv(df, str(tmp_path / "out"), bom=True)
+    parts = [p for p in (tmp_path / "out").glob("part-*") if p.stat().st_size]
+    assert parts and all(p.read_bytes().startswith(b"\xef\xbb\xbfa,b") for p in parts)
+    # An empty text is missing, as in any CSV.
+    assert rows(readers.read_csv(spark, str(tmp_path / "out"))) == [("1", "x"), ("2", None), ("3", None)]
+
+
 def test_quotes_blanks_and_line_breaks(spark, tmp_path):
     text = b'a,b\n"say ""hi"", all", x \n'
     assert rows(readers.read_csv(spark, _file(tmp_path, "q.csv", text))) == [('say "hi", all', " x ")]
