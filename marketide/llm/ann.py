@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketide.llm.tables import kept
@@ -83,7 +83,7 @@ def _projection(length: int, ordering: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def curves(rows: DataFrame, orderings: int) -> DataFrame:
-    """A row for every vector and ordering: its key on the curve."""
+    """A row for every vector and ordering: its key on the curve, and the vector at length 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -102,15 +102,16 @@ def curves(rows: DataFrame, orderings: int) -> DataFrame:
                     cells = np.floor((across + 1 + shift) / 3 * (1 << BITS))
                     cells = np.clip(cells, 0, (1 << BITS) - 1)
                     n = len(x)
+                    unit = pa.FixedSizeListArray.from_arrays(pa.array(x.astype(np.float32).ravel()), length)
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.full(n, length * 1000 + ordering)), pa.array(hilbert_keys(cells)),
-                            part.column(0), part.column(1),
+                            part.column(0), unit.cast(pa.list_(pa.float32())),
                         ],
                         ["ordering", "key", "vec_id", "embedding"],
                     )
 
-    return rows.mapInArrow(run, "ordering long, key long, vec_id long, embedding array<double>")
+    return rows.mapInArrow(run, "ordering long, key long, vec_id long, embedding array<float>")
 
 
 def numbered(keyed: DataFrame, tasks: int) -> DataFrame:
@@ -133,7 +134,7 @@ def numbered(keyed: DataFrame, tasks: int) -> DataFrame:
     order = ["ordering", "key", "vec_id"]
     placed = keyed.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
     ranked = kept(
-        placed.mapInArrow(count, "ordering long, key long, vec_id long, embedding array<double>, part int, rank long")
+        placed.mapInArrow(count, "ordering long, key long, vec_id long, embedding array<float>, part int, rank long")
     )
     sizes = ranked.groupBy("part").agg(F.count("*").alias("n"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -144,11 +145,7 @@ def numbered(keyed: DataFrame, tasks: int) -> DataFrame:
 
 
 def _best(queries: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int):
-    """For each query its k nearest of the block, as (query, vec_id, score) arrays."""
-    unit = lambda m: (m / np.abs(m).max(axis=1, keepdims=True))
-    q, x = unit(q), unit(x)
-    q /= np.linalg.norm(q, axis=1, keepdims=True)
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    """For each query its k nearest of the block by unit vectors, as (query, vec_id, score) arrays."""
     score = q @ x.T
     score[queries[:, None] == ids[None, :]] = -np.inf
     # Ties go to the smaller id, so order by id first and keep that order.
@@ -193,13 +190,21 @@ def nearest(vectors: DataFrame, every: int = EVERY, k: int = NEAREST, orderings:
     return _ranked(merged, rows, k)
 
 
+def _in_range() -> Column:
+    """The embedding times a power of two, so that no square overflows or vanishes; cosines stay the same."""
+    v = F.col("embedding")
+    largest = F.array_max(F.transform(v, F.abs))
+    factor = F.pow(F.lit(2.0), -F.greatest(F.floor(F.log2(largest)), F.lit(-1000)).cast("double"))
+    return F.transform(v, lambda x: x * factor)
+
+
 def _ranked(found: DataFrame, rows: DataFrame, k: int) -> DataFrame:
     """Cosines from the original vectors, and the k best of each query."""
     near = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    # Block scores differ from the final ones in the last digits only.
+    # Block scores are in single precision, so twice as many are scored again.
     close = found.withColumn("rank", near).where(F.col("rank") <= 2 * k).select("query_id", "vec_id")
-    both = close.join(rows.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q")), "query_id").join(
-        rows.select("vec_id", F.col("embedding").alias("x")), "vec_id"
+    both = close.join(rows.select(F.col("vec_id").alias("query_id"), _in_range().alias("q")), "query_id").join(
+        rows.select("vec_id", _in_range().alias("x")), "vec_id"
     )
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda u, v: u * v), F.lit(0.0), lambda s, u: s + u)
     score = dot("q", "x") / (F.sqrt(dot("q", "q")) * F.sqrt(dot("x", "x")))
