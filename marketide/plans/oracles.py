@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from marketide.plans.registry import CORRELATED, LABELS
+from marketide.plans.registry import CORRELATED
 from marketide.sources.roles import (
     AGE_GROUPS,
     CPI_GAP,
@@ -16,6 +16,13 @@ from marketide.sources.roles import (
     PROMOTION_ROWS,
 )
 
+# The labels of the test tables, stated here; the queries find theirs in the data.
+LABELS = {
+    "category": ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"],
+    "segment": [f"Brand#{i}" for i in range(1, 26)],
+    "color": ["blue", "cold", "hot", "large", "new", "old", "red", "small"],
+}
+
 _HOLIDAYS = ", ".join(f"(DATE '{y}-{md}')" for y in HOLIDAY_YEARS for md in HOLIDAY_MONTH_DAYS)
 
 # Named building blocks; every query states those it needs, in this order.
@@ -177,13 +184,13 @@ def _needed(name: str, found: list[str]) -> list[str]:
     return found
 
 
-def with_parts(names: str, body: str, **extra: str) -> str:
+def with_parts(names: str, body: str, recursive: bool = False, **extra: str) -> str:
     """``body`` below the building blocks it uses; ``extra`` adds blocks of its own."""
     found: list[str] = []
     for name in names.split():
         _needed(name, found)
     blocks = [f"{n} AS ({PARTS[n][1]})" for n in found] + [f"{n} AS ({b})" for n, b in extra.items()]
-    return f"WITH {', '.join(blocks)} {body}" if blocks else body
+    return f"WITH {'RECURSIVE ' if recursive else ''}{', '.join(blocks)} {body}" if blocks else body
 
 
 # --- pieces of the window features -------------------------------------------------
@@ -295,8 +302,60 @@ def _labels_long(source: str, columns: list[str]) -> str:
     )
 
 
-_CUSTOMER_LABELS = ["city", "gender", "age_group", "acquisition_channel"]
-_PRODUCT_LABELS = ["category", "segment", "color"]
+_LABELLED = {
+    "products": ["category", "segment", "color"],
+    "customers": ["city", "gender", "age_group", "acquisition_channel"],
+    "promotions": ["promo_name", "promo_type", "applicable_category", "promo_channel"],
+    "geography": ["city", "region", "district"],
+}
+
+
+def _all_labels() -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, * FROM ({_labels_long('r_' + table, columns)})"
+        for table, columns in _LABELLED.items()
+    )
+
+
+def _linear_blocks(source: str, keys: tuple[str, ...]) -> dict[str, str]:
+    """Least squares on the values one and seven rows before, then day by day."""
+    k = "".join(f"{key}, " for key in keys)
+    part = f"PARTITION BY {', '.join(keys)} " if keys else ""
+    group = f"GROUP BY {', '.join(keys)}" if keys else ""
+    same = " AND ".join(f"walk.{key} = weights.{key}" for key in keys) or "true"
+    walked = "".join(f"walk.{key}, " for key in keys)
+    return {
+        "lagged": f"""
+            SELECT {k}actual_revenue AS y, lag(actual_revenue, 1) OVER w AS x, lag(actual_revenue, 7) OVER w AS z
+            FROM {source} WHERE year(date) <= 2000 WINDOW w AS ({part}ORDER BY date)""",
+        "moments": f"""
+            SELECT {k}avg(y) AS my, avg(x) AS mx, avg(z) AS mz, var_pop(x) AS vx, var_pop(z) AS vz,
+                   covar_pop(x, z) AS cxz, covar_pop(x, y) AS cxy, covar_pop(z, y) AS czy
+            FROM lagged WHERE z IS NOT NULL {group}""",
+        "weights": """
+            SELECT *, (cxy * vz - czy * cxz) / (vx * vz - cxz * cxz) AS b,
+                   (czy * vx - cxy * cxz) / (vx * vz - cxz * cxz) AS c FROM moments""",
+        "recent": f"""
+            SELECT {k}list(actual_revenue ORDER BY date) AS s FROM (
+                SELECT {k}date, actual_revenue, row_number() OVER ({part}ORDER BY date DESC) AS n
+                FROM {source} WHERE year(date) <= 2000) WHERE n <= 7 {group}""",
+        "walk": f"""
+            SELECT {k}0 AS step, s FROM recent
+            UNION ALL
+            SELECT {walked}step + 1, list_append(s[2:], greatest(my - b * mx - c * mz + b * s[7] + c * s[1], 0.0))
+            FROM walk JOIN weights ON {same} WHERE step < 400""",
+    }
+
+
+def _linear_body(source: str, keys: tuple[str, ...]) -> str:
+    k = "".join(f"{key}, " for key in keys)
+    part = f"PARTITION BY {', '.join(keys)} " if keys else ""
+    return f"""
+        SELECT {k}date, round(s[7], 2) AS forecast
+        FROM walk JOIN (
+            SELECT {k}date, row_number() OVER ({part}ORDER BY date) AS step
+            FROM (SELECT DISTINCT {k}date FROM {source} WHERE year(date) > 2000)) AS target USING ({k}step)"""
+
 
 _TABLE_COLUMNS = {
     "products": ("r_products", ["product_id", "product_name", "category", "segment", "size", "color",
@@ -409,9 +468,11 @@ _DATE_COLUMNS = {
     "table_summary": ["first_date", "last_date"],
     "encoded_promotions": ["start_date", "end_date"],
     "submission_merge": ["Date"],
+    "csv_orders": ["order_date"],
+    "csv_customers": ["signup_date"],
 } | {
     name: ["date"] for name in (
-        "daily_sales", "daily_series", "daily_sliced_revenue", "daily_slices_long", "latest_days", "calendar_features",
+        "recursive_forecast_linear", "regional_forecast_linear", "daily_sales", "daily_series", "daily_sliced_revenue", "daily_slices_long", "latest_days", "calendar_features",
         "promo_active_days", "holiday_flags", "cpi_deflate", "inflation_lookup", "lag_features",
         "rolling_features", "ewma_features", "regional_series", "traffic_rolling", "training_matrix",
         "training_matrix_v1", "chrono_split", "expanding_folds", "last_n", "seasonal_forecast",
@@ -544,7 +605,7 @@ def _plain_oracles() -> dict[str, str]:
         "null_profile": with_parts(_RAW_PARTS, _null_profile()),
         "duplicate_profile": with_parts(_RAW_PARTS, _duplicate_profile()),
         "join_reconciliation": with_parts(
-            "r_lines r_orders r_payments r_shipments r_returns returns_by_line r_promotions",
+            "r_lines r_orders r_payments r_shipments r_returns returns_by_line r_reviews r_promotions",
             " UNION ALL ".join(
                 f"SELECT {i} AS step, '{name}' AS step_name, count(*) AS n_rows, {matched} AS n_matched "
                 f"FROM {joins}"
@@ -559,18 +620,31 @@ def _plain_oracles() -> dict[str, str]:
                      "ON o.order_id = l.order_id AND o.product_id = l.product_id"),
                     ("single_returns", "count(o.order_id)", "r_lines l LEFT JOIN r_returns o "
                      "ON o.order_id = l.order_id AND o.product_id = l.product_id"),
+                    ("reviews", "count(v.order_id)", "r_lines l LEFT JOIN r_returns o "
+                     "ON o.order_id = l.order_id AND o.product_id = l.product_id "
+                     "LEFT JOIN r_reviews v ON v.order_id = l.order_id AND v.product_id = l.product_id"),
                     ("promotions", "count(p.promo_id)", "r_lines l LEFT JOIN r_returns o "
                      "ON o.order_id = l.order_id AND o.product_id = l.product_id "
+                     "LEFT JOIN r_reviews v ON v.order_id = l.order_id AND v.product_id = l.product_id "
                      "LEFT JOIN r_promotions p ON p.promo_id = l.promo_id"),
                 ]))),
-        "cardinality_profile": with_parts("r_products r_customers", f"""
-            SELECT column_name, count(DISTINCT value) AS n_unique, count(*) - count(value) AS n_null
-            FROM ({_labels_long('r_products', _PRODUCT_LABELS)} UNION ALL
-                  {_labels_long('r_customers', _CUSTOMER_LABELS)}) GROUP BY column_name"""),
-        "distinct_values": with_parts("r_products", f"""
-            SELECT column_name, value, count(*) AS n
-            FROM ({_labels_long('r_products', _PRODUCT_LABELS)})
-            WHERE value IS NOT NULL GROUP BY 1, 2"""),
+        "cardinality_profile": with_parts("r_products r_customers r_promotions r_geography", f"""
+            SELECT table_name, column_name, count(DISTINCT value) AS n_unique, count(*) - count(value) AS n_null
+            FROM ({_all_labels()}) GROUP BY 1, 2"""),
+        "distinct_values": with_parts("r_products r_customers r_promotions r_geography", f"""
+            SELECT table_name, column_name, value, count(*) AS n
+            FROM ({_all_labels()}) WHERE value IS NOT NULL GROUP BY 1, 2, 3"""),
+        "frequencies_with_null": with_parts("r_products r_customers r_promotions r_geography", f"""
+            SELECT table_name, column_name, value, count(*) AS n FROM ({_all_labels()}) GROUP BY 1, 2, 3"""),
+        "recursive_forecast_linear": with_parts(
+            "daily", _linear_body("daily", ()), recursive=True, **_linear_blocks("daily", ())),
+        "regional_forecast_linear": with_parts(
+            "sold dim_customer", _linear_body("known_region", ("region",)), recursive=True,
+            known_region=f"SELECT * FROM ({by_region}) WHERE region IS NOT NULL AND date IS NOT NULL",
+            **_linear_blocks("known_region", ("region",))),
+        "csv_orders": with_parts("r_orders", "SELECT * FROM r_orders"),
+        "csv_customers": with_parts("r_customers", "SELECT * FROM r_customers"),
+        "csv_order_items": with_parts("r_lines", "SELECT * FROM r_lines"),
         "frequency_with_null": with_parts(
             "r_customers", "SELECT age_group, count(*) AS n FROM r_customers GROUP BY age_group"),
         "table_summary": with_parts(_RAW_PARTS, _summary([
@@ -693,8 +767,8 @@ def _plain_oracles() -> dict[str, str]:
                    round(avg(abs(COGS - COGS_pred) / COGS) * 100, 6) AS mape_cogs
             FROM forecast WHERE year(date) IN (1999, 2000)"""),
         "submission_export": with_parts("forecast", """
-            SELECT strftime(date, '%Y-%m-%d') AS "Date", round(Revenue_pred, 0) AS "Revenue",
-                   round(COGS_pred, 0) AS "COGS" FROM forecast WHERE year(date) > 2000"""),
+            SELECT strftime(date, '%Y-%m-%d') AS "Date", round(Revenue_pred, 2) AS "Revenue",
+                   round(COGS_pred, 2) AS "COGS" FROM forecast WHERE year(date) > 2000"""),
         "naive_lag7_errors": with_parts("naive", """
             SELECT date, actual, pred, abs_error FROM naive"""),
         "error_summary": with_parts("naive", summary + """

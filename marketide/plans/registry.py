@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +15,7 @@ from marketide.operators import (
     encode,
     errors,
     forecast,
+    linear,
     model,
     quality,
     questions,
@@ -34,11 +38,7 @@ FULL_YEARS = (1995, 2000)
 BASE_YEAR = 2000
 VALIDATION_YEARS = [1999, 2000]
 
-LABELS = {
-    "category": ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"],
-    "segment": [f"Brand#{i}" for i in range(1, 26)],
-    "color": ["blue", "cold", "hot", "large", "new", "old", "red", "small"],
-}
+PRODUCT_LABELS = ("category", "segment", "color")
 Q3_CATEGORY = "ECONOMY"
 
 # The entries named *_spread take the path of large tables: every key above a thousand rows is dealt out.
@@ -64,6 +64,11 @@ def _pick(t: Tables, *names: str) -> list[DataFrame]:
     return [t[n] for n in names]
 
 
+def _labels(df: DataFrame, *columns: str) -> dict[str, list[str]]:
+    """The labels that the data have."""
+    return {c: encode.labels_of(df, c) for c in columns}
+
+
 def priced(t: Tables, spread: Spread = DEFAULT) -> DataFrame:
     return series.priced_lines(
         *_pick(t, "order_items", "orders", "returns", "products", "promotions"), spread=spread
@@ -133,12 +138,8 @@ def net_revenue_lines(t: Tables) -> DataFrame:
 @query
 def transaction_master(t: Tables) -> DataFrame:
     lines = star.net_revenue_lines(*_pick(t, *TRANSACTION_TABLES, "promotions"))
-    customers = encode.encode_customers(
-        t["customers"],
-        {"gender": ["female", "male"],
-         "acquisition_channel": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]},
-    )
-    products = encode.encode_products(t["products"], LABELS)
+    customers = encode.encode_customers(t["customers"])
+    products = encode.encode_products(t["products"])
     wide = star.with_master_data(lines, products, customers, t["order_items"], t["orders"])
     return wide.select(
         "order_id", "product_id", "customer_id", "quantity", "size", "city", "age_group",
@@ -170,19 +171,19 @@ def daily_sales(t: Tables) -> DataFrame:
 
 @query
 def daily_series(t: Tables) -> DataFrame:
-    wide = _rounded(series.daily_series(priced(t), LABELS), 6)
+    wide = _rounded(series.daily_series(priced(t), _labels(t["products"], *PRODUCT_LABELS)), 6)
     return wide.toDF(*[c.replace("#", "_") for c in wide.columns])
 
 
 @query
 def daily_series_spread(t: Tables) -> DataFrame:
-    wide = _rounded(series.daily_series(priced(t, FORCED), LABELS), 6)
+    wide = _rounded(series.daily_series(priced(t, FORCED), _labels(t["products"], *PRODUCT_LABELS)), 6)
     return wide.toDF(*[c.replace("#", "_") for c in wide.columns])
 
 
 @query
 def daily_sliced_revenue(t: Tables) -> DataFrame:
-    wide = _rounded(series.daily_slices(priced(t), LABELS), 6)
+    wide = _rounded(series.daily_slices(priced(t), _labels(t["products"], *PRODUCT_LABELS)), 6)
     return wide.toDF(*[c.replace("#", "_") for c in wide.columns])
 
 
@@ -326,24 +327,43 @@ def join_reconciliation(t: Tables) -> DataFrame:
             ("shipments", t["shipments"], ["order_id"]),
             ("returns", star.returns_by_line(t["returns"]), pair),
             ("single_returns", t["returns"], pair),
+            ("reviews", t["reviews"], pair),
             ("promotions", t["promotions"], ["promo_id"]),
         ],
         "order_items",
     )
 
 
+PROFILED = {
+    "products": PRODUCT_LABELS,
+    "customers": ("city", "gender", "age_group", "acquisition_channel"),
+    "promotions": ("promo_name", "promo_type", "applicable_category", "promo_channel"),
+    "geography": ("city", "region", "district"),
+}
+
+
+def _profiled(t: Tables, profile: Callable[[DataFrame, list[str]], DataFrame]) -> DataFrame:
+    parts = [
+        profile(t[name], list(columns)).select(F.lit(name).alias("table_name"), "*")
+        for name, columns in PROFILED.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def cardinality_profile(t: Tables) -> DataFrame:
-    products = quality.cardinality_profile(t["products"], ["category", "segment", "color"])
-    customers = quality.cardinality_profile(
-        t["customers"], ["city", "gender", "age_group", "acquisition_channel"]
-    )
-    return products.unionByName(customers)
+    return _profiled(t, quality.cardinality_profile)
 
 
 @query
 def distinct_values(t: Tables) -> DataFrame:
-    return quality.value_counts(t["products"], ["category", "segment", "color"])
+    return _profiled(t, quality.value_counts)
+
+
+@query
+def frequencies_with_null(t: Tables) -> DataFrame:
+    """City, district and all other labels with their counts, NULL as a value."""
+    return _profiled(t, lambda df, columns: quality.value_counts(df, columns, dropna=False))
 
 
 @query
@@ -381,27 +401,21 @@ def ordinal_encode(t: Tables) -> DataFrame:
 
 @query
 def encoded_products(t: Tables) -> DataFrame:
-    wide = encode.encode_products(t["products"], LABELS)
+    wide = encode.encode_products(t["products"])
     return wide.toDF(*[c.replace("#", "_") for c in wide.columns])
 
 
 @query
 def encoded_promotions(t: Tables) -> DataFrame:
     """Encoded promotions, with the number of lines that carry each."""
-    coded = encode.encode_promotions(
-        t["promotions"],
-        {"promo_type": ["fixed", "percentage"],
-         "promo_channel": ["call_centre", "mobile_app", "storefront", "voucher"]},
-    )
+    coded = encode.encode_promotions(t["promotions"])
     used = t["order_items"].groupBy("promo_id").agg(F.count("*").alias("n_lines"))
     return coded.join(used, "promo_id", "left")
 
 
 @query
 def encoded_geography(t: Tables) -> DataFrame:
-    return encode.encode_geography(
-        t["geography"], {"region": ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]}
-    )
+    return encode.encode_geography(t["geography"])
 
 
 @query
@@ -411,11 +425,7 @@ def rank_encode_city(t: Tables) -> DataFrame:
 
 @query
 def one_hot(t: Tables) -> DataFrame:
-    coded = encode.encode_customers(
-        t["customers"],
-        {"gender": ["female", "male"],
-         "acquisition_channel": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]},
-    )
+    coded = encode.encode_customers(t["customers"])
     return coded.drop("zip", "signup_date")
 
 
@@ -597,7 +607,7 @@ def submission_export(t: Tables) -> DataFrame:
     horizon = sales.where(F.year("date") > BASE_YEAR).select("date")
     return seasonal.submission(
         seasonal.seasonal_forecast(sales, horizon, BASE_YEAR, *FULL_YEARS)
-    ).withColumns({"Revenue": F.round("Revenue", 0), "COGS": F.round("COGS", 0)})
+    )
 
 
 # --- errors ----------------------------------------------------------------------
@@ -720,7 +730,7 @@ def cv_search(t: Tables) -> DataFrame:
 
 def _horizon(t: Tables) -> DataFrame:
     """The days of the last, incomplete year."""
-    return t["orders"].where(F.year("order_date") > BASE_YEAR).select(
+    return t["orders"].where(F.col("order_date") >= F.lit(dt.date(BASE_YEAR + 1, 1, 1))).select(
         F.col("order_date").alias("date")
     ).distinct()
 
@@ -754,6 +764,45 @@ def regional_forecast(t: Tables) -> DataFrame:
     return forecast.recursive_forecast(history, days, ensemble, keys)
 
 
+@query
+def recursive_forecast_linear(t: Tables) -> DataFrame:
+    history = _history(kept_daily(t).select("date", "actual_revenue"))
+    return _rounded(linear.forecast_lags(history, _horizon(t), "actual_revenue"), 2)
+
+
+@query
+def regional_forecast_linear(t: Tables) -> DataFrame:
+    keys = ("region",)
+    lines = _regional_lines(t).where(F.col("region").isNotNull())
+    by_region = materialise(_rounded(series.daily_sales(lines, keys), 6).select("region", "date", "actual_revenue"))
+    history = _history(by_region)
+    days = by_region.where(F.year("date") > BASE_YEAR).select("region", "date")
+    return _rounded(linear.forecast_lags(history, days, "actual_revenue", "date", keys), 2)
+
+
+def _through_csv(t: Tables, name: str) -> DataFrame:
+    """A table written as CSV with a byte-order mark to the shared folder, and read again by its schema."""
+    spark = t[name].sparkSession
+    root = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+    writers.write_csv(t[name], f"{root}/{name}.csv", bom=True)
+    return readers.read_table(spark, root, name)
+
+
+@query
+def csv_orders(t: Tables) -> DataFrame:
+    return _through_csv(t, "orders")
+
+
+@query
+def csv_customers(t: Tables) -> DataFrame:
+    return _through_csv(t, "customers")
+
+
+@query
+def csv_order_items(t: Tables) -> DataFrame:
+    return _through_csv(t, "order_items")
+
+
 @query
 def submission_merge(t: Tables) -> DataFrame:
     sales = _sales(t)
