@@ -58,7 +58,8 @@ def regressor(learner: Learner, out: str = "prediction", early_stop: str | None
         labelCol=LABEL, featuresCol="features", predictionCol=out, maxIter=learner.trees,
         stepSize=learner.rate, maxDepth=learner.depth, seed=learner.seed,
     )
-    return gbt.setParams(validationIndicatorCol=early_stop) if early_stop else gbt
+    # Spark stops at the first tree that does not improve by the tolerance; 0 is its most patient setting.
+    return gbt.setParams(validationIndicatorCol=early_stop, validationTol=0.0) if early_stop else gbt
 
 
 @dataclass(frozen=True)
