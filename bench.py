@@ -23,7 +23,8 @@ HEADLINE = (
     "q6_age_group_orders", "q7_region_revenue", "q8_cancelled_payment", "q9_size_return_rate",
     "q10_installments", "null_profile", "duplicate_profile", "join_reconciliation",
     "training_matrix", "regional_series", "seasonal_forecast", "error_metrics",
-    "recursive_forecast",
+    "recursive_forecast", "recursive_forecast_linear", "regional_forecast_linear",
+    "fact_sales_spread", "daily_series_spread",
 )
 
 

@@ -21,7 +21,13 @@ from marketide.functions.scalars import (
     sum_or_zero,
     whole_sum,
 )
-from marketide.operators.revenue import attach_promotions, deflate, order_totals, with_net_revenue
+from marketide.operators.revenue import (
+    attach_promotions,
+    deflate,
+    gross_profit,
+    order_totals,
+    with_net_revenue,
+)
 from marketide.operators.skew import DEFAULT, Spread, attach_to_lines, join_spread
 from marketide.operators.star import returns_by_line
 
@@ -32,10 +38,7 @@ ROLLING_STDS = (7,)
 EWM_SPANS = (7, 30)
 TRAFFIC_WINDOW = 30
 EARLY_LAGS = (1, 7)
-EARLY_LAG_COLUMNS = (
-    "actual_revenue", "gross_profit", "order_id", "quantity", "customer_id", "is_returned",
-    "revenue_category_Casual", "revenue_color_black", "revenue_category_Streetwear",
-)
+EARLY_LAG_COLUMNS = ("actual_revenue", "gross_profit", "order_id", "quantity", "customer_id", "is_returned")
 LEAKY_COLUMNS = ("gross_profit", "order_id", "quantity", "customer_id", "is_returned")
 LEAKY_PARTS = ("revenue_category_", "revenue_segment", "revenue_color_")
 NOT_FEATURES = ("date", "actual_revenue", "inflation_factor", "CPI")
@@ -75,7 +78,7 @@ def priced_lines(
     return priced.select(
         F.to_date("order_date").alias("date"), "order_id", "customer_id", "product_id",
         "quantity", *SLICES, "actual_revenue",
-        (F.col("actual_revenue") - F.col("cogs") * F.col("quantity")).alias("gross_profit"),
+        gross_profit().alias("gross_profit"),
         F.coalesce(F.col("returned").cast("int"), F.lit(0)).alias("is_returned"),
     )
 
@@ -384,14 +387,18 @@ def training_matrix(
 
 
 def early_training_matrix(
-    daily: DataFrame, traffic: DataFrame | None = None, keys: tuple[str, ...] = ()
+    daily: DataFrame, traffic: DataFrame | None = None, keys: tuple[str, ...] = (),
+    label_columns: tuple[str, ...] = (),
 ) -> DataFrame:
-    """The first feature set: nominal revenue, lags 1 and 7 of up to nine columns."""
+    """The first feature set: nominal revenue, lags 1 and 7 of EARLY_LAG_COLUMNS and of ``label_columns``.
+
+    ``label_columns`` names revenue columns of labels, such as revenue_color_red. Their lags are
+    taken and, being named like leaky columns, dropped with these in the end.
+    """
     w = series_window("date", keys)
     out = with_calendar(daily, harmonics=False).drop("dayofyear", "week")
-    lagged = [c for c in EARLY_LAG_COLUMNS if c in daily.columns]
     out = out.withColumns({
-        f"{c}_lag{n}": F.lag(c, n).over(w) for c in lagged for n in EARLY_LAGS
+        f"{c}_lag{n}": F.lag(c, n).over(w) for c in (*EARLY_LAG_COLUMNS, *label_columns) for n in EARLY_LAGS
     })
     out = out.withColumns({
         "revenue_roll_mean_7_lag1": rolling("actual_revenue", 7, "mean", "date", keys),

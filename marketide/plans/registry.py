@@ -541,10 +541,11 @@ def training_matrix(t: Tables) -> DataFrame:
 
 @query
 def training_matrix_v1(t: Tables) -> DataFrame:
-    with_slices = _rounded(series.daily_series(priced(t), {"category": ["ECONOMY"], "color": ["red"]}), 6)
-    return _rounded(
-        series.early_training_matrix(with_slices, t["daily_sessions"]), 2, "revenue_roll_std_7_lag1"
-    )
+    labels = {"category": ["ECONOMY", "LARGE"], "color": ["red"]}
+    with_slices = _rounded(series.daily_series(priced(t), labels), 6)
+    columns = tuple(f"revenue_{c}_{label}" for c, values in labels.items() for label in values)
+    matrix = series.early_training_matrix(with_slices, t["daily_sessions"], label_columns=columns)
+    return _rounded(matrix, 2, "revenue_roll_std_7_lag1")
 
 
 @query
