@@ -26,6 +26,7 @@ STEPS = 60
 EVENNESS, REPEATS = 0.95, 4.0
 #: Documents to a block, roughly.
 BLOCK_ROWS = 4_096
+SALTS = 64
 
 
 @dataclass(frozen=True)
@@ -148,7 +149,11 @@ def mix(
         ],
         "source string, full long, rest double, blocks long",
     )
-    first = permuted(rows.join(table, "source"), F.lit(0), seed)
+    # A source may hold a third of all rows, so its one line is repeated for SALTS tasks.
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
+    salted = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    known = rows.withColumn("_salt", salt).join(salted, ["source", "_salt"]).drop("_salt")
+    first = permuted(known, F.lit(0), seed)
     last = permuted(first, F.col("full"), seed, "last_position")
     extra = (F.col("last_position") < F.col("rest")).cast("long")
     copies = F.col("full") + extra
