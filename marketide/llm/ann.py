@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from marketide.llm.tables import kept
 
 #: Orderings, dimensions and bits per dimension of a curve, rows in a block of an ordering.
-ORDERINGS, DIMENSIONS, BITS = 24, 6, 8
+ORDERINGS, DIMENSIONS, BITS = 36, 6, 8
 BLOCK = 512
 EVERY, NEAREST = 50, 5
 
