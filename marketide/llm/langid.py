@@ -24,40 +24,59 @@ from marketide.llm.tables import texts
 PROFILE = 400
 UNKNOWN = "und"
 #: Distinct n-grams a task gathers before it hands them on.
-GATHERED = 2_000_000
+GATHERED = 500_000
 
 
-def ngrams(items: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The text and the key of every n-gram: up to three code points of 21 bits, 0 for a word end."""
+def count_ngrams(items: list[str], groups: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (group, key of an n-gram), ordered, and how often each occurs; ``groups`` has one for each text.
+
+    A key holds up to three code points of 21 bits, 0 for a word end; two-letter keys end in 1 << 20.
+    """
     lowered = [t.lower() for t in items]
-    points = pretokens.code_points("\0" + "\0".join(lowered) + "\0").astype(np.int64)
-    owners = np.repeat(np.arange(len(items)), [len(t) + 1 for t in lowered])
-    owners = np.append(owners, len(items) - 1)
+    points = pretokens.code_points("\0" + "\0".join(lowered) + "\0")
+    owners = np.repeat(groups, [len(t) + 1 for t in lowered])
+    owners = np.append(owners, groups[-1:])
     letters = pretokens.classes()[points] == pretokens.LETTER
-    points[~letters] = 0
     # One word end between words is enough.
     stay = letters.copy()
     stay[1:] |= letters[:-1]
     stay[0] = True
-    points, owners, letters = points[stay], owners[stay], letters[stay]
+    points, owners, letters = np.where(letters, points, 0)[stay], owners[stay], letters[stay]
     if len(points) < 2:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    one = letters
-    two = letters[:-1] | letters[1:]
-    three = letters[1:-1]
-    a, b, c = points[:-2], points[1:-1], points[2:]
-    keys = [points[one] << 42, ((points[:-1] << 42) | (points[1:] << 21) | 1 << 20)[two], ((a << 42) | (b << 21) | c)[three]]
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    # Numbers of the batch's own letters keep keys small enough to be sorted along with their group.
+    seen = np.zeros(0x110000, bool)
+    seen[points] = True
+    alphabet = np.append(np.flatnonzero(seen), 1 << 20)
+    number = np.zeros(0x110000, np.int64)
+    number[alphabet[:-1]] = np.arange(len(alphabet) - 1)
+    base = len(alphabet)
+    if base ** 3 * (int(groups.max()) + 1) >= 1 << 62:
+        return _in_halves(items, groups)
+    p = number[points]
+    pairs = p[:-1] * base + p[1:]
+    codes = (p * base * base)[letters], (pairs * base + base - 1)[letters[:-1] | letters[1:]], (pairs[:-1] * base + p[2:])[letters[1:-1]]
     # A word end before a letter may stand for the text before; the letter knows its text.
-    of = [owners[one], np.where(letters[:-1], owners[:-1], owners[1:])[two], owners[1:-1][three]]
-    return np.concatenate(of), np.concatenate(keys)
-
-
-def counted(groups: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (group, key), ordered, and how often each occurs."""
-    vocabulary, codes = np.unique(keys, return_inverse=True)
-    both, counts = np.unique(groups * max(1, len(vocabulary)) + codes, return_counts=True)
-    size = max(1, len(vocabulary))
-    return both // size, vocabulary[both % size], counts
+    of = owners[letters], np.where(letters[:-1], owners[:-1], owners[1:])[letters[:-1] | letters[1:]], owners[1:-1][letters[1:-1]]
+    found = np.sort(np.concatenate(of) * base ** 3 + np.concatenate(codes))
+    first = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
+    group, code = np.divmod(found[first], base ** 3)
+    keys = (alphabet[code // base ** 2] << 42) | (alphabet[code // base % base] << 21) | alphabet[code % base]
+    return group, keys, np.diff(first, append=len(found))
+
+
+def _in_halves(items: list[str], groups: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``count_ngrams``, for batches with too many letters and groups at once; one text alone never has."""
+    middle = len(items) // 2
+    if not middle:
+        group, keys, counts = count_ngrams(items, np.zeros(1, np.int64))
+        return group + groups[0], keys, counts
+    parts = [count_ngrams(items[s], groups[s]) for s in (slice(None, middle), slice(middle, None))]
+    group, keys, counts = (np.concatenate(c) for c in zip(*parts))
+    order = np.lexsort((keys, group))
+    group, keys, counts = group[order], keys[order], counts[order]
+    first = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]) | (keys[1:] != keys[:-1])]))
+    return group[first], keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
 def profiles(docs: DataFrame, size: int = PROFILE) -> DataFrame:
@@ -83,10 +102,9 @@ def profiles(docs: DataFrame, size: int = PROFILE) -> DataFrame:
             langs = rows.column(rows.schema.get_field_index("lang")).to_pylist()
             names = sorted(set(langs))
             code = {name: i for i, name in enumerate(names)}
-            owners, keys = ngrams(items)
+            groups, keys, counts = count_ngrams(items, np.array([code[x] for x in langs]))
             if not len(keys):
                 continue
-            groups, keys, counts = counted(np.array([code[x] for x in langs])[owners], keys)
             for i, name in enumerate(names):
                 own = groups == i
                 if own.any():
@@ -128,10 +146,9 @@ def annotate(docs: DataFrame, learned: DataFrame, names: tuple[str, str], size:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, items in text_batches(batches):
             n = len(items)
-            owners, grams = ngrams([t or "" for t in items])
+            groups, grams, counts = count_ngrams([t or "" for t in items], np.arange(n))
             pred, score = np.full(n, -1), np.zeros(n)
             if len(grams) and langs:
-                groups, grams, counts = counted(owners, grams)
                 # Text, then falling count, then key: one sort of whole numbers.
                 order = np.lexsort((-counts, groups))
                 groups, grams = groups[order], grams[order]
