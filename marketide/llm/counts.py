@@ -22,7 +22,7 @@ from marketide.llm.tables import kept, texts
 #: Pre-tokens whose counts go to every task: 18 bytes each, 9 MB in all.
 TRAVELLING = 1 << 19
 #: Distinct pre-tokens a task gathers before it hands them on.
-GATHERED = 400_000
+GATHERED = 200_000
 
 
 def pretoken_frequencies(docs: DataFrame, path: str, special: bool = True) -> DataFrame:

@@ -32,7 +32,7 @@ WHITE_SPACE = (
 CONTRACTIONS = ("s", "t", "m", "d", "re", "ve", "ll")
 
 #: Pre-tokens a worker remembers; the memory starts anew when it is full.
-REMEMBERED = 700_000
+REMEMBERED = 300_000
 #: Pre-tokens given to the library at once.
 AT_ONCE = 20_000
 
@@ -237,16 +237,15 @@ class Encoder:
                 self.specials = {a["content"]: a["id"] for a in described["added_tokens"]}
         self.vocab = vocab
         self.words = tokenizers.Tokenizer(tokenizers.models.BPE(vocab, merges))
-        self.whole = tokenizers.Tokenizer(tokenizers.models.BPE(vocab, merges))
-        self.whole.pre_tokenizer = tokenizers.pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
+        self.splitter = tokenizers.pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
         self.characters = dict(enumerate(byte_characters()))
         self.forget()
 
     def forget(self) -> None:
         self.slots: dict[int, int] = {}
-        self.flat = np.empty(1 << 20, np.uint32)
-        self.offsets = np.zeros(1 << 18, np.int64)
-        self.check = np.zeros(1 << 18, np.uint64)
+        self.flat = np.empty(1 << 18, np.uint32)
+        self.offsets = np.zeros(1 << 16, np.int64)
+        self.check = np.zeros(1 << 16, np.uint64)
         self.used = 0
 
     def pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -258,7 +257,12 @@ class Encoder:
 
     def texts_whole(self, text: str) -> np.ndarray:
         """Ids of a text by the library alone."""
-        return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
+        # Rare enough to be done by the one tokenizer, which usually gets text that is split already.
+        self.words.pre_tokenizer = self.splitter
+        try:
+            return np.array(self.words.encode(text, add_special_tokens=False).ids, np.uint32)
+        finally:
+            self.words.pre_tokenizer = None
 
     def _remember(self, hashes: np.ndarray, checks: np.ndarray, pieces: list[str]) -> None:
         count = len(self.slots)

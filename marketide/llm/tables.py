@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from marketide.session import materialise
 
 #: Text that a Python worker has in hand at once; a longer text makes a batch of its own.
-BATCH_BYTES = 1_000_000
+BATCH_BYTES = 400_000
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
