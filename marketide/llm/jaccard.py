@@ -74,7 +74,7 @@ def shingle_sets(items: list[str], words: int) -> list[np.ndarray]:
     for first, end in zip((ends - counts).tolist(), ends.tolist()):
         n = end - first
         if n >= words:
-            out.append(np.unique(grams[first:end - words + 1]))
+            out.append(linking.distinct(grams[first:end - words + 1]))
         elif n:
             few = (hashes[first:end] * _PLACES[:n]).sum(dtype=np.uint64) + np.uint64(n)
             out.append(pretokens.mix(np.array([few])))
@@ -148,12 +148,12 @@ def prefixes(docs: DataFrame, words: int, percent: int, levels: np.ndarray, want
         levels, wanted = shared.value
         for part, items, sets in _wanted_sets(batches, words, wanted):
             rows = [i for i, s in enumerate(sets) if len(s)]
-            signs = [linking.signature(sets[i]) for i in rows]
+            signs = linking.signatures([sets[i] for i in rows])
             firsts = [ordered(sets[i], levels)[: linking.prefix_length(len(sets[i]), percent, 100)] for i in rows]
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0).take(pa.array(rows, pa.int64())), pa.array([len(sets[i]) for i in rows], pa.int32()),
-                    pa.array([s for s, _ in signs], pa.int64()), pa.array([s for _, s in signs], pa.int64()),
+                    *map(pa.array, signs),
                     pa.array([f.tobytes() for f in firsts], pa.binary()),
                 ],
                 ["id", "size", "s0", "s1", "firsts"],
@@ -173,16 +173,14 @@ def _wanted_sets(batches: Iterator[pa.RecordBatch], words: int, wanted: np.ndarr
 
 
 def sets_of(docs: DataFrame, words: int, wanted: np.ndarray) -> DataFrame:
-    """id and elements of the texts whose id passes the bitmap."""
+    """The sets of the texts whose id passes the bitmap."""
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, _, sets in _wanted_sets(batches, words, shared.value):
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "elements"]
-            )
+            yield linking.set_rows(part.column(0), sets)
 
-    return texts(docs).mapInArrow(run, "id long, elements binary")
+    return texts(docs).mapInArrow(run, linking.SETS)
 
 
 def tiles(firsts: DataFrame, blocks: dict[int, int]) -> DataFrame:

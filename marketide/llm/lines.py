@@ -65,6 +65,11 @@ def shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return values[at], np.cumsum(counts) - counts
 
 
+def shingles_of(line: bytes) -> np.ndarray:
+    """Sorted distinct shingles of one line."""
+    return linking.distinct(shingles([line.decode()])[0])
+
+
 def minima(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """For every line the least value under each hash function; lines are taken in cached blocks."""
     out = np.empty((len(_FACTORS), len(starts)), np.uint32)
@@ -147,14 +152,14 @@ def tiles(docs: DataFrame) -> DataFrame:
             values, starts = shingles(lines)
             keys = band_keys(minima(values, starts))
             ends = np.append(starts[1:], len(values)).tolist()
-            sets = [np.unique(values[a:b]) for a, b in zip(starts.tolist(), ends)]
-            signs = np.array([linking.signature(s) for s in sets], np.int64)
+            sets = [linking.distinct(values[a:b]) for a, b in zip(starts.tolist(), ends)]
+            signs = linking.signatures(sets)
             sizes = np.array([len(s) for s in sets], np.int32)
             for band in range(BANDS):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(keys[band]), pa.array(ids), pa.array(sizes), pa.array(np.zeros(len(ids), np.int32)),
-                        pa.array(np.ascontiguousarray(signs[:, 0])), pa.array(np.ascontiguousarray(signs[:, 1])),
+                        *map(pa.array, signs),
                     ],
                     ["key", "id", "size", "place", "s0", "s1"],
                 )
@@ -163,18 +168,19 @@ def tiles(docs: DataFrame) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """id and shingles of the lines whose id passes the bitmap."""
+    """The shingle sets of the lines whose id passes the bitmap."""
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, lines in _new_lines(batches, shared.value):
             values, starts = shingles(lines)
             ends = np.append(starts[1:], len(values)).tolist()
-            sets = [np.unique(values[a:b]).tobytes() for a, b in zip(starts.tolist(), ends)]
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(sets, pa.binary())], ["id", "elements"])
+            sets = [linking.distinct(values[a:b]) for a, b in zip(starts.tolist(), ends)]
+            yield linking.set_rows(pa.array(ids), sets, [x.encode() for x in lines])
 
     # A line that many tasks have comes once from each.
-    return texts(docs).mapInArrow(run, "id long, elements binary").groupBy("id").agg(F.min("elements").alias("elements"))
+    found = texts(docs).mapInArrow(run, linking.SETS)
+    return found.groupBy("id").agg(*[F.min(c).alias(c) for c in ("size", "wide", "payload")])
 
 
 def line_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -186,7 +192,7 @@ def line_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     there has one verdict. Rows without doc_id come first.
     """
     lines = kept(known_lines(docs))
-    found = linking.link(tiles(docs), partial(sets_of, docs), percent, 100)
+    found = linking.link(tiles(docs), partial(sets_of, docs), percent, 100, shingles_of, light=True)
     named = kept(lines.join(found, "id", "left").select("doc_id", "line", F.coalesce("component", "id").alias("component")))
     first = named.groupBy("component").agg(F.min(F.struct("doc_id", "line")).alias("first"))
     place = F.struct("doc_id", "line")

@@ -17,11 +17,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketide.llm.pretokens import mix
 from marketide.llm.tables import kept
 
 TILE = "key long, id long, size int, place int, s0 long, s1 long"
 #: Rows of a tile that are compared each with each at once.
 SMALL_TILE = 32
+#: Rounds in which members of large tiles meet a few others, and how many others each.
+TURNS, LAGS = 1, 16
 #: Bits of the filter that tells a scan whose sets are needed: 1 MB.
 FILTER_BITS = 1 << 23
 
@@ -36,16 +39,65 @@ def prefix_length(size: int, p: int, q: int) -> int:
     return size - -(-p * size // q) + 1
 
 
-def signature(values: np.ndarray) -> tuple[int, int]:
-    """128 bits: the parity of how many values hash to each. Bits that differ need values that differ."""
-    bit = np.left_shift(np.uint64(1), values & np.uint64(63))
-    second = (values & np.uint64(64)).astype(bool)
-    return (
-        int(np.bitwise_xor.reduce(bit[~second], initial=np.uint64(0)).view(np.int64)),
-        int(np.bitwise_xor.reduce(bit[second], initial=np.uint64(0)).view(np.int64)),
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values, by sorting; short arrays are faster that way than by hashing."""
+    out = np.sort(values)
+    stay = np.ones(len(out), bool)
+    np.not_equal(out[1:], out[:-1], out=stay[1:])
+    return out[stay]
+
+
+def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of each (non-empty) set, as two columns: the parity of how many values hash to each bit.
+
+    Bits that differ need values that differ.
+    """
+    if not sets:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    sizes = np.array([len(s) for s in sets])
+    starts = np.cumsum(sizes) - sizes
+    flat = np.concatenate(sets)
+    bit = np.left_shift(np.uint64(1), flat & np.uint64(63))
+    second = (flat & np.uint64(64)) > 0
+    halves = (np.where(second, np.uint64(0), bit), np.where(second, bit, np.uint64(0)))
+    return tuple(np.bitwise_xor.reduceat(h, starts).view(np.int64) for h in halves)
+
+
+def wide_signature(values: np.ndarray) -> bytes:
+    """Parities of about twice as many hash values as there are elements; a power of two of bits."""
+    bits = 1 << max(6, (2 * len(values) - 1).bit_length())
+    counts = np.bincount((values >> np.uint64(7)).astype(np.int64) & (bits - 1), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def differing_bits(a: bytes, b: bytes) -> int:
+    """Bits in which two wide signatures differ, the wider one folded to the other's width."""
+    x, y = (np.frombuffer(v, np.uint8) for v in sorted((a, b), key=len))
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+SETS = "id long, size int, wide binary, payload binary"
+
+
+def set_rows(ids: pa.Array, sets: list[np.ndarray], payloads: list[bytes] | None = None) -> pa.RecordBatch:
+    """Rows of SETS. The payload is what a set can be made from again; the elements themselves if none is given."""
+    payloads = [s.tobytes() for s in sets] if payloads is None else payloads
+    return pa.RecordBatch.from_arrays(
+        [
+            ids, pa.array([len(s) for s in sets], pa.int32()),
+            pa.array([wide_signature(s) for s in sets], pa.binary()), pa.array(payloads, pa.binary()),
+        ],
+        ["id", "size", "wide", "payload"],
     )
 
 
+def elements(payload: bytes) -> np.ndarray:
+    """The set whose payload is its elements."""
+    return np.frombuffer(payload, np.uint64)
+
+
 class Tile:
     """Columns of tile rows in the order key, size, id."""
 
@@ -54,15 +106,49 @@ class Tile:
         self.key, self.id, size, place, s0, s1, *rest = columns
         self.size, self.place = size.astype(np.int64), place.astype(np.int64)
         self.s0, self.s1 = s0.view(np.uint64), s1.view(np.uint64)
-        self.component = rest[0] if rest else None
+        if rest:
+            self.component, wide = rest
+            self._fold([np.frombuffer(w, np.uint64) for w in wide])
+
+    def near(self, a: np.ndarray | int, b: np.ndarray, p: int, q: int) -> np.ndarray:
+        """Whether rows a and b may be similar by their sizes and bit counts."""
+        need = needed(self.size[a], self.size[b], p, q)
+        differ = np.bitwise_count(self.s0[a] ^ self.s0[b]).astype(np.int64)
+        differ += np.bitwise_count(self.s1[a] ^ self.s1[b])
+        most = np.minimum(np.minimum(self.size[a], self.size[b]), (self.size[a] + self.size[b] - differ) // 2)
+        return most >= need
+
+    def _fold(self, wide: list[np.ndarray]) -> None:
+        """Wide signatures at every width that occurs, of the rows that are that wide or wider.
+
+        All widths together hold about twice what the rows bring.
+        """
+        self.words = np.array([len(w) for w in wide])
+        self.folded: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for words in np.unique(self.words)[::-1].tolist():
+            at = np.flatnonzero(self.words >= words)
+            for i in at.tolist():
+                if len(wide[i]) > words:
+                    wide[i] = np.bitwise_xor.reduce(wide[i].reshape(-1, words))
+            row = np.full(len(wide), -1)
+            row[at] = np.arange(len(at))
+            self.folded[words] = row, np.stack([wide[i] for i in at.tolist()])
+
+    def close(self, a: np.ndarray, b: np.ndarray, p: int, q: int) -> np.ndarray:
+        """Whether rows a and b may be similar by the bit counts of their wide signatures."""
+        words = np.minimum(self.words[a], self.words[b])
+        differ = np.zeros(len(words), np.int64)
+        for n in np.unique(words).tolist():
+            at = np.flatnonzero(words == n)
+            row, bits = self.folded[n]
+            differ[at] = np.bitwise_count(bits[row[a[at]]] ^ bits[row[b[at]]]).sum(axis=1)
+        return (self.size[a] + self.size[b] - differ) // 2 >= needed(self.size[a], self.size[b], p, q)
 
     def may_link(self, a: np.ndarray | int, b: np.ndarray, p: int, q: int) -> np.ndarray:
         """Whether rows a and b may be similar, if this is the first element they share."""
         need = needed(self.size[a], self.size[b], p, q)
         most = 1 + np.minimum(self.size[a] - self.place[a] - 1, self.size[b] - self.place[b] - 1)
-        differ = np.bitwise_count(self.s0[a] ^ self.s0[b]).astype(np.int64)
-        differ += np.bitwise_count(self.s1[a] ^ self.s1[b])
-        return (most >= need) & ((self.size[a] + self.size[b] - differ) // 2 >= need)
+        return (most >= need) & self.near(a, b, p, q)
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[Tile]:
@@ -122,16 +208,18 @@ def compare_tiles(tiles: DataFrame, p: int, q: int) -> DataFrame:
                     right.append(a + lag)
             for start, length in zip(starts[lengths > SMALL_TILE].tolist(), lengths[lengths > SMALL_TILE].tolist()):
                 rest = np.arange(start, start + length)
-                linked = 0
+                some = False
                 while len(rest) > 1:
                     pivot, rest = rest[0], rest[1:]
                     hit = tile.may_link(pivot, rest, p, q)
                     if hit.any():
-                        linked += 1
                         left.append(np.full(int(hit.sum()), pivot))
                         right.append(rest[hit])
-                        rest = rest[~hit]
-                if linked:
+                    # What is near the pivot meets it in the tile of their first shared element.
+                    near = tile.near(pivot, rest, p, q)
+                    some |= bool(near.any())
+                    rest = rest[~near]
+                if some:
                     big.append(np.arange(start, start + length))
             if left or big:
                 yield _pairs_batch(left, right, tile, big, names)
@@ -141,8 +229,22 @@ def compare_tiles(tiles: DataFrame, p: int, q: int) -> DataFrame:
     return placed.mapInArrow(run, schema)
 
 
-def compare_components(rows: DataFrame, p: int, q: int) -> DataFrame:
-    """Pairs (a, b) of large tiles that may be similar and are of different components."""
+def compare_components(rows: DataFrame, p: int, q: int, turn: int | None = None) -> DataFrame:
+    """Pairs (a, b) of large tiles that may be similar and are of different components.
+
+    All of them, or with ``turn`` each row and its next few in an order of that turn.
+    """
+
+    def partners(tile: Tile, start: int, end: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if turn is None:
+            for i in range(start, end - 1):
+                rest = np.arange(i + 1, end)
+                yield np.full(len(rest), i), rest
+        else:
+            # One order of all ids, so that tiles with the same rows give the same pairs.
+            order = start + np.argsort(mix(tile.id[start:end].view(np.uint64) + np.uint64(turn)))
+            for lag in range(1, min(LAGS, end - start - 1) + 1):
+                yield order[:-lag], order[lag:]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tile in _runs(batches):
@@ -151,12 +253,14 @@ def compare_components(rows: DataFrame, p: int, q: int) -> DataFrame:
                 own = tile.component[start:end]
                 if (own == own[0]).all():
                     continue
-                for i in range(start, end - 1):
-                    rest = np.arange(i + 1, end)
-                    rest = rest[tile.component[rest] != tile.component[i]]
-                    rest = rest[tile.may_link(i, rest, p, q)]
-                    if len(rest):
-                        a, b = np.full(len(rest), tile.id[i]), tile.id[rest]
+                for a, b in partners(tile, start, end):
+                    apart = tile.component[a] != tile.component[b]
+                    a, b = a[apart], b[apart]
+                    hit = tile.may_link(a, b, p, q)
+                    a, b = a[hit], b[hit]
+                    hit = tile.close(a, b, p, q)
+                    if hit.any():
+                        a, b = tile.id[a[hit]], tile.id[b[hit]]
                         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
     placed = rows.repartition("key").sortWithinPartitions("key", "size", "id")
@@ -184,50 +288,83 @@ def passes(bitmap: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 
-def verify(pairs: DataFrame, sets: Callable[[np.ndarray], DataFrame], p: int, q: int) -> DataFrame:
+def _with_both(pairs: DataFrame, found: DataFrame, *columns: str) -> DataFrame:
+    """a, b and these columns of both. Sets may be long, so they are never broadcast."""
+    for side in ("a", "b"):
+        named = found.select(F.col("id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns])
+        pairs = pairs.hint("merge").join(named, side)
+    return pairs.select("a", "b", *[f"{c}_{side}" for c in columns for side in ("a", "b")])
+
+
+def _ids(pairs: DataFrame) -> np.ndarray:
+    return id_filter(pairs.select(F.explode(F.array("a", "b")).alias("id")))
+
+
+def bounded(pairs: DataFrame, sets: Callable[[np.ndarray], DataFrame], p: int, q: int) -> DataFrame:
+    """Pairs that may be similar by their wide signatures, which are a thirtieth of the sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size = batch.column(2).to_numpy().astype(np.int64), batch.column(3).to_numpy().astype(np.int64)
+            differ = np.array(
+                [differing_bits(x, y) for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())], np.int64
+            )
+            stay = (size[0] + size[1] - differ) // 2 >= needed(*size, p, q)
+            yield batch.select([0, 1]).filter(pa.array(stay))
+
+    return _with_both(pairs, sets(_ids(pairs)), "size", "wide").mapInArrow(run, "a long, b long")
+
+
+def verify(
+    pairs: DataFrame, sets: Callable[[np.ndarray], DataFrame], decode: Callable[[bytes], np.ndarray], p: int, q: int
+) -> DataFrame:
     """Pairs (a, b) with q * overlap >= p * union.
 
-    ``sets`` gives id and elements (sorted distinct 64-bit values) of at least those ids
-    that pass the bitmap it is handed.
+    ``sets`` gives SETS of at least the ids that pass the bitmap it is handed, ``decode``
+    the sorted distinct elements of a payload.
     """
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
-    found = sets(id_filter(ids))
-    both = (
-        pairs.join(found.select(F.col("id").alias("a"), F.col("elements").alias("ea")), "a")
-        .join(found.select(F.col("id").alias("b"), F.col("elements").alias("eb")), "b")
-        .select("a", "b", "ea", "eb")
-    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             stay = []
-            for ea, eb in zip(batch.column(2), batch.column(3)):
-                x = np.frombuffer(ea.as_buffer(), np.uint64)
-                y = np.frombuffer(eb.as_buffer(), np.uint64)
-                overlap = len(np.intersect1d(x, y, assume_unique=True))
+            for one, other in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                x, y = decode(one), decode(other)
+                both = np.sort(np.concatenate([x, y]))
+                overlap = int(np.count_nonzero(both[1:] == both[:-1]))
                 stay.append(q * overlap >= p * (len(x) + len(y) - overlap))
             yield batch.select([0, 1]).filter(pa.array(stay, pa.bool_()))
 
-    return both.mapInArrow(run, "a long, b long")
+    return _with_both(pairs, sets(_ids(pairs)), "payload").mapInArrow(run, "a long, b long").distinct()
+
 
+def link(
+    tiles: DataFrame, sets: Callable[[np.ndarray], DataFrame], p: int, q: int,
+    decode: Callable[[bytes], np.ndarray] = elements, light: bool = False,
+) -> DataFrame:
+    """id and component (smallest id reachable by links) of every id that has a link.
 
-def link(tiles: DataFrame, sets: Callable[[np.ndarray], DataFrame], p: int, q: int) -> DataFrame:
-    """id and component (smallest id reachable by links) of every id that has a link."""
+    ``light`` says that payloads are hardly larger than wide signatures, so that these
+    are not worth a scan of their own.
+    """
     compared = kept(compare_tiles(tiles, p, q))
-    first = kept(compared.where("kind = 0").select(F.col("id").alias("a"), F.col("other").alias("b")).distinct())
-    links = kept(verify(first, sets, p, q))
+    tried = kept(compared.where("kind = 0").select(F.col("id").alias("a"), F.col("other").alias("b")).distinct())
+    links = kept(verify(tried if light else kept(bounded(tried, sets, p, q)), sets, decode, p, q))
     found = components(links)
     large = compared.where("kind = 1").select("key", "id", "size", "place", "s0", "s1")
     if large.isEmpty():
         return found
-    labelled = large.join(found, "id", "left").select(
-        "key", "id", "size", "place", "s0", "s1", F.coalesce("component", "id").alias("component")
-    )
-    second = kept(compare_components(labelled, p, q).join(first, ["a", "b"], "left_anti"))
-    if second.isEmpty():
-        return found
-    more = verify(second, sets, p, q)
-    return components(links.union(more))
+    of_large = kept(sets(id_filter(large)).join(large.select("id").distinct(), "id", "left_semi"))
+    # A few partners in turn join most of a large group; then all that is still apart is compared.
+    for turn in (*range(TURNS), None):
+        labelled = large.join(found, "id", "left").join(of_large.select("id", "wide"), "id")
+        rows = labelled.select(*large.columns, F.coalesce("component", "id").alias("component"), "wide")
+        pairs = kept(compare_components(rows, p, q, turn).join(tried, ["a", "b"], "left_anti"))
+        if pairs.isEmpty():
+            continue
+        links = kept(links.union(verify(pairs, lambda _: of_large, decode, p, q)))
+        tried = tried.union(pairs)
+        found = components(links)
+    return found
 
 
 def forest(links: DataFrame) -> DataFrame:

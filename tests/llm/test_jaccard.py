@@ -123,13 +123,14 @@ def test_bounds_never_exclude_a_link():
         if 100 * overlap < 80 * (len(a) + len(b) - overlap):
             continue
         first = np.intersect1d(a, b)[0]
-        sign = [linking.signature(x) for x in (a, b)]
+        s0, s1 = linking.signatures([a, b])
         tile = linking.Tile([
             np.zeros(2, np.int64), np.arange(2), np.array([len(a), len(b)]),
             np.array([np.searchsorted(a, first), np.searchsorted(b, first)]),
-            np.array([s for s, _ in sign]), np.array([s for _, s in sign]),
+            s0, s1,
         ])
         assert tile.may_link(0, np.array([1]), 80, 100).all()
+        assert linking.differing_bits(*map(linking.wide_signature, (a, b))) <= len(np.setxor1d(a, b))
         assert tile.place[0] < linking.prefix_length(len(a), 80, 100)
 
 
