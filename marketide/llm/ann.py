@@ -18,19 +18,22 @@ from pyspark.sql import functions as F
 
 from marketide.llm.tables import kept
 
-#: Orderings, dimensions and bits per dimension of a curve, rows in a block of an ordering.
+#: Orderings, dimensions and bits per dimension of a curve.
 ORDERINGS, DIMENSIONS, BITS = 36, 6, 8
-BLOCK = 512
+#: Least and most rows in a block of an ordering, and the part of all vectors that a block holds in between.
+BLOCK, MOST_BLOCK, SHARE = 512, 1 << 15, 100
+#: Scores a task has in hand at once.
+AT_ONCE = 1 << 22
 EVERY, NEAREST = 50, 5
 
 
-def hilbert_keys(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
+def hilbert_keys(at: np.ndarray, bits: int = BITS) -> np.ndarray:
     """Place on the Hilbert curve of each row of cells (whole numbers below 2^bits).
 
     The transposed index is made by undoing excess rotations from the highest bit down and
     Gray-coding; its bits are then interleaved.
     """
-    x = cells.astype(np.int64).T.copy()
+    x = at.astype(np.int64).T.copy()
     dims = len(x)
     q = 1 << (bits - 1)
     while q > 1:
@@ -82,6 +85,16 @@ def _projection(length: int, ordering: int) -> tuple[np.ndarray, np.ndarray]:
     return axes, rng.uniform(0, 1, len(axes))
 
 
+def cells(x: np.ndarray, ordering: int) -> np.ndarray:
+    """Cells of unit vectors (rows) in an ordering's projection."""
+    length = x.shape[1]
+    axes, shift = _projection(length, ordering)
+    # Projections of unit vectors mostly lie within three of 1 / sqrt(length); the
+    # shift moves them by up to half of that range.
+    across = (x @ axes.T) * np.sqrt(length) / 3
+    return np.clip(np.floor((across + 1 + shift) / 3 * (1 << BITS)), 0, (1 << BITS) - 1)
+
+
 def curves(rows: DataFrame, orderings: int) -> DataFrame:
     """A row for every vector and ordering: its key on the curve, and the vector at length 1."""
 
@@ -95,17 +108,11 @@ def curves(rows: DataFrame, orderings: int) -> DataFrame:
                 x = x / np.abs(x).max(axis=1, keepdims=True)
                 x /= np.linalg.norm(x, axis=1, keepdims=True)
                 for ordering in range(orderings):
-                    axes, shift = _projection(length, ordering)
-                    # Projections of unit vectors mostly lie within three of 1 / sqrt(length); the
-                    # shift moves them by up to half of that range.
-                    across = (x @ axes.T) * np.sqrt(length) / 3
-                    cells = np.floor((across + 1 + shift) / 3 * (1 << BITS))
-                    cells = np.clip(cells, 0, (1 << BITS) - 1)
                     n = len(x)
                     unit = pa.FixedSizeListArray.from_arrays(pa.array(x.astype(np.float32).ravel()), length)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(np.full(n, length * 1000 + ordering)), pa.array(hilbert_keys(cells)),
+                            pa.array(np.full(n, length * 1000 + ordering)), pa.array(hilbert_keys(cells(x, ordering))),
                             part.column(0), unit.cast(pa.list_(pa.float32())),
                         ],
                         ["ordering", "key", "vec_id", "embedding"],
@@ -114,8 +121,19 @@ def curves(rows: DataFrame, orderings: int) -> DataFrame:
     return rows.mapInArrow(run, "ordering long, key long, vec_id long, embedding array<float>")
 
 
-def numbered(keyed: DataFrame, tasks: int) -> DataFrame:
-    """Each row's block: BLOCK neighbours along its ordering, numbered through.
+def window(vectors: int) -> tuple[int, int]:
+    """Rows in a block, and how many blocks on either side of a query's own are searched.
+
+    Neighbours of vectors without clusters are spread over a fixed share of every ordering,
+    so the window grows with the number of vectors: by larger blocks, then by more of them.
+    """
+    wanted = -(-vectors // SHARE)
+    block = min(max(BLOCK, wanted), MOST_BLOCK)
+    return block, max(1, -(-wanted // block))
+
+
+def numbered(keyed: DataFrame, tasks: int, size: int) -> DataFrame:
+    """Each row's block: ``size`` neighbours along its ordering, numbered through.
 
     Rows are range-partitioned along all orderings; each task numbers its own rows, and
     the numbers of rows in earlier tasks (one figure per task) are added.
@@ -140,7 +158,7 @@ def numbered(keyed: DataFrame, tasks: int) -> DataFrame:
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
     return ranked.join(bases, "part").select(
-        "ordering", "vec_id", "embedding", F.floor((F.col("base") + F.col("rank")) / BLOCK).alias("block")
+        "ordering", "vec_id", "embedding", F.floor((F.col("base") + F.col("rank")) / size).alias("block")
     )
 
 
@@ -166,9 +184,10 @@ def nearest(vectors: DataFrame, every: int = EVERY, k: int = NEAREST, orderings:
     """
     rows = kept(usable(vectors))
     tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = numbered(curves(rows, orderings), tasks)
+    size, reach = window(rows.count())
+    blocks = numbered(curves(rows, orderings), tasks, size)
     asked = blocks.where(F.col("vec_id") % every == 0).select(
-        "ordering", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)).alias("block"),
+        "ordering", F.explode(F.sequence(F.col("block") - reach, F.col("block") + reach)).alias("block"),
         "vec_id", "embedding", F.lit(True).alias("asks"),
     )
     there = blocks.select("ordering", "block", "vec_id", "embedding", F.lit(False).alias("asks"))
@@ -181,10 +200,13 @@ def nearest(vectors: DataFrame, every: int = EVERY, k: int = NEAREST, orderings:
         if queries.num_rows and members.num_rows:
             q = _matrix(queries["embedding"].combine_chunks(), length)
             x = _matrix(members["embedding"].combine_chunks(), length)
-            out = _best(queries["vec_id"].to_numpy(), q, members["vec_id"].to_numpy(), x, k)
+            asking, ids = queries["vec_id"].to_numpy(), members["vec_id"].to_numpy()
+            step = max(1, AT_ONCE // len(ids))
+            parts = [_best(asking[i:i + step], q[i:i + step], ids, x, k) for i in range(0, len(asking), step)]
+            out = [np.concatenate(c) for c in zip(*parts)]
         return pa.table({"query_id": pa.array(out[0], pa.int64()), "vec_id": pa.array(out[1], pa.int64()), "score": pa.array(out[2], pa.float64())})
 
-    # A block has BLOCK members and at most the queries of three blocks.
+    # A block has a bounded number of members, and the queries of the blocks within reach.
     found = asked.unionByName(there).groupBy("ordering", "block").applyInArrow(run, "query_id long, vec_id long, score double")
     merged = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     return _ranked(merged, rows, k)

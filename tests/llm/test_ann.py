@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 
 from marketide.llm import ann, queries
 
@@ -80,3 +81,38 @@ def test_awkward_vectors(spark):
     assert len(found[0]) == 5
     assert ann.nearest(df.limit(0)).count() == 0
     assert ann.nearest(df.where("vec_id = 0")).count() == 0
+
+
+@pytest.mark.parametrize("n", [20_000, 60_000, 240_000])
+def test_recall_of_the_windows_without_clusters(n):
+    rng = np.random.default_rng(n)
+    x = rng.normal(size=(n, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    asked = rng.choice(n, 40, replace=False)
+    score = x[asked] @ x.T
+    score[np.arange(40), asked] = -1
+    nearest = np.argpartition(-score, 5, axis=1)[:, :5]
+    size, reach = ann.window(n)
+    met = np.zeros(nearest.shape, bool)
+    for ordering in range(ann.ORDERINGS):
+        rank = np.empty(n, np.int64)
+        rank[np.argsort(ann.hilbert_keys(ann.cells(x, ordering)), kind="stable")] = np.arange(n)
+        met |= np.abs(rank[nearest] // size - rank[asked][:, None] // size) <= reach
+    assert met.mean() >= 0.9
+
+
+def test_window_grows_by_larger_blocks_and_then_by_more():
+    assert ann.window(0) == ann.window(1000) == (512, 1)
+    for n in (10**6, 10**7, 10**9):
+        size, reach = ann.window(n)
+        assert size <= ann.MOST_BLOCK and size * reach >= n / ann.SHARE
+
+
+def test_several_blocks_within_reach(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 8)
+    monkeypatch.setattr(ann, "MOST_BLOCK", 16)
+    monkeypatch.setattr(ann, "AT_ONCE", 64)
+    x = np.random.default_rng(5).normal(size=(6000, 32))
+    vectors = {i: v.tolist() for i, v in enumerate(x)}
+    df = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>").repartition(4)
+    assert recall(grouped(ann.nearest(df, every=200)), brute(vectors, 200, 5)) >= 0.9
