@@ -13,25 +13,26 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketide.llm.pretokens import mix
 from marketide.llm.tables import kept
 
-#: Orderings, dimensions and bits per dimension of a curve.
-ORDERINGS, DIMENSIONS, BITS = 36, 6, 8
+#: Orderings, dimensions and bits per dimension of a curve; so many of the bits make one column of the key.
+ORDERINGS, DIMENSIONS, BITS, LEVELS = 36, 6, 30, 10
 #: Least and most rows in a block of an ordering, and the part of all vectors that a block holds in between.
 BLOCK, MOST_BLOCK, SHARE = 512, 1 << 15, 100
+KEYS = ["key", *(f"key{i}" for i in range(1, BITS // LEVELS)), "tie"]
 #: Scores a task has in hand at once.
 AT_ONCE = 1 << 22
 EVERY, NEAREST = 50, 5
 
 
-def hilbert_keys(at: np.ndarray, bits: int = BITS) -> np.ndarray:
-    """Place on the Hilbert curve of each row of cells (whole numbers below 2^bits).
+def hilbert_digits(at: np.ndarray, bits: int) -> np.ndarray:
+    """Transposed index on the Hilbert curve of each row of cells (whole numbers below 2^bits).
 
-    The transposed index is made by undoing excess rotations from the highest bit down and
-    Gray-coding; its bits are then interleaved.
+    It is made by undoing excess rotations from the highest bit down and Gray-coding.
     """
     x = at.astype(np.int64).T.copy()
     dims = len(x)
@@ -53,13 +54,30 @@ def hilbert_keys(at: np.ndarray, bits: int = BITS) -> np.ndarray:
         flip ^= np.where((x[-1] & q) > 0, q - 1, 0)
         q >>= 1
     x ^= flip
-    key = np.zeros(x.shape[1], np.int64)
-    for bit in range(bits - 1, -1, -1):
-        for i in range(dims):
-            key = (key << 1) | ((x[i] >> bit) & 1)
+    return x
+
+
+def interleaved(digits: np.ndarray, high: int, low: int = 0) -> np.ndarray:
+    """The bits from below ``high`` down to ``low`` of all dimensions as one number."""
+    key = np.zeros(digits.shape[1], np.int64)
+    for bit in range(high - 1, low - 1, -1):
+        for row in digits:
+            key = (key << 1) | ((row >> bit) & 1)
     return key
 
 
+def hilbert_keys(at: np.ndarray, bits: int) -> np.ndarray:
+    """Place on the Hilbert curve of each row of cells, as one number."""
+    return interleaved(hilbert_digits(at, bits), bits)
+
+
+def curve_keys(x: np.ndarray, ids: np.ndarray, ordering: int) -> list[np.ndarray]:
+    """KEYS of unit vectors: their place on the curve, coarse bits first, and a hash of id and ordering."""
+    digits = hilbert_digits(cells(x, ordering), BITS)
+    keys = [interleaved(digits, high, high - LEVELS) for high in range(BITS, 0, -LEVELS)]
+    return [*keys, mix(ids.view(np.uint64) + np.uint64(ordering << 40)).view(np.int64)]
+
+
 def usable(vectors: DataFrame) -> DataFrame:
     """vec_id and embedding (doubles) of the rows that take part.
 
@@ -79,6 +97,11 @@ def _matrix(column: pa.Array, length: int) -> np.ndarray:
     return flat.reshape(-1, length)
 
 
+def _units(column: pa.Array, length: int) -> np.ndarray:
+    x = _matrix(column, length)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def _projection(length: int, ordering: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng((length, ordering))
     axes = np.linalg.qr(rng.normal(size=(length, DIMENSIONS)))[0].T if length >= DIMENSIONS else rng.normal(size=(DIMENSIONS, length))
@@ -95,30 +118,29 @@ def cells(x: np.ndarray, ordering: int) -> np.ndarray:
     return np.clip(np.floor((across + 1 + shift) / 3 * (1 << BITS)), 0, (1 << BITS) - 1)
 
 
+CURVE = f"ordering long, {', '.join(f'{k} long' for k in KEYS)}, vec_id long"
+
+
 def curves(rows: DataFrame, orderings: int) -> DataFrame:
-    """A row for every vector and ordering: its key on the curve, and the vector at length 1."""
+    """A row for every vector and ordering: its key on the curve. The vectors stay behind."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = batch.column(1).value_lengths().to_numpy(zero_copy_only=False)
             for length in np.unique(sizes).tolist():
                 part = batch.filter(pa.array(sizes == length))
-                x = _matrix(part.column(1), length)
-                # Dividing by the largest component first keeps very large and small ones in range.
-                x = x / np.abs(x).max(axis=1, keepdims=True)
-                x /= np.linalg.norm(x, axis=1, keepdims=True)
+                x = _units(part.column(1), length)
+                ids = part.column(0).to_numpy()
                 for ordering in range(orderings):
-                    n = len(x)
-                    unit = pa.FixedSizeListArray.from_arrays(pa.array(x.astype(np.float32).ravel()), length)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(np.full(n, length * 1000 + ordering)), pa.array(hilbert_keys(cells(x, ordering))),
-                            part.column(0), unit.cast(pa.list_(pa.float32())),
+                            pa.array(np.full(len(x), length * 1000 + ordering)), *map(pa.array, curve_keys(x, ids, ordering)),
+                            part.column(0),
                         ],
-                        ["ordering", "key", "vec_id", "embedding"],
+                        ["ordering", *KEYS, "vec_id"],
                     )
 
-    return rows.mapInArrow(run, "ordering long, key long, vec_id long, embedding array<float>")
+    return rows.select("vec_id", "embedding").mapInArrow(run, CURVE)
 
 
 def window(vectors: int) -> tuple[int, int]:
@@ -145,61 +167,93 @@ def numbered(keyed: DataFrame, tasks: int, size: int) -> DataFrame:
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(np.full(n, part), pa.int32()), pa.array(np.arange(rank, rank + n))],
-                ["ordering", "key", "vec_id", "embedding", "part", "rank"],
+                ["ordering", "vec_id", "part", "rank"],
             )
             rank += n
 
-    order = ["ordering", "key", "vec_id"]
-    placed = keyed.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    order = ["ordering", *KEYS, "vec_id"]
+    placed = keyed.repartitionByRange(tasks, *order).sortWithinPartitions(*order).drop(*KEYS)
     ranked = kept(
-        placed.mapInArrow(count, "ordering long, key long, vec_id long, embedding array<float>, part int, rank long")
+        placed.mapInArrow(count, "ordering long, vec_id long, part int, rank long")
     )
     sizes = ranked.groupBy("part").agg(F.count("*").alias("n"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
     return ranked.join(bases, "part").select(
-        "ordering", "vec_id", "embedding", F.floor((F.col("base") + F.col("rank")) / size).alias("block")
+        "ordering", "vec_id", F.floor((F.col("base") + F.col("rank")) / size).alias("block")
     )
 
 
 def _best(queries: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int):
-    """For each query its k nearest of the block by unit vectors, as (query, vec_id, score) arrays."""
-    score = q @ x.T
+    """For each query its k nearest of the block by unit vectors, as (query, vec_id, score) arrays.
+
+    ``ids`` ascend. More than k are given where scores tie with the k-th.
+    """
+    score = np.minimum(q @ x.T, 1)
     score[queries[:, None] == ids[None, :]] = -np.inf
-    # Ties go to the smaller id, so order by id first and keep that order.
-    by_id = np.argsort(ids, kind="stable")
-    top = by_id[np.argsort(-score[:, by_id], axis=1, kind="stable")[:, :k]]
-    row = np.repeat(np.arange(len(queries)), top.shape[1])
-    top = top.ravel()
-    good = np.isfinite(score[row, top])
+    if len(ids) > k:
+        row, top = np.nonzero(score >= np.partition(score, len(ids) - k, axis=1)[:, len(ids) - k, None])
+    else:
+        row, top = np.nonzero(np.isfinite(score))
+    # Ties go to the smaller id.
+    order = np.lexsort((top, -score[row, top], row))
+    row, top = row[order], top[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    good = (place < k) & np.isfinite(score[row, top])
     row, top = row[good], top[good]
     return queries[row], ids[top], score[row, top]
 
 
+def directions(rows: DataFrame, every: int, k: int) -> tuple[DataFrame, DataFrame]:
+    """Vectors of one direction reduced to one, and the queries.
+
+    The first: rep (its smallest vec_id), vec_id and unit of the k + 1 smallest vec_ids of
+    each direction; a query and its k nearest are never answered by more. The second:
+    query_id and rep of every ``every``-th vec_id.
+    """
+    v = F.col("embedding")
+    largest = F.array_max(F.transform(v, F.abs))
+    # Dividing by the largest component also keeps very large and small ones in range; adding 0.0 turns -0.0 into 0.0.
+    turned = kept(rows.select("vec_id", F.transform(v, lambda x: x / largest + F.lit(0.0)).alias("unit")))
+    own = Window.partitionBy("unit").orderBy("vec_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    first = turned.select("vec_id", "unit", F.row_number().over(own).alias("n"), F.min("vec_id").over(own).alias("rep"))
+    members = kept(first.where(F.col("n") <= k + 1).select("rep", "vec_id", "unit"))
+    reps = members.where("rep = vec_id").select("rep", "unit")
+    asked = turned.where(F.col("vec_id") % every == 0).join(reps, "unit")
+    return members, kept(asked.select(F.col("vec_id").alias("query_id"), "rep"))
+
+
 def nearest(vectors: DataFrame, every: int = EVERY, k: int = NEAREST, orderings: int = ORDERINGS) -> DataFrame:
     """query_id, rank (from 1), vec_id and score: the k nearest found for every ``every``-th vec_id.
 
-    The score is the cosine of the original vectors in double precision; ties go to the
-    smaller vec_id. See ``usable`` for which rows take part; a query alone has no rows.
+    The score is the cosine of the vectors in double precision; ties go to the smaller
+    vec_id. See ``usable`` for which rows take part; a query alone has no rows.
     """
-    rows = kept(usable(vectors))
+    members, queries = directions(usable(vectors), every, k)
+    asking = queries.select("rep", F.lit(True).alias("asks")).distinct()
+    rows = kept(members.where("rep = vec_id").join(asking, "rep", "left").select(
+        F.col("rep").alias("vec_id"), F.col("unit").alias("embedding"), F.coalesce("asks", F.lit(False)).alias("asks")
+    ))
     tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     size, reach = window(rows.count())
-    blocks = numbered(curves(rows, orderings), tasks, size)
-    asked = blocks.where(F.col("vec_id") % every == 0).select(
-        "ordering", F.explode(F.sequence(F.col("block") - reach, F.col("block") + reach)).alias("block"),
-        "vec_id", "embedding", F.lit(True).alias("asks"),
+    places = numbered(curves(rows, orderings), tasks, size).groupBy("vec_id").agg(
+        F.collect_list(F.struct("ordering", "block")).alias("places")
     )
-    there = blocks.select("ordering", "block", "vec_id", "embedding", F.lit(False).alias("asks"))
+    # A vector meets all its places at once, so that it is copied by the last shuffle alone.
+    blocks = rows.join(places, "vec_id").select("vec_id", "asks", "embedding", F.inline("places"))
+    asked = blocks.where("asks").withColumn(
+        "block", F.explode(F.sequence(F.col("block") - reach, F.col("block") + reach))
+    )
+    there = blocks.withColumn("asks", F.lit(False))
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        table = table.sort_by("vec_id")
         asks = table["asks"].to_numpy()
         queries, members = table.filter(pa.array(asks)).combine_chunks(), table.filter(pa.array(~asks)).combine_chunks()
         length = key[0].as_py() // 1000
         out = [[], [], []]
         if queries.num_rows and members.num_rows:
-            q = _matrix(queries["embedding"].combine_chunks(), length)
-            x = _matrix(members["embedding"].combine_chunks(), length)
+            q, x = (_units(t["embedding"].combine_chunks(), length) for t in (queries, members))
             asking, ids = queries["vec_id"].to_numpy(), members["vec_id"].to_numpy()
             step = max(1, AT_ONCE // len(ids))
             parts = [_best(asking[i:i + step], q[i:i + step], ids, x, k) for i in range(0, len(asking), step)]
@@ -209,28 +263,18 @@ def nearest(vectors: DataFrame, every: int = EVERY, k: int = NEAREST, orderings:
     # A block has a bounded number of members, and the queries of the blocks within reach.
     found = asked.unionByName(there).groupBy("ordering", "block").applyInArrow(run, "query_id long, vec_id long, score double")
     merged = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    return _ranked(merged, rows, k)
-
-
-def _in_range() -> Column:
-    """The embedding times a power of two, so that no square overflows or vanishes; cosines stay the same."""
-    v = F.col("embedding")
-    largest = F.array_max(F.transform(v, F.abs))
-    factor = F.pow(F.lit(2.0), -F.greatest(F.floor(F.log2(largest)), F.lit(-1000)).cast("double"))
-    return F.transform(v, lambda x: x * factor)
+    return _ranked(merged, members, queries, k)
 
 
-def _ranked(found: DataFrame, rows: DataFrame, k: int) -> DataFrame:
-    """Cosines from the original vectors, and the k best of each query."""
-    near = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    # Block scores are in single precision, so twice as many are scored again.
-    close = found.withColumn("rank", near).where(F.col("rank") <= 2 * k).select("query_id", "vec_id")
-    both = close.join(rows.select(F.col("vec_id").alias("query_id"), _in_range().alias("q")), "query_id").join(
-        rows.select("vec_id", _in_range().alias("x")), "vec_id"
-    )
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda u, v: u * v), F.lit(0.0), lambda s, u: s + u)
-    score = dot("q", "x") / (F.sqrt(dot("q", "q")) * F.sqrt(dot("x", "x")))
-    scored = both.select("query_id", "vec_id", score.alias("score"))
-    return scored.withColumn("rank", near).where(F.col("rank") <= k).select(
-        "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"
+def _ranked(found: DataFrame, members: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """The k best of each query, every direction found standing for its vec_ids."""
+    near = lambda of: F.row_number().over(Window.partitionBy(of).orderBy(F.desc("score"), "vec_id"))
+    close = found.withColumn("n", near("query_id")).where(F.col("n") <= k)
+    own = queries.select(F.col("rep").alias("asking")).distinct()
+    both = close.select(F.col("query_id").alias("asking"), F.col("vec_id").alias("rep"), "score").unionByName(
+        own.select("asking", F.col("asking").alias("rep"), F.lit(1.0).alias("score"))
     )
+    each = both.join(members.select("rep", "vec_id"), "rep").withColumn("n", near("asking")).where(F.col("n") <= k + 1)
+    answers = queries.withColumnRenamed("rep", "asking").join(each.select("asking", "vec_id", "score"), "asking")
+    scored = answers.where("vec_id <> query_id").withColumn("rank", near("query_id"))
+    return scored.where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

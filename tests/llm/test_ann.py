@@ -96,7 +96,7 @@ def test_recall_of_the_windows_without_clusters(n):
     met = np.zeros(nearest.shape, bool)
     for ordering in range(ann.ORDERINGS):
         rank = np.empty(n, np.int64)
-        rank[np.argsort(ann.hilbert_keys(ann.cells(x, ordering)), kind="stable")] = np.arange(n)
+        rank[np.lexsort(ann.curve_keys(x, np.arange(n), ordering)[::-1])] = np.arange(n)
         met |= np.abs(rank[nearest] // size - rank[asked][:, None] // size) <= reach
     assert met.mean() >= 0.9
 
@@ -116,3 +116,24 @@ def test_several_blocks_within_reach(spark, monkeypatch):
     vectors = {i: v.tolist() for i, v in enumerate(x)}
     df = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>").repartition(4)
     assert recall(grouped(ann.nearest(df, every=200)), brute(vectors, 200, 5)) >= 0.9
+
+
+def test_more_copies_and_near_copies_than_the_windows_hold(spark):
+    rng = np.random.default_rng(9)
+    copies, near = rng.normal(size=(2, 32))
+    x = rng.normal(size=(12_000, 32))
+    kind = rng.integers(0, 3, len(x))
+    x[kind == 0] = copies
+    x[kind == 1] = near + 1e-3 * rng.normal(size=((kind == 1).sum(), 32))
+    x[np.flatnonzero(kind == 0)[::2]] *= 4.0
+    vectors = {i: v.tolist() for i, v in enumerate(x)}
+    df = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>").repartition(4)
+    found = grouped(ann.nearest(df, every=60))
+    smallest = np.flatnonzero(kind == 0)[:6].tolist()
+    asked = [q for q in range(0, len(x), 60)]
+    assert found.keys() == set(asked)
+    for q in asked:
+        if kind[q] == 0:
+            assert [v for v, *_ in found[q]] == [v for v in smallest if v != q][:5]
+    expected = brute(vectors, 60, 5)
+    assert recall(found, {q: expected[q] for q in asked if kind[q] == 1}) >= 0.9
