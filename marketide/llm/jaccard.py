@@ -17,7 +17,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketide.llm import linking, pretokens
@@ -83,19 +83,30 @@ def shingle_sets(items: list[str], words: int) -> list[np.ndarray]:
     return out
 
 
+def row_key() -> Column:
+    """A 64-bit hash of doc_id and text, so that rows are told apart that share an id alone; null without an id."""
+    doc_id, text = F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return F.when(doc_id.isNotNull(), F.xxhash64(doc_id, text))
+
+
+def by_row(docs: DataFrame) -> DataFrame:
+    """doc_id is the row's key, doc its doc_id."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc"), row_key().alias("doc_id"), "text")
+
+
 def describe(docs: DataFrame, words: int) -> DataFrame:
-    """kind 0: id, size and digest (d0, d1) of each text's set; kind 1: counters of a task (chunk, counts)."""
+    """kind 0: id, doc, size and digest (d0, d1) of each text's set; kind 1: counters of a task (chunk, counts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, np.int64)
-        names = ["kind", "id", "size", "d0", "d1", "counts"]
+        names = ["kind", "id", "doc", "size", "d0", "d1", "counts"]
         for part, items in text_batches(batches):
             sets = shingle_sets(items, words)
             total += np.bincount((np.concatenate(sets) >> np.uint64(44)).astype(np.int64), minlength=COUNTERS)
             digests = np.frombuffer(b"".join(hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets), np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.zeros(len(sets), np.int8)), part.column(0), pa.array([len(s) for s in sets], pa.int32()),
+                    pa.array(np.zeros(len(sets), np.int8)), part.column(0), part.column(2), pa.array([len(s) for s in sets], pa.int32()),
                     pa.array(digests[0::2]), pa.array(digests[1::2]), pa.nulls(len(sets), pa.binary()),
                 ],
                 names,
@@ -105,13 +116,13 @@ def describe(docs: DataFrame, words: int) -> DataFrame:
         zero = np.zeros(n, np.int64)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(np.ones(n, np.int8)), pa.array(np.arange(n)), pa.array(zero.astype(np.int32)),
+                pa.array(np.ones(n, np.int8)), pa.array(np.arange(n)), pa.nulls(n, pa.int64()), pa.array(zero.astype(np.int32)),
                 pa.array(zero), pa.array(zero), pa.array(chunks, pa.binary()),
             ],
             names,
         )
 
-    return texts(docs).mapInArrow(run, "kind byte, id long, size int, d0 long, d1 long, counts binary")
+    return texts(docs, "doc").mapInArrow(run, "kind byte, id long, doc long, size int, d0 long, d1 long, counts binary")
 
 
 def counters(described: DataFrame) -> np.ndarray:
@@ -228,10 +239,18 @@ def similar_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     doc_id are judged by their own texts; rows without one link with nothing and have no
     component.
     """
+    return _grouped(docs, words, percent).select("doc_id", "n_shingles", "class_id", "component_id")
+
+
+def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The columns of ``similar_groups``, each row's key, and first_key: that of its component's first row."""
+    docs = by_row(docs)
     described = kept(describe(docs, words))
-    members = described.where("kind = 0").select("id", "size", "d0", "d1")
+    members = described.where("kind = 0").select("id", "doc", "size", "d0", "d1")
     classes = kept(
-        members.where("size > 0 AND id IS NOT NULL").groupBy("d0", "d1").agg(F.min("id").alias("class_id"))
+        members.where("size > 0 AND id IS NOT NULL").groupBy("d0", "d1").agg(
+            F.min("id").alias("class_key"), F.min(F.struct("doc", "id")).alias("first")
+        )
     )
     counts = counters(described)
     levels = np.minimum(np.floor(np.log2(counts + 1) * 4), 255).astype(np.uint8)
@@ -239,24 +258,31 @@ def similar_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     usual = 2 * counts.mean()
     hot = np.flatnonzero(counts - usual > TILE_ROWS)
     blocks = {int(c): int(np.ceil((counts[c] - usual) / TILE_ROWS)) for c in hot}
-    named = classes.select(F.col("class_id").alias("id")).distinct()
+    named = classes.select(F.col("class_key").alias("id")).distinct()
     firsts = prefixes(docs, words, percent, levels, linking.id_filter(named)).join(named, "id", "left_semi")
     linked = linking.link(tiles(firsts, blocks), partial(sets_of, docs, words), percent, 100)
-    found = classes.join(linked, classes["class_id"] == linked["id"], "left").select(
-        "d0", "d1", "class_id", F.coalesce("component", "class_id").alias("component_id")
-    )
+    joined = kept(classes.join(linked, classes["class_key"] == linked["id"], "left").select(
+        "d0", "d1", "first", F.coalesce("component", "class_key").alias("component")
+    ))
+    firsts_of = joined.groupBy("component").agg(F.min("first").alias("leader"))
+    found = joined.join(firsts_of, "component").select("d0", "d1", "first", "leader")
     alone = F.col("size") == 0
+    named_row = F.col("id").isNotNull()
     return members.join(found, ["d0", "d1"], "left").select(
-        F.col("id").alias("doc_id"),
+        F.col("doc").alias("doc_id"),
         F.col("size").cast("long").alias("n_shingles"),
-        F.when(alone, F.col("id")).when(F.col("id").isNotNull(), F.col("class_id")).alias("class_id"),
-        F.when(alone, F.col("id")).when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"),
+        F.when(alone, F.col("doc")).when(named_row, F.col("first.doc")).alias("class_id"),
+        F.when(alone, F.col("doc")).when(named_row, F.col("leader.doc")).alias("component_id"),
+        F.col("id").alias("key"),
+        F.when(alone, F.col("id")).when(named_row, F.col("leader.id")).alias("first_key"),
     )
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is its component's smallest, and rows without doc_id."""
-    (gone_id,) = free_names(docs, "gone_id")
-    found = similar_groups(docs, words, percent).where("doc_id <> component_id")
-    gone = found.select(F.col("doc_id").alias(gone_id)).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col(gone_id), "left_anti")
+    """The rows of ``docs`` that are their component's first by doc_id, and rows without doc_id.
+
+    Of different texts of one doc_id within a component one stays.
+    """
+    (gone_key,) = free_names(docs, "gone_key")
+    gone = _grouped(docs, words, percent).where("key <> first_key").select(F.col("key").alias(gone_key)).distinct()
+    return docs.join(gone, row_key() == F.col(gone_key), "left_anti")

@@ -145,3 +145,18 @@ def test_components_of_paths_stars_and_rings(spark):
     assert all(got[1000 + i] == 1000 for i in range(300))
     assert all(got[2000 + i] == 2000 for i in range(50))
     assert linking.components(df.limit(0)).count() == 0
+
+
+def test_one_id_with_different_texts(spark):
+    def text(stem, changed=()):
+        return " ".join(f"other{i}" if i in changed else f"{stem}{i}" for i in range(200))
+
+    rows = [
+        (5, text("a")), (5, text("b")), (7, text("a", (199,))), (8, text("b", (0,))), (9, text("c")), (9, text("d")),
+        (10, text("c", (199,))), (3, text("d", (0,))),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = sorted((r["doc_id"], r["class_id"], r["component_id"]) for r in jaccard.similar_groups(docs).collect())
+    assert found == [(3, 3, 3), (5, 5, 5), (5, 5, 5), (7, 7, 5), (8, 8, 5), (9, 9, 3), (9, 9, 9), (10, 10, 9)]
+    left = sorted((r["doc_id"], r["text"]) for r in jaccard.one_of_each(docs).collect())
+    assert left == sorted([rows[0], rows[1], rows[4], rows[7]])
