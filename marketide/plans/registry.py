@@ -678,8 +678,7 @@ def scaled_features(t: Tables) -> DataFrame:
 
 # --- models ----------------------------------------------------------------------
 
-# Small learners keep the registered model queries short; ``model`` has the full defaults.
-QUERY_LEARNERS = (model.Learner(trees=8, rate=0.3, depth=3), model.Learner(trees=8, rate=0.3, depth=4))
+QUERY_LEARNERS = (model.SHALLOW, model.DEEP)
 
 
 def _split_matrix(t: Tables) -> tuple[DataFrame, DataFrame, list[str]]:
@@ -725,7 +724,7 @@ def scaled_pipeline_r2(t: Tables) -> DataFrame:
 @query
 def cv_search(t: Tables) -> DataFrame:
     train, _, features = _split_matrix(t)
-    results = model.search(train, features, trials=2, folds=3, tree_range=(3, 6))
+    results = model.search(train, features)
     return model.search_table(train, results)
 
 

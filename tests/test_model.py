@@ -192,3 +192,18 @@ def test_merge_keeps_the_samples_cost(spark):
     assert rows(forecast.merge_submission(sample, made)) == [
         (d("2023-01-01"), None, 7.0), (d("2023-01-02"), 5.0, 8.0)
     ]
+
+
+def test_registered_queries_use_the_library_defaults(monkeypatch):
+    from marketide.plans import registry
+
+    assert registry.QUERY_LEARNERS == (model.SHALLOW, model.DEEP)
+    asked = []
+    monkeypatch.setattr(registry, "_split_matrix", lambda t: ("train", "test", ["x"]))
+    monkeypatch.setattr(registry, "tune", lambda *a: None)
+    monkeypatch.setattr(registry.readers, "stored_bytes", lambda *a: 0)
+    monkeypatch.setattr(registry.roles, "load_roles", lambda *a: None)
+    monkeypatch.setattr(registry.model, "search", lambda *a, **b: asked.append((a, b)))
+    monkeypatch.setattr(registry.model, "search_table", lambda *a: type("Nothing", (), {"dtypes": []}))
+    registry.REGISTRY["cv_search"](None, "/nowhere")
+    assert asked == [(("train", ["x"]), {})]
