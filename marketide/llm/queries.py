@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from marketide.llm import ann, bpe, counts, exact, jaccard, langid, lines, mixing, packed, quality
+from marketide.llm import ann, bpe, counts, exact, jaccard, langid, lines, merkle, mixing, packed, quality
 from marketide.llm.tables import crc_bucket, read
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -68,11 +70,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("over_limit", found["n_tokens"] > 1024)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    lower = F.translate("text", ascii_uppercase, ascii_lowercase)
+    found = merkle.manifest(docs, F.when(crc_bucket("doc_id", 3) == 0, lower))
+    return found.withColumn("proof_sha256", F.sha2("proof", 256)).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_source_mix, op2_line_dedup, op3_ngram_jaccard, op4_exact_dedup, op5_byte_bpe, op6_hilbert_neighbours,
         op7_packed_ids, op8_language_id, op9_quality_gam, op10_token_counts,
+        op13_merkle_manifest,
     )
 }
 
@@ -86,4 +98,68 @@ SQL = {
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(plain) AS text_sha256
         FROM t JOIN g USING (plain)
     """,
+    "op13_merkle_manifest": r"""
+        WITH RECURSIVE raw AS (
+            SELECT doc_id, lang, list_reduce(
+                [4294967295::UBIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT),
+                lambda c, b: list_reduce(
+                    [xor(c, b)] || range(8)::UBIGINT[],
+                    lambda x, i: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384::UBIGINT ELSE 0::UBIGINT END)
+                )
+            ) AS crc,
+            coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+            text, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered
+            FROM documents
+        ), hashed AS (
+            SELECT doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                CASE WHEN xor(crc, 4294967295::UBIGINT) % 3 = 0 AND text IS NOT NULL
+                    THEN sha256(head || strlen(lowered) || ':' || lowered) END AS told
+            FROM raw
+        ), leaves AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                count(*) OVER (PARTITION BY lang) AS size
+            FROM hashed
+        ), nodes AS (
+            SELECT lang, 0 AS level, pos, leaf AS node, size FROM leaves
+            UNION ALL
+            SELECT lang, level + 1, pos // 8, sha256(string_agg(node, '' ORDER BY pos)), any_value((size + 7) // 8)
+            FROM nodes WHERE size > 1 GROUP BY lang, level, pos // 8
+        ), subroots AS (
+            SELECT lang, node AS subroot, level AS height, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos,
+                count(*) OVER () AS size
+            FROM nodes WHERE size = 1
+        ), tops AS (
+            SELECT 0 AS level, pos, subroot AS node, size FROM subroots
+            UNION ALL
+            SELECT level + 1, pos // 8, sha256(string_agg(node, '' ORDER BY pos)), any_value((size + 7) // 8)
+            FROM tops WHERE size > 1 GROUP BY level, pos // 8
+        ), runs AS (
+            SELECT lang, level, pos // 8 AS run, list(node ORDER BY pos) AS members FROM nodes WHERE size > 1 GROUP BY ALL
+        ), top_runs AS (
+            SELECT level, pos // 8 AS run, list(node ORDER BY pos) AS members FROM tops WHERE size > 1 GROUP BY ALL
+        ), named AS (
+            SELECT l.*, s.subroot, s.height, s.pos AS tree, row_number() OVER () AS id,
+                (SELECT node FROM tops WHERE size = 1) AS root
+            FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang
+        ), steps AS (
+            SELECT n.id, r.level, (n.pos // (8 ** r.level)::BIGINT) % 8 AS place, members
+            FROM named n JOIN runs r ON n.lang IS NOT DISTINCT FROM r.lang AND r.run = n.pos // (8 ** (r.level + 1))::BIGINT
+            UNION ALL
+            SELECT n.id, n.height + r.level, (n.tree // (8 ** r.level)::BIGINT) % 8, members
+            FROM named n JOIN top_runs r ON r.run = n.tree // (8 ** (r.level + 1))::BIGINT
+        ), parts AS (
+            SELECT id, level, coalesce(array_to_string(members[:place], ''), '') AS before,
+                coalesce(array_to_string(members[place + 2:], ''), '') AS after
+            FROM steps
+        ), proofs AS (
+            SELECT id, string_agg(before || after, '' ORDER BY level) AS proof, max(level) + 1 AS height FROM parts GROUP BY id
+        ), folded AS (
+            SELECT id, 0 AS level, coalesce(told, leaf) AS node FROM named
+            UNION ALL
+            SELECT f.id, f.level + 1, sha256(before || node || after) FROM folded f JOIN parts USING (id, level)
+        )
+        SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, node AS folded_root, node = root AS verified
+        FROM named n LEFT JOIN proofs p USING (id) JOIN folded f ON f.id = n.id AND f.level = coalesce(p.height, 0)
+    """,
 }
