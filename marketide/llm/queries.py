@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from marketide.llm import ann, bpe, counts, exact, jaccard, langid, lines, merkle, mixing, packed, quality
+from marketide.llm import ann, bpe, counts, exact, jaccard, langid, lines, merkle, mixing, packed, quality, topk
 from marketide.llm.tables import crc_bucket, read
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -70,6 +70,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("over_limit", found["n_tokens"] > 1024)
 
 
+def op11_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     lower = F.translate("text", ascii_uppercase, ascii_lowercase)
@@ -84,7 +88,7 @@ QUERIES = {
     for f in (
         op1_source_mix, op2_line_dedup, op3_ngram_jaccard, op4_exact_dedup, op5_byte_bpe, op6_hilbert_neighbours,
         op7_packed_ids, op8_language_id, op9_quality_gam, op10_token_counts,
-        op13_merkle_manifest,
+        op11_exact_topk, op13_merkle_manifest,
     )
 }
 
@@ -98,6 +102,18 @@ SQL = {
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(plain) AS text_sha256
         FROM t JOIN g USING (plain)
     """,
+    "op11_exact_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS q FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
+            FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
     "op13_merkle_manifest": r"""
         WITH RECURSIVE raw AS (
             SELECT doc_id, lang, list_reduce(
