@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from marketide.llm import ann, bpe, counts, exact, jaccard, langid, lines, merkle, mixing, packed, quality, topk
+from marketide.llm import ann, bpe, counts, exact, jaccard, langid, lines, merkle, mining, mixing, packed, quality, topk
 from marketide.llm.tables import crc_bucket, read
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -74,6 +74,11 @@ def op11_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read(spark, sf_dir, "embeddings"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mining.hard_negatives(read(spark, sf_dir, "embeddings"), label)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     lower = F.translate("text", ascii_uppercase, ascii_lowercase)
@@ -88,7 +93,7 @@ QUERIES = {
     for f in (
         op1_source_mix, op2_line_dedup, op3_ngram_jaccard, op4_exact_dedup, op5_byte_bpe, op6_hilbert_neighbours,
         op7_packed_ids, op8_language_id, op9_quality_gam, op10_token_counts,
-        op11_exact_topk, op13_merkle_manifest,
+        op11_exact_topk, op12_hard_negatives, op13_merkle_manifest,
     )
 }
 
@@ -114,6 +119,27 @@ SQL = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
     """,
+    "op12_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.q, b.q)::BIGINT AS score
+            FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+        ), positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        ), windowed AS (
+            SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+                row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+            FROM scored JOIN positives USING (anchor_id)
+            WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+        )
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM windowed WHERE rank <= 3
+    """,
     "op13_merkle_manifest": r"""
         WITH RECURSIVE raw AS (
             SELECT doc_id, lang, list_reduce(
