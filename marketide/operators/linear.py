@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketide.functions.scalars import not_negative
+from marketide.operators.series import SINGLE, one_per_series
 
 SHORT, LONG = 1, 7
 
@@ -38,11 +39,6 @@ def fit_lags(history: DataFrame, value: str, day: str = "date", keys: tuple[str,
     return weighted.select(*keys, start.alias("start"), "short", "long")
 
 
-def _one_per_series(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """``df`` with a key that also serves a single series without keys."""
-    return df if keys else df.withColumn("_series", F.lit(0))
-
-
 def forecast_lags(
     history: DataFrame, days: DataFrame, value: str, day: str = "date", keys: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -51,8 +47,8 @@ def forecast_lags(
     The fold over the days carries the series' last LONG values; series are side by side.
     Series with fewer than LONG values, or without weights, are forecast as NULL.
     """
-    by = list(keys) or ["_series"]
-    past = _one_per_series(history.where(F.col(value).isNotNull()), keys)
+    by = list(keys or SINGLE)
+    past = one_per_series(history.where(F.col(value).isNotNull()), keys)
     last = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc(day)))
     pair = F.struct(F.col(day).alias("d"), F.col(value).alias("v"))
     recent = (
@@ -60,10 +56,10 @@ def forecast_lags(
         .groupBy(*by).agg(F.sort_array(F.collect_list(pair)).alias("recent"))
         .withColumn("recent", F.transform("recent", lambda p: p["v"]))
     )
-    targets = _one_per_series(days.select(*keys, day), keys).groupBy(*by).agg(
+    targets = one_per_series(days.select(*keys, day), keys).groupBy(*by).agg(
         F.sort_array(F.collect_set(day)).alias("targets")
     )
-    weights = _one_per_series(fit_lags(history, value, day, keys), keys)
+    weights = one_per_series(fit_lags(history, value, day, keys), keys)
     series = targets.join(recent, by, "left").join(weights, by, "left")
 
     def step(values: Column, _: Column) -> Column:

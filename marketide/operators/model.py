@@ -7,14 +7,19 @@ from __future__ import annotations
 
 import math
 import random
-from dataclasses import asdict, dataclass
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict, dataclass, replace
+from functools import cached_property, partial
+from typing import TypeVar
 
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from marketide.functions.metrics import error_metrics, rmse
 from marketide.operators.encode import scaler_stages
@@ -25,6 +30,7 @@ from marketide.session import materialise
 TARGET = "actual_revenue"
 LABEL = "log_target"
 FACTOR = "inflation_factor"
+T = TypeVar("T")
 
 
 @dataclass(frozen=True)
@@ -43,6 +49,13 @@ RATE_RANGE = (0.01, 0.1)
 DEPTH_RANGE = (3, 6)
 TRIALS = 5
 FOLDS = 3
+# Fixed value: trees without gain on held-out rows before boosting stops.
+PATIENCE = 30
+
+#: Fits that run at the same time, and rows of a fit that one task takes.
+FITS_AT_ONCE, ROWS_PER_TASK = 12, 50_000
+#: Trees after which patience is first looked at.
+FIRST_TREES = 64
 
 SHALLOW = Learner(depth=3)
 DEEP = Learner(depth=5)
@@ -52,14 +65,64 @@ def with_label(df: DataFrame, target: str = TARGET) -> DataFrame:
     return df.withColumn(LABEL, F.log1p(target))
 
 
-def regressor(learner: Learner, out: str = "prediction", early_stop: str | None = None) -> GBTRegressor:
-    """``early_stop`` names a boolean column: its true rows decide when to stop adding trees."""
-    gbt = GBTRegressor(
+def regressor(learner: Learner, out: str = "prediction") -> GBTRegressor:
+    return GBTRegressor(
         labelCol=LABEL, featuresCol="features", predictionCol=out, maxIter=learner.trees,
         stepSize=learner.rate, maxDepth=learner.depth, seed=learner.seed,
     )
-    # Spark stops at the first tree that does not improve by the tolerance; 0 is its most patient setting.
-    return gbt.setParams(validationIndicatorCol=early_stop, validationTol=0.0) if early_stop else gbt
+
+
+def best_prefix(errors: list[float], patience: int = PATIENCE) -> int:
+    """How many trees to keep: up to the least error before ``patience`` trees in a row bring no gain."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
+    """The model as it was after ``n`` trees."""
+    context = SparkSession.active().sparkContext
+    regression = context._jvm.org.apache.spark.ml.regression
+    trees = context._gateway.new_array(regression.DecisionTreeRegressionModel, n)
+    weights = context._gateway.new_array(context._jvm.double, n)
+    for i, (tree, weight) in enumerate(zip(model.trees[:n], model.treeWeights)):
+        trees[i], weights[i] = tree._java_obj, weight
+    return GBTRegressionModel(regression.GBTRegressionModel(model.uid, trees, weights))
+
+
+def fit_patiently(rows: DataFrame, held_out: DataFrame, learner: Learner, patience: int = PATIENCE) -> GBTRegressionModel:
+    """A learner that stops adding trees when ``held_out`` has not gained for ``patience`` of them.
+
+    The errors of all prefixes are found for one fitted model, which is then cut. Boosting
+    is begun with FIRST_TREES and twice as many each time, as long as patience lasts; the
+    first trees of a longer fit are those of a shorter one. Without held-out rows all stay.
+    """
+    if held_out.isEmpty():
+        return regressor(learner).fit(rows)
+    trees = min(FIRST_TREES, learner.trees)
+    while True:
+        model = regressor(replace(learner, trees=trees)).fit(rows)
+        best = best_prefix(model.evaluateEachIteration(held_out, "squared"), patience)
+        if trees == learner.trees or best + patience <= trees:
+            return first_trees(model, best)
+        trees = min(2 * trees, learner.trees)
+
+
+def side_by_side(tasks: list[Callable[[], T]], at_once: int = FITS_AT_ONCE) -> list[T]:
+    """The results of all tasks, in order. Their Spark jobs run at the same time, each task's in a pool of its own."""
+    session = SparkSession.active()
+
+    def run(numbered: tuple[int, Callable[[], T]]) -> T:
+        session.sparkContext.setLocalProperty("spark.scheduler.pool", f"fit-{numbered[0]}")
+        return numbered[1]()
+
+    with ThreadPoolExecutor(max(1, min(at_once, len(tasks)))) as threads:
+        # A target made here takes this thread's local properties along.
+        return [f.result() for f in [threads.submit(inheritable_thread_target(session)(run), t) for t in enumerate(tasks)]]
 
 
 @dataclass(frozen=True)
@@ -71,33 +134,53 @@ class Ensemble:
 
     def predict(self, df: DataFrame, out: str = "prediction") -> DataFrame:
         """Add the forecast in the target's own unit."""
-        scored = assembled(df, self.features)
-        names = [f"log_{i}" for i in range(len(self.models))]
-        for name, model in zip(names, self.models):
-            scored = model.copy({model.predictionCol: name}).transform(scored)
-        mean = sum((F.col(n) for n in names), F.lit(0.0)) / len(names)
-        return scored.withColumn(out, F.expm1(mean)).drop("features", *names)
+        scored = self.log_mean(assembled(df, self.features), out)
+        return scored.withColumn(out, F.expm1(out)).drop("features")
+
+    @cached_property
+    def _named(self) -> dict[str, GBTRegressionModel]:
+        """Every learner by the column it writes."""
+        return {f"log_{i}": m.copy({m.predictionCol: f"log_{i}"}) for i, m in enumerate(self.models)}
+
+    def log_mean(self, df: DataFrame, out: str) -> DataFrame:
+        """Add the learners' mean in log space to rows with assembled ``features``."""
+        for model in self._named.values():
+            df = model.transform(df)
+        mean = sum((F.col(n) for n in self._named), F.lit(0.0)) / len(self._named)
+        return df.withColumn(out, mean).drop(*self._named)
 
 
 def assembled(df: DataFrame, features: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=features, outputCol="features").transform(df)
 
 
+def prepared(train: DataFrame, features: list[str], *more: str) -> DataFrame:
+    """Assembled rows for fitting, in as many partitions as their number asks for.
+
+    A fit runs some jobs per tree, so a day-grain table in many small partitions would
+    spend its time on starting tasks.
+    """
+    rows = assembled(with_label(train), features).select("features", LABEL, *more)
+    count = train.count()
+    return materialise(rows.coalesce(max(1, -(-count // ROWS_PER_TASK))))
+
+
 def fit_ensemble(
-    train: DataFrame,
-    features: list[str],
-    learners: tuple[Learner, ...] = (SHALLOW, DEEP),
-    early_stop: str | None = None,
+    train: DataFrame, features: list[str], learners: tuple[Learner, ...] = (SHALLOW, DEEP), early_stop: str | None = None
 ) -> Ensemble:
-    """Fit every learner on ``train``; refitting on all rows is a second call."""
-    rows = assembled(with_label(train), features)
-    columns = ["features", LABEL] + ([early_stop] if early_stop else [])
-    rows = rows.select(*columns).persist()
-    try:
-        models = [regressor(learner, early_stop=early_stop).fit(rows) for learner in learners]
-    finally:
-        rows.unpersist()
-    return Ensemble(features, models)
+    """Fit every learner on ``train``, side by side; refitting on all rows is a second call.
+
+    ``early_stop`` names a boolean column: its true rows are not learned from and decide
+    when to stop adding trees.
+    """
+    more = [early_stop] if early_stop else []
+    rows = prepared(train, features, *more)
+    if early_stop:
+        learned, held = rows.where(~F.col(early_stop)), rows.where(F.col(early_stop))
+        tasks = [partial(fit_patiently, learned, held, learner) for learner in learners]
+    else:
+        tasks = [partial(regressor(learner).fit, rows) for learner in learners]
+    return Ensemble(features, side_by_side(tasks))
 
 
 def nominal(column: str) -> Column:
@@ -159,19 +242,26 @@ def search(
     """Expanding-window validation of random settings, best mean RMSE first.
 
     Each fold trains on earlier rows only and stops adding trees when its own rows
-    stop improving. One number per fold comes back to the driver.
+    stop improving. All fits of all trials run side by side on folds that are written
+    once; one number per fold and trial comes back to the driver.
     """
     folded = materialise(expanding_folds(train, folds, "date", keys))
-    results = []
-    for i, learners in enumerate(draw_learners(trials, seed, tree_range)):
-        scores = []
-        for fold in range(1, folds + 1):
-            rows = folded.where(F.col("fold") <= fold).withColumn("held_out", F.col("fold") == fold)
-            ensemble = fit_ensemble(rows, features, learners, early_stop="held_out")
-            held = ensemble.predict(rows.where("held_out"))
-            score = held.agg(rmse(nominal(TARGET), nominal("prediction"))).first()[0]
-            scores.append(score)
-        results.append(Trial(i, learners, tuple(scores)))
+    drawn = draw_learners(trials, seed, tree_range)
+    parts = [
+        folded.where(F.col("fold") <= fold).withColumn("held_out", F.col("fold") == fold) for fold in range(1, folds + 1)
+    ]
+    ready = [prepared(rows, features, "held_out") for rows in parts]
+    fits = [
+        partial(fit_patiently, rows.where("NOT held_out"), rows.where("held_out"), learner)
+        for learners in drawn for rows in ready for learner in learners
+    ]
+    models = iter(side_by_side(fits))
+    ensembles = [
+        (Ensemble(features, [next(models) for _ in learners]), rows.where("held_out")) for learners in drawn for rows in parts
+    ]
+    measure = rmse(nominal(TARGET), nominal("prediction"))
+    scores = iter(side_by_side([lambda e=e, held=held: e.predict(held).agg(measure).first()[0] for e, held in ensembles]))
+    results = [Trial(i, learners, tuple(next(scores) for _ in parts)) for i, learners in enumerate(drawn)]
     return sorted(results, key=lambda trial: (trial.mean_rmse, trial.trial))
 
 

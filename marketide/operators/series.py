@@ -47,6 +47,14 @@ SLICES = ("category", "segment", "color")
 
 LARGEST_WEIGHT = 1e90
 
+#: Key of a frame that holds one series and has no key of its own.
+SINGLE = ("_series",)
+
+
+def one_per_series(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """``df`` with a key that also serves a single series without keys."""
+    return df if keys else df.withColumn(SINGLE[0], F.lit(0))
+
 
 # --- daily roll-up ---------------------------------------------------------------
 

@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from helpers import d, rows
@@ -96,16 +97,44 @@ def test_search(split, features):
     assert model.best_learners(results) == results[0].learners
 
 
+def test_best_prefix():
+    assert model.best_prefix([3.0, 2.0, 2.5, 2.4, 1.0], patience=2) == 2
+    assert model.best_prefix([3.0, 2.0, 2.5, 2.4, 1.0], patience=3) == 5
+    assert model.best_prefix([1.0], patience=1) == 1
+
+
+def test_patience_equals_refitting_every_prefix(split, features, monkeypatch):
+    rows_, held = (model.prepared(part, features) for part in split)
+    learner = model.Learner(trees=9, rate=0.9, depth=2)
+    error = F.avg((F.col(model.LABEL) - F.col("prediction")) ** 2)
+    prefixes = [model.regressor(model.Learner(n, 0.9, 2)).fit(rows_) for n in range(1, 10)]
+    errors = [m.transform(held).agg(error).first()[0] for m in prefixes]
+    assert prefixes[-1].evaluateEachIteration(held, "squared") == pytest.approx(errors)
+    for patience in (1, 2, 9):
+        for first in (2, 64):
+            monkeypatch.setattr(model, "FIRST_TREES", first)
+            cut = model.fit_patiently(rows_, held, learner, patience)
+            n = model.best_prefix(errors, patience)
+            assert cut.getNumTrees == n
+            expected = prefixes[n - 1].transform(held).select("prediction").collect()
+            assert cut.transform(held).select("prediction").collect() == expected
+    everything = model.fit_patiently(rows_, held.where("false"), learner)
+    assert everything.getNumTrees == 9
+
+
+def test_side_by_side_keeps_the_order(spark):
+    found = model.side_by_side([lambda n=n: spark.range(n).count() for n in range(12)], at_once=5)
+    assert found == list(range(12))
+    assert model.side_by_side([]) == []
+
+
 def test_scaled_pipeline(split, features):
     assert model.scaled_pipeline_r2(*split, features, LEARNERS[1]) > 0.5
 
 
-def test_tree_table_predicts_like_the_model(spark, ensemble, split, features):
-    for fitted in ensemble.models:
-        table = forecast.tree_table(spark, fitted)
-        scored = fitted.transform(model.assembled(split[1], features)).select("prediction", *features).toPandas()
-        for _, r in scored.iterrows():
-            assert table.predict(r[features].to_numpy(dtype=float)) == pytest.approx(r.prediction, abs=1e-12)
+def scorer(ensemble):
+    """The learners' mean of one row, in the target's own unit."""
+    return lambda x: float(np.expm1(np.mean([m.predict(Vectors.dense(x)) for m in ensemble.models])))
 
 
 def simulate(history, future, features, predict):
@@ -141,13 +170,11 @@ def test_recursive_forecast_equals_a_plain_loop(spark, ensemble, matrix, feature
     cpi = spark.createDataFrame([(d("2019-01-01"), 150.0)], "month_start date, CPI double")
     future = future_frame(spark, "2019-07-20", 40, cpi)
     got = forecast.recursive_forecast(matrix, future, ensemble).orderBy("date").toPandas()
-    tables = [forecast.tree_table(spark, m) for m in ensemble.models]
     expected = simulate(
-        matrix.orderBy("date").toPandas(), future.orderBy("date").toPandas(), features,
-        lambda x: float(np.expm1(np.mean([t.predict(x) for t in tables]))),
+        matrix.orderBy("date").toPandas(), future.orderBy("date").toPandas(), features, scorer(ensemble)
     )
-    assert got.real_revenue.tolist() == pytest.approx(expected)
-    assert got.revenue.tolist() == pytest.approx([1.5 * v for v in expected])
+    assert got.real_revenue.tolist() == pytest.approx(expected, rel=1e-9)
+    assert got.revenue.tolist() == pytest.approx([1.5 * v for v in expected], rel=1e-9)
 
 
 def test_first_day_equals_the_batch_features(spark, ensemble, matrix, features):
@@ -162,9 +189,7 @@ def test_first_day_equals_the_batch_features(spark, ensemble, matrix, features):
     for n in (7, 30):
         row[f"revenue_ewma_{n}_lag1"] = values.tail(n).ewm(span=n).mean().iloc[-1]
     row["sessions_roll_30_lag1"] = past["sessions_roll_30_lag1"].iloc[-1]
-    tables = [forecast.tree_table(spark, m) for m in ensemble.models]
-    x = row[features].to_numpy(dtype=float)
-    assert got == pytest.approx(np.expm1(np.mean([t.predict(x) for t in tables])))
+    assert got == pytest.approx(scorer(ensemble)(row[features].to_numpy(dtype=float)), rel=1e-9)
 
 
 def test_many_series_are_forecast_apart(spark):
@@ -185,6 +210,33 @@ def test_many_series_are_forecast_apart(spark):
     assert together.count() == 9
 
 
+def test_series_without_history_or_days(spark, ensemble, matrix):
+    """Short and missing histories, a NULL key, days that only some series have, and no days at all."""
+    past = matrix.select(F.lit("long").alias("values"), "*")
+    short = past.orderBy(F.desc("date")).limit(3)
+    history = past.union(short.withColumn("values", F.lit("short"))).union(short.withColumn("values", F.lit(None)))
+    days = future_frame(spark, "2019-07-20", 5).crossJoin(
+        spark.createDataFrame([("long",), ("short",), (None,), ("none",)], "values string")
+    ).where("values <> 'short' OR date < '2019-07-23' OR values IS NULL")
+    got = forecast.recursive_forecast(history, days, ensemble, ("values",))
+    assert got.columns == ["values", "date", "real_revenue", "revenue"]
+    found = got.groupBy("values").agg(F.count("*"), F.count("real_revenue")).collect()
+    assert {tuple(r) for r in found} == {("long", 5, 5), ("short", 3, 3), (None, 5, 5), ("none", 5, 0)}
+    alone = forecast.recursive_forecast(matrix, future_frame(spark, "2019-07-20", 5), ensemble)
+    assert rows(got.where("values = 'long'").drop("values")) == rows(alone)
+    assert forecast.recursive_forecast(matrix, days.where("false").drop("values"), ensemble).collect() == []
+
+
+def test_ten_thousand_series(spark, ensemble, matrix):
+    """Equal histories under ten thousand keys have one forecast."""
+    many = matrix.orderBy(F.desc("date")).limit(40).crossJoin(spark.range(10_000).withColumnRenamed("id", "key"))
+    days = future_frame(spark, "2019-07-20", 3)
+    targets = forecast.targets_per_series(many, days, ("key",))
+    got = forecast.recursive_forecast(many, forecast.future_days(targets), ensemble, ("key",))
+    summed = got.groupBy("date").agg(F.count("*"), F.count_distinct("real_revenue")).orderBy("date").collect()
+    assert [tuple(r) for r in summed] == [(d(f"2019-07-{n}"), 10_000, 1) for n in (20, 21, 22)]
+
+
 def test_merge_keeps_the_samples_cost(spark):
     sample = spark.createDataFrame([(d("2023-01-01"), 0.0, 7.0), (d("2023-01-02"), 0.0, 8.0)],
                                    "Date date, Revenue double, COGS double")
