@@ -16,7 +16,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketide.llm import linking, pretokens
@@ -109,19 +109,24 @@ def split_lines(items: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
     return np.array(owner, np.int64), np.array(number, np.int32), lines
 
 
+def text_key() -> Column:
+    """With doc_id it tells rows apart whose texts differ; null and empty texts are alike."""
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text_key")
+
+
 def known_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, line (from 0) and id of every line that is not blank."""
+    """doc_id, text_key, line (from 0) and id of every line that is not blank."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, items in text_batches(batches):
             owner, number, lines = split_lines(items)
             if lines:
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(owner)), pa.array(number), pa.array(line_ids(lines))],
-                    ["doc_id", "line", "id"],
+                    [*part.select([0, 2]).take(pa.array(owner)).columns, pa.array(number), pa.array(line_ids(lines))],
+                    ["doc_id", "text_key", "line", "id"],
                 )
 
-    return texts(docs).mapInArrow(run, "doc_id long, line int, id long")
+    return texts(docs, text_key()).mapInArrow(run, "doc_id long, text_key long, line int, id long")
 
 
 def _new_lines(batches: Iterator[pa.RecordBatch], wanted: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, list[str]]]:
@@ -184,38 +189,45 @@ def sets_of(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
 
 
 def line_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, line, component, keep_doc_id, keep_line and kept of every line that is not blank.
+    """doc_id, text_key, line, component, keep_doc_id, keep_line and kept of every line that is not blank.
 
     Lines of a component are similar, directly or over others; keep_doc_id and keep_line
     name the first of them. Blank lines, null and empty texts have no row. Rows that
-    repeat a doc_id count as more of the same document: a line number that occurs twice
-    there has one verdict. Rows without doc_id come first.
+    repeat a doc_id with another text are told apart by their text_key; rows that repeat
+    both share their verdicts. Rows without doc_id come first.
     """
     lines = kept(known_lines(docs))
     found = linking.link(tiles(docs), partial(sets_of, docs), percent, 100, shingles_of, light=True)
-    named = kept(lines.join(found, "id", "left").select("doc_id", "line", F.coalesce("component", "id").alias("component")))
-    first = named.groupBy("component").agg(F.min(F.struct("doc_id", "line")).alias("first"))
-    place = F.struct("doc_id", "line")
+    place = ["doc_id", "line", "text_key"]
+    named = kept(lines.join(found, "id", "left").select(*place, F.coalesce("component", "id").alias("component")))
+    first = named.groupBy("component").agg(F.min(F.struct(*place)).alias("first"))
     return named.join(first, "component").select(
-        "doc_id", "line", "component",
+        "doc_id", "text_key", "line", "component",
         F.col("first.doc_id").alias("keep_doc_id"), F.col("first.line").alias("keep_line"),
-        place.eqNullSafe(F.col("first")).alias("kept"),
+        F.struct(*place).eqNullSafe(F.col("first")).alias("kept"),
     )
 
 
 def dropped_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id and the numbers of its lines that do not stay, in order; only documents that lose some."""
-    gone = line_components(docs, percent).where("NOT kept").select("doc_id", "line").distinct()
-    return gone.groupBy("doc_id").agg(F.sort_array(F.collect_list("line")).alias("dropped"))
+    """doc_id, text_key and the numbers of a text's lines that do not stay, in order; only texts that lose some."""
+    gone = line_components(docs, percent).where("NOT kept").select("doc_id", "text_key", "line").distinct()
+    return gone.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list("line")).alias("dropped"))
+
+
+def _with_dropped(rows: DataFrame, docs: DataFrame, percent: int, doc_id: str, key: str, dropped: str) -> DataFrame:
+    """``rows`` with the dropped lines of the text that ``doc_id`` and ``key`` name; null if there are none."""
+    gone_id, gone_key = free_names(rows, "gone_id", "gone_key")
+    gone = dropped_lines(docs, percent).toDF(gone_id, gone_key, dropped)
+    same = F.col(doc_id).cast("long").eqNullSafe(F.col(gone_id)) & (F.col(key) == F.col(gone_key))
+    return rows.join(gone, same, "left").drop(gone_id, gone_key)
 
 
 def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` with the dropped lines taken out of text; everything else stays, null texts too."""
-    gone_id, dropped = free_names(docs, "gone_id", "dropped")
-    gone = dropped_lines(docs, percent).toDF(gone_id, dropped)
+    key, dropped = free_names(docs, "text_key", "dropped")
+    joined = _with_dropped(docs.withColumn(key, text_key()), docs, percent, "doc_id", key, dropped)
     lines = F.split(F.col("text"), "\n", -1)
     rest = F.filter(lines, lambda x, i: ~F.array_contains(dropped, i))
-    joined = docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col(gone_id)), "left")
     text = F.when(F.col(dropped).isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
     return joined.withColumn("text", text).select(docs.columns)
 
@@ -223,7 +235,6 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def line_report(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_lines (blank ones too; 0 for a null or empty text) and the dropped line numbers per row."""
     count = F.when(F.coalesce(F.length("text"), F.lit(0)) > 0, F.size(F.split(F.col("text"), "\n", -1))).otherwise(0)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), count.cast("long").alias("n_lines"))
-    gone = dropped_lines(docs, percent).withColumnRenamed("doc_id", "gone_id")
-    joined = rows.join(gone, rows["doc_id"].eqNullSafe(gone["gone_id"]), "left")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), count.cast("long").alias("n_lines"), text_key())
+    joined = _with_dropped(rows, docs, percent, "doc_id", "text_key", "dropped")
     return joined.select("doc_id", "n_lines", F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))

@@ -27,6 +27,8 @@ EVENNESS, REPEATS = 0.95, 4.0
 #: Documents to a block, roughly.
 BLOCK_ROWS = 4_096
 SALTS = 64
+#: Blocks whose sums are added up by one task.
+STRETCH = 1_024
 
 
 @dataclass(frozen=True)
@@ -118,22 +120,23 @@ def source_name() -> Column:
     return F.coalesce(F.col("source").cast("string"), F.lit("\0"))
 
 
-def mix(
+def draws(
     docs: DataFrame, evenness: float = EVENNESS, repeats: float = REPEATS, budget: float | None = None,
     tokens: Column | None = None, seed: int = 0,
 ) -> tuple[DataFrame, Mix]:
-    """Draws (doc_id, source, n_tokens, copies, first_position) of every row, and the mix.
-
-    A document is drawn once in every full pass over its source, and once more if its
-    place in the last pass comes before the budget ends: a document is taken whole when
-    it begins within the budget. first_position is where its first draw begins, in tokens
-    of the source's stream; null if it is not drawn. Documents without tokens (null or
-    empty texts) cost nothing and are drawn as their place has it. Rows that repeat a
-    doc_id are drawn each for itself, in one order. ``budget`` counts tokens in all.
+    """A row for every draw of a row of ``docs``, and the mix.
+
+    doc_id, text_key, source, n_tokens, pass (from 0) and position: how many tokens of
+    the source come before it in that pass. Full passes draw every row. In the last one a
+    row is drawn whole if it begins within what is left of the budget. Rows without tokens
+    (null or empty texts) cost nothing and are drawn as their place has it. Rows that repeat
+    a doc_id are drawn each for itself; those that repeat source and text as well stand
+    next to each other. A null source is one of its own. ``budget`` counts tokens in all.
     """
+    text_key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text_key")
     rows = kept(
         docs.select(
-            F.col("doc_id").cast("long").alias("doc_id"), source_name().alias("source"),
+            F.col("doc_id").cast("long").alias("doc_id"), text_key, source_name().alias("source"),
             (tokens if tokens is not None else word_count()).alias("n_tokens"),
         )
     )
@@ -150,18 +153,14 @@ def mix(
         "source string, full long, rest double, blocks long",
     )
     # A source may hold a third of all rows, so its one line is repeated for SALTS tasks.
-    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
+    salt = F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(SALTS)).cast("int")
     salted = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     known = rows.withColumn("_salt", salt).join(salted, ["source", "_salt"]).drop("_salt")
-    first = permuted(known, F.lit(0), seed)
-    last = permuted(first, F.col("full"), seed, "last_position")
-    extra = (F.col("last_position") < F.col("rest")).cast("long")
-    copies = F.col("full") + extra
-    position = F.when(F.col("full") > 0, F.col("position")).when(extra > 0, F.col("last_position"))
-    return last.select(
-        "doc_id", F.when(F.col("source") != "\0", F.col("source")).alias("source"), "n_tokens",
-        copies.alias("copies"), position.alias("first_position"),
-    ), chosen
+    last = F.col("full") - F.when(F.col("rest") > 0, 0).otherwise(1)
+    each = known.where(last >= 0).withColumn("pass", F.explode(F.sequence(F.lit(0), last.cast("int"))))
+    drawn = permuted(each, seed).where((F.col("pass") < F.col("full")) | (F.col("position") < F.col("rest")))
+    source = F.when(F.col("source") != "\0", F.col("source")).alias("source")
+    return drawn.select("doc_id", "text_key", source, "n_tokens", "pass", "position"), chosen
 
 
 def _passes(tokens: int, budget: float) -> tuple[int, float]:
@@ -169,33 +168,56 @@ def _passes(tokens: int, budget: float) -> tuple[int, float]:
     if tokens <= 0:
         return 1, 0.0
     full = math.floor(budget / tokens * (1 + 1e-12))
-    return full, max(0.0, budget - full * tokens)
+    rest = budget - full * tokens
+    return full, rest if rest > 1e-9 * tokens else 0.0
 
 
-def permuted(rows: DataFrame, number: Column, seed: int, name: str = "position") -> DataFrame:
-    """``rows`` with the tokens that come before each in pass ``number`` over its source.
+def dealt(rows: DataFrame, seed: int) -> DataFrame:
+    """``rows`` with their block and their order within it, both by a hash that differs from pass to pass."""
+    own = ("doc_id", "text_key", "pass")
+    block = F.pmod(F.xxhash64(*own, F.lit(seed)), F.col("blocks")).alias("_block")
+    return rows.withColumns({"_block": block, "_order": F.xxhash64(*own, F.lit(seed + 1))})
 
-    Blocks are summed first, so no task holds more than a block of rows or the block sums
-    of one source; the order within a block is a hash order, ties go by doc_id.
+
+def permuted(rows: DataFrame, seed: int) -> DataFrame:
+    """``rows`` with position: the tokens that come before each in its pass over its source.
+
+    Blocks are summed first, and stretches of blocks before blocks, so no task holds more
+    than a block of rows, a stretch of block sums or the stretches of one source.
     """
-    dealt = rows.withColumn("_block", F.pmod(F.xxhash64("doc_id", F.lit(seed), number), F.col("blocks")))
-    dealt = dealt.withColumn("_order", F.xxhash64("doc_id", F.lit(seed + 1), number))
-    within = Window.partitionBy("source", "_block").orderBy("_order", "doc_id", "n_tokens")
-    before = F.sum("n_tokens").over(within.rowsBetween(Window.unboundedPreceding, -1))
-    inside = dealt.withColumn("_inside", F.coalesce(before, F.lit(0)))
-    earlier = Window.partitionBy("source").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = dealt.groupBy("source", "_block").agg(F.sum("n_tokens").alias("_sum")).select(
-        "source", "_block", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base")
-    )
-    placed = inside.join(blocks, ["source", "_block"])
-    return placed.withColumn(name, F.col("_base") + F.col("_inside")).drop("_block", "_order", "_inside", "_base")
+    stream = ["source", "pass"]
+    spread = dealt(rows, seed)
+    within = Window.partitionBy(*stream, "_block").orderBy("_order", "doc_id", "text_key")
+    inside = spread.withColumn("_inside", _before("n_tokens", within))
+    sums = spread.groupBy(*stream, "_block").agg(F.sum("n_tokens").alias("_sum"))
+    stretches = sums.withColumn("_stretch", F.floor(F.col("_block") / STRETCH))
+    near = stretches.withColumn("_near", _before("_sum", Window.partitionBy(*stream, "_stretch").orderBy("_block")))
+    far = stretches.groupBy(*stream, "_stretch").agg(F.sum("_sum").alias("_all"))
+    far = far.withColumn("_far", _before("_all", Window.partitionBy(*stream).orderBy("_stretch")))
+    bases = near.join(far, [*stream, "_stretch"]).select(*stream, "_block", (F.col("_near") + F.col("_far")).alias("_base"))
+    placed = inside.join(bases, [*stream, "_block"])
+    return placed.withColumn("position", F.col("_base") + F.col("_inside")).drop("_block", "_order", "_inside", "_base")
+
+
+def _before(value: str, order) -> Column:
+    return F.coalesce(F.sum(value).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs``, each as often as it is drawn, with all their columns."""
-    draws, _ = mix(docs, **options)
-    drawn_id, times, copy = free_names(docs, "drawn_id", "times", "copy")
-    drawn = draws.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(drawn_id)).agg(F.max("copies").alias(times))
-    joined = docs.join(drawn, F.col("doc_id").cast("long") == F.col(drawn_id), "left")
-    copies = F.array_repeat(F.lit(0), F.coalesce(times, F.lit(1)).cast("int"))
-    return joined.withColumn(copy, F.explode(copies)).select(docs.columns)
+    """The rows of ``docs``, each as often as it is drawn, with all their columns.
+
+    Rows that repeat doc_id, source and text are drawn equally often: each as often as
+    the first of them. Null ids and null texts are values like others.
+    """
+    drawn, _ = draws(docs, **options)
+    names = free_names(docs, "drawn_id", "drawn_key", "drawn_source", "copies", "copy", "text_key")
+    drawn_id, drawn_key, drawn_source, copies, copy, key = names
+    times = drawn.groupBy("doc_id", "text_key", "source").agg((F.max("pass") + 1).alias(copies))
+    times = times.toDF(drawn_id, drawn_key, drawn_source, copies)
+    same = (
+        F.col("doc_id").cast("long").eqNullSafe(F.col(drawn_id)) & (F.col(key) == F.col(drawn_key))
+        & F.col("source").cast("string").eqNullSafe(F.col(drawn_source))
+    )
+    keyed = docs.withColumn(key, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    joined = keyed.join(times, same)
+    return joined.withColumn(copy, F.explode(F.array_repeat(F.lit(0), F.col(copies)))).select(docs.columns)

@@ -17,8 +17,8 @@ VOCABULARY = "byte_bpe_50k.json"
 
 
 def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    draws, _ = mixing.mix(read(spark, sf_dir, "documents"))
-    return draws
+    drawn, _ = mixing.draws(read(spark, sf_dir, "documents"))
+    return drawn.drop("text_key")
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -87,3 +87,15 @@ def test_hot_line(spark):
     df = spark.createDataFrame(sorted(texts.items()), "doc_id long, text string").repartition(5)
     gone = {(r["doc_id"], j) for r in lines.line_report(df).collect() for j in r["dropped"]}
     assert {(i, 0) for i in range(1, 400)} <= gone and (0, 0) not in gone
+
+
+def test_two_texts_of_one_doc_id(spark):
+    """A verdict on a line of one text says nothing of the other's line with that number."""
+    own, shared = "a line which only this row has in all the table", "one line that is shared by several rows"
+    rows = [(5, own), (5, shared), (3, shared), (5, shared), (None, shared), (None, own + " but for the end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["text"]) for r in lines.dedup_lines(docs).collect()), key=repr)
+    expected = [(5, own), (5, ""), (3, ""), (5, ""), (None, shared), (None, own + " but for the end")]
+    assert got == sorted(expected, key=repr)
+    dropped = sorted((r["doc_id"] or 0, r["dropped"]) for r in lines.line_report(docs).collect())
+    assert dropped == [(0, []), (0, []), (3, [0]), (5, []), (5, [0]), (5, [0])]
