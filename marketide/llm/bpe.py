@@ -54,11 +54,15 @@ def byte_table(path: str, special: bool) -> Bytes:
     return Bytes(encoder.vocab | encoder.specials)
 
 
-def text_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Slices of about BATCH_BYTES of text, with their texts."""
+#: Text that is encoded at once: more of it repeats more pre-tokens.
+ENCODED_BYTES = 1_000_000
+
+
+def text_batches(batches: Iterable[pa.RecordBatch], most: int = BATCH_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Slices of about ``most`` bytes of text, with their texts."""
     for batch in batches:
         column = batch.column(batch.schema.get_field_index("text"))
-        for lo, hi in pretokens.batches(column, BATCH_BYTES):
+        for lo, hi in pretokens.batches(column, most):
             part = batch.slice(lo, hi - lo)
             yield part, column.slice(lo, hi - lo).to_pylist()
 
@@ -72,7 +76,7 @@ def encode(docs: DataFrame, path: str, special: bool = False) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, table = pretokens.encoder(path, special), byte_table(path, special)
-        for part, items in text_batches(batches):
+        for part, items in text_batches(batches, ENCODED_BYTES):
             flat, lengths = encoder.encode(items)
             edges = np.concatenate([[0], np.cumsum(lengths)])
             starts, ends = np.empty(len(flat), np.int32), np.empty(len(flat), np.int32)
@@ -111,7 +115,7 @@ def round_trip(docs: DataFrame, path: str, special: bool = False) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, table = pretokens.encoder(path, special), byte_table(path, special)
-        for part, items in text_batches(batches):
+        for part, items in text_batches(batches, ENCODED_BYTES):
             flat, lengths = encoder.encode(items)
             raw = memoryview(flat.astype("<u4").tobytes())
             plain = memoryview(table.decode(flat))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketide.llm import pretokens
-from marketide.llm.bpe import text_batches
+from marketide.llm.bpe import ENCODED_BYTES, text_batches
 from marketide.llm.tables import kept, texts
 
 #: Pre-tokens whose counts go to every task: 18 bytes each, 9 MB in all.
@@ -37,7 +37,7 @@ def pretoken_frequencies(docs: DataFrame, path: str, special: bool = True) -> Da
             found.clear()
             return pa.RecordBatch.from_arrays(columns, ["pretoken", "n"])
 
-        for _, items in text_batches(batches):
+        for _, items in text_batches(batches, ENCODED_BYTES):
             batch = pretokens.split(items, specials)
             keys, where, counts = np.unique(batch.hashes ^ batch.checks, return_index=True, return_counts=True)
             for key, i, n in zip(keys.tolist(), where.tolist(), counts.tolist()):
@@ -66,7 +66,7 @@ def pretoken_counts(frequencies: DataFrame, path: str, special: bool = True) ->
             _, lengths = encoder.pieces(names)
             sizes = np.fromiter(map(len, names), np.int64, len(names))
             points, starts = pretokens.code_points("".join(names)), np.cumsum(sizes) - sizes
-            hashes = [pretokens.piece_hashes(points, starts, i).view(np.int64) for i in (0, 1)]
+            hashes = [h.view(np.int64) for h in pretokens.piece_hashes(points, starts)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), *map(pa.array, hashes), pa.array(lengths, pa.int64())],
                 ["pretoken", "n", "h", "c", "pieces"],
@@ -93,7 +93,7 @@ def token_counts(docs: DataFrame, path: str, special: bool = True, travelling: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = pretokens.encoder(path, special)
         h, c, pieces = shared.value
-        for part, items in text_batches(batches):
+        for part, items in text_batches(batches, ENCODED_BYTES):
             batch = pretokens.split(items, encoder.specials)
             segments = len(batch.segments)
             unique, where, which = np.unique(batch.hashes, return_index=True, return_inverse=True)

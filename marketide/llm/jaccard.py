@@ -55,8 +55,7 @@ def word_hashes(items: list[str]) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.diff(starts, append=len(data))
     place = np.arange(len(data) - starts[0])
     place -= np.repeat(starts - starts[0], lengths)
-    powers = pretokens._powers(0, 1 << max(6, int(place.max()).bit_length()))
-    values = _BYTES[data[starts[0]:]] * powers[place]
+    values = _BYTES[data[starts[0]:]] * pretokens.power_of(place, 0, int(place.max()) + 1)
     hashes = pretokens.mix(np.add.reduceat(values, starts - starts[0]))
     return np.searchsorted(np.cumsum(sizes), starts, side="right"), hashes
 
@@ -99,10 +98,14 @@ def describe(docs: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, np.int64)
+        waiting: list[np.ndarray] = []
         names = ["kind", "id", "doc", "size", "d0", "d1", "counts"]
         for part, items in text_batches(batches):
             sets = shingle_sets(items, words)
-            total += np.bincount((np.concatenate(sets) >> np.uint64(44)).astype(np.int64), minlength=COUNTERS)
+            waiting += [(x >> np.uint64(44)).astype(np.uint32) for x in sets]
+            if sum(map(len, waiting)) > COUNTERS:
+                total += np.bincount(np.concatenate(waiting), minlength=COUNTERS)
+                waiting.clear()
             digests = np.frombuffer(b"".join(hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets), np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -111,6 +114,8 @@ def describe(docs: DataFrame, words: int) -> DataFrame:
                 ],
                 names,
             )
+        if waiting:
+            total += np.bincount(np.concatenate(waiting), minlength=COUNTERS)
         chunks = [zlib.compress(c.tobytes(), 1) for c in total.reshape(-1, CHUNK)]
         n = len(chunks)
         zero = np.zeros(n, np.int64)

@@ -45,7 +45,7 @@ def line_ids(lines: list[str]) -> np.ndarray:
     """A 64-bit hash of every (non-empty) line."""
     sizes = np.fromiter(map(len, lines), np.int64, len(lines))
     points = pretokens.code_points("".join(lines))
-    return pretokens.piece_hashes(points, np.cumsum(sizes) - sizes, 1).view(np.int64)
+    return pretokens.piece_hashes(points, np.cumsum(sizes) - sizes, (1,))[0].view(np.int64)
 
 
 def shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:

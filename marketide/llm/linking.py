@@ -353,15 +353,21 @@ def link(
     large = compared.where("kind = 1").select("key", "id", "size", "place", "s0", "s1")
     if large.isEmpty():
         return found
-    of_large = kept(sets(id_filter(large)).join(large.select("id").distinct(), "id", "left_semi"))
     # A few partners in turn join most of a large group; then all that is still apart is compared.
     for turn in (*range(TURNS), None):
-        labelled = large.join(found, "id", "left").join(of_large.select("id", "wide"), "id")
-        rows = labelled.select(*large.columns, F.coalesce("component", "id").alias("component"), "wide")
-        pairs = kept(compare_components(rows, p, q, turn).join(tried, ["a", "b"], "left_anti"))
+        labelled = kept(large.join(found, "id", "left").withColumn("component", F.coalesce("component", "id")))
+        # Tiles that hang together are done; only rows of the others bring their wide signatures.
+        apart = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        open_keys = apart.where("low <> high").select("key")
+        rows = kept(labelled.join(open_keys, "key", "left_semi"))
+        if rows.isEmpty():
+            break
+        of_large = kept(sets(id_filter(rows)).join(rows.select("id").distinct(), "id", "left_semi"))
+        wide = rows.join(of_large.select("id", "wide"), "id").select(*large.columns, "component", "wide")
+        pairs = kept(compare_components(wide, p, q, turn).join(tried, ["a", "b"], "left_anti"))
         if pairs.isEmpty():
             continue
-        links = kept(links.union(verify(pairs, lambda _: of_large, decode, p, q)))
+        links = kept(links.union(verify(pairs, lambda _, known=of_large: known, decode, p, q)))
         tried = tried.union(pairs)
         found = components(links)
     return found

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketide.llm import pretokens
-from marketide.llm.bpe import text_batches
+from marketide.llm.bpe import ENCODED_BYTES, text_batches
 from marketide.llm.tables import texts
 from marketide.session import shared_dir
 
@@ -126,7 +126,7 @@ def write(docs: DataFrame, path: str, vocab: str, end_id: int = 0, special: bool
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = pretokens.encoder(vocab, special)
         part, record, before = TaskContext.get().partitionId(), 0, 0
-        for rows, items in text_batches(batches):
+        for rows, items in text_batches(batches, ENCODED_BYTES):
             flat, lengths = encoder.encode(items)
             flat = np.insert(flat, np.cumsum(lengths), np.uint32(end_id))
             lengths = lengths + 1

@@ -32,7 +32,7 @@ WHITE_SPACE = (
 CONTRACTIONS = ("s", "t", "m", "d", "re", "ve", "ll")
 
 #: Pre-tokens a worker remembers; the memory starts anew when it is full.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 #: Pre-tokens given to the library at once.
 AT_ONCE = 20_000
 
@@ -123,32 +123,52 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+#: Characters hashed at once, and the powers of a multiplier that are kept ready.
+HASHED_AT_ONCE, READY = 1 << 20, 1 << 12
+
+
 @lru_cache(maxsize=4)
-def _powers(which: int, size: int) -> np.ndarray:
-    base = int(_MULTIPLIERS[which]) | 1
-    out = np.empty(size, np.uint64)
-    value = 1
-    for i in range(size):
-        out[i] = value
-        value = value * base & (1 << 64) - 1
-    return out
-
-
-def piece_hashes(points: np.ndarray, starts: np.ndarray, which: int) -> np.ndarray:
-    """A 64-bit hash of each piece points[start:next start]."""
+def _powers(which: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first READY powers of a multiplier, and powers of the one that comes next."""
+    # The first differs between the two as well, so that hashes of single characters do.
+    low = np.multiply.accumulate(np.full(READY, _MULTIPLIERS[which] | np.uint64(1)))
+    high = np.full(READY, low[-1])
+    high[0] = 1
+    return low, np.multiply.accumulate(high)
+
+
+def power_of(place: np.ndarray, which: int, longest: int) -> np.ndarray:
+    """An odd number for every place; they repeat after READY squared."""
+    low, high = _powers(which)
+    if longest <= READY:
+        return low[place]
+    return low[place & (READY - 1)] * high[(place >> 12) & (READY - 1)]
+
+
+def piece_hashes(points: np.ndarray, starts: np.ndarray, kinds: tuple[int, ...] = (0, 1)) -> list[np.ndarray]:
+    """64-bit hashes, one of each kind, of each piece points[start:next start], from one pass over the points."""
     if not len(starts):
-        return np.zeros(0, np.uint64)
+        return [np.zeros(0, np.uint64) for _ in kinds]
     lengths = np.diff(starts, append=len(points))
-    place = np.arange(len(points), dtype=np.int64)
-    place -= np.repeat(starts, lengths)
     longest = int(lengths.max())
-    powers = _powers(which, 1 << max(6, (longest - 1).bit_length()))
-    values = points.astype(np.uint64)
-    values += np.uint64(1 + which)
-    values *= _MULTIPLIERS[1 - which]
-    values ^= values >> np.uint64(29)
-    values *= powers[place]
-    return mix(np.add.reduceat(values, starts) + lengths.astype(np.uint64))
+    sums = np.zeros((len(kinds), len(starts)), np.uint64)
+    first = int(starts[0])
+    for lo in range(first, len(points), HASHED_AT_ONCE):
+        part = points[lo:lo + HASHED_AT_ONCE]
+        # Pieces that begin here, and the one that goes on from before.
+        piece = int(np.searchsorted(starts, lo, side="right")) - 1
+        end = int(np.searchsorted(starts, lo + len(part)))
+        cuts = np.maximum(starts[piece:end] - lo, 0)
+        place = np.arange(lo, lo + len(part), dtype=np.int64)
+        place -= np.repeat(starts[piece:end], np.diff(cuts, append=len(part)))
+        values = part.astype(np.uint64)
+        values += np.uint64(1)
+        values *= _MULTIPLIERS[1]
+        values ^= values >> np.uint64(29)
+        for row, which in enumerate(kinds):
+            sums[row, piece:end] += np.add.reduceat(values * power_of(place, which, longest), cuts)
+    sums += lengths.astype(np.uint64)
+    return [mix(s) for s in sums]
 
 
 @dataclass
@@ -182,10 +202,8 @@ def split(texts: list[str], specials: dict[str, int]) -> Split:
     odd = np.flatnonzero(kind == UNKNOWN)
     if len(odd):
         odd = np.unique(np.searchsorted(begins, odd, side="right") - 1)
-    return Split(
-        joined, points, starts, piece_hashes(points, starts, 0), piece_hashes(points, starts, 1),
-        edges, owners, gaps, odd.tolist(), segments,
-    )
+    hashes, checks = piece_hashes(points, starts)
+    return Split(joined, points, starts, hashes, checks, edges, owners, gaps, odd.tolist(), segments)
 
 
 def cut_at_specials(texts: list[str], specials: dict[str, int]) -> tuple[list[str], np.ndarray, list[tuple[int, int]]]:
@@ -281,8 +299,8 @@ class Encoder:
         self.check[count:count + len(pieces)] = checks
         self.slots.update(zip(hashes.tolist(), range(count, count + len(pieces))))
 
-    def _slots(self, batch: Split) -> np.ndarray:
-        """Where the ids of each pre-token are."""
+    def _slots(self, batch: Split) -> np.ndarray | None:
+        """Where the ids of each pre-token are; None if two of them share a hash."""
         unique, where, which = np.unique(batch.hashes, return_index=True, return_inverse=True)
         if len(self.slots) + len(unique) > REMEMBERED:
             self.forget()
@@ -294,14 +312,16 @@ class Encoder:
             self._remember(unique[new], batch.checks[where[new]], [batch.text(i) for i in where[new].tolist()])
             found[new] = np.arange(count, count + len(new))
         slots = found[which]
-        if not np.array_equal(self.check[slots], batch.checks):
-            raise RuntimeError("two pre-tokens share a hash")
-        return slots
+        return slots if np.array_equal(self.check[slots], batch.checks) else None
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after another, and how many each text has."""
         batch = split(texts, self.specials)
         slots = self._slots(batch) if len(batch.starts) else np.zeros(0, np.int64)
+        if slots is None:
+            # The library encodes such a batch, segment by segment.
+            parts = [self.texts_whole(t) for t in batch.segments]
+            return self._with_specials(batch, len(texts), np.concatenate(parts), np.array([len(p) for p in parts], np.int64))
         first = self.offsets[slots]
         counts = self.offsets[slots + 1] - first
         ends = np.cumsum(counts)
@@ -313,11 +333,16 @@ class Encoder:
                 parts[r] = self.texts_whole(batch.segments[r])
             lengths = np.array([len(p) for p in parts], np.int64)
             flat = np.concatenate(parts)
+        return self._with_specials(batch, len(texts), flat, lengths)
+
+    @staticmethod
+    def _with_specials(batch: Split, texts: int, flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all segments with the special ids between them, and how many each text has."""
         if batch.gaps:
             ends = np.cumsum(lengths)
             flat = np.insert(flat, ends[[i for i, _ in batch.gaps]], np.array([v for _, v in batch.gaps], np.uint32))
-            lengths = np.bincount(batch.owners, weights=lengths, minlength=len(texts)).astype(np.int64)
-            lengths += np.bincount(batch.owners[[i for i, _ in batch.gaps]], minlength=len(texts))
+            lengths = np.bincount(batch.owners, weights=lengths, minlength=texts).astype(np.int64)
+            lengths += np.bincount(batch.owners[[i for i, _ in batch.gaps]], minlength=texts)
         return flat, lengths
 
 

@@ -106,7 +106,7 @@ def features(items: list[str]) -> np.ndarray:
 
 def _span_hashes(points: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     at = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
-    return pretokens.piece_hashes(points[at], np.cumsum(lengths) - lengths, 0)
+    return pretokens.piece_hashes(points[at], np.cumsum(lengths) - lengths, (0,))[0]
 
 
 def _distinct(owner: np.ndarray, values: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
