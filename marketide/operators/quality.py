@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from marketide.functions.scalars import is_missing
+from marketide.operators.skew import DEFAULT, Spread, join_spread
+from marketide.session import materialise
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -35,45 +38,68 @@ def null_profile(tables: dict[str, DataFrame]) -> DataFrame:
     return _union(profiles)
 
 
-def duplicate_profile(tables: dict[str, DataFrame]) -> DataFrame:
+def _fingerprint(df: DataFrame) -> list[Column]:
+    """Two 64-bit hashes of a row. Missing values count by their place; -0.0 is 0.0 and all NaN are one."""
+    floating = {f.name for f in df.schema if isinstance(f.dataType, (DoubleType, FloatType))}
+    plain = [F.col(f"`{c}`") + F.lit(0.0) if c in floating else F.col(f"`{c}`") for c in df.columns]
+    # A hash passes over NULLs, so their places are hashed as well.
+    missing = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in plain])
+    return [F.xxhash64(F.lit(seed), missing, *plain).alias(f"__hash_{seed}") for seed in (1, 2)]
+
+
+def duplicate_profile(
+    tables: dict[str, DataFrame], spread: Spread = DEFAULT, fingerprint: Callable[[DataFrame], list[Column]] = _fingerprint
+) -> DataFrame:
     """(table_name, n_rows, n_duplicates): rows that repeat an earlier row.
 
-    Equal rows merge before the shuffle, so a group of copies never gathers in one task.
+    Rows are counted by a fingerprint of 16 bytes, so a table without copies shuffles no
+    more than that of each row. Only rows whose fingerprint repeats are compared in full:
+    copies merge before that shuffle, and different rows with one fingerprint stay apart.
     """
     profiles = []
     for name, df in tables.items():
-        copies = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count("*").alias("__n"))
-        profiles.append(
-            copies.agg(
-                F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("n_rows"),
-                F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("long").alias("n_duplicates"),
-            ).select(F.lit(name).alias("table_name"), "n_rows", "n_duplicates")
-        )
+        marks = fingerprint(df)
+        hashes = [f"__hash_{i}" for i in range(len(marks))]
+        marked = df.withColumns(dict(zip(hashes, marks)))
+        counted = marked.groupBy(*hashes).agg(F.count("*").alias("__n"))
+        repeated = materialise(counted.where(F.col("__n") > 1).select(*hashes))
+        suspects = join_spread(marked, repeated, hashes, "inner", probe=marked.select(*hashes), spread=spread)
+        copies = suspects.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count("*").alias("__n"))
+        duplicates = copies.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("long").alias("n_duplicates"))
+        total = df.agg(F.count("*").alias("n_rows"))
+        profiles.append(total.join(duplicates).select(F.lit(name).alias("table_name"), "n_rows", "n_duplicates"))
     return _union(profiles)
 
 
 def join_reconciliation(
-    base: DataFrame, steps: list[tuple[str, DataFrame, list[str]]], base_name: str = "base"
+    base: DataFrame, steps: list[tuple[str, DataFrame, list[str]]], base_name: str = "base", spread: Spread = DEFAULT
 ) -> DataFrame:
     """(step, step_name, n_rows, n_matched) after each left join, without doing the joins.
 
-    A left join turns a row into max(1, matches) rows, so counts per key say it all:
-    the base shrinks to one row per combination of keys, and no join fans out.
+    A left join turns a row into max(1, matches) rows, so the products of the matches say
+    it all and no join fans out. All steps with the same keys share one table of counts
+    per key; the keys of the base meet one such table after the other, and frequent keys
+    are dealt over many tasks.
     """
     keys = list(dict.fromkeys(k for _, _, on in steps for k in on))
-    counted = base.groupBy(*keys).agg(F.count("*").alias("rows_0"))
+    tables: dict[tuple[str, ...], DataFrame] = {}
     for i, (_, right, on) in enumerate(steps, start=1):
         usable = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on])
         matches = right.where(usable).groupBy(*on).agg(F.count("*").alias(f"matches_{i}"))
-        counted = counted.join(matches, on, "left").withColumn(
-            f"rows_{i}", F.col(f"rows_{i - 1}") * F.coalesce(f"matches_{i}", F.lit(1))
-        ).withColumn(
-            f"matched_{i}", F.when(F.col(f"matches_{i}").isNotNull(), F.col(f"rows_{i}")).otherwise(0)
-        ).drop(f"matches_{i}")
+        known = tables.get(tuple(on))
+        tables[tuple(on)] = matches if known is None else known.join(matches, on, "full")
+    lines = base.select(*keys)
+    for on, counts in tables.items():
+        lines = join_spread(lines, counts, list(on), "left", probe=base.select(*on), spread=spread)
     names = [base_name] + [name for name, _, _ in steps]
-    totals = [F.sum("rows_0").alias("rows_0"), F.sum("rows_0").alias("matched_0")]
+    rows = [F.lit(1).cast("long")]
+    for i in range(1, len(names)):
+        rows.append(rows[-1] * F.coalesce(f"matches_{i}", F.lit(1)))
+    weighted = lines.select(*[r.alias(f"rows_{i}") for i, r in enumerate(rows)], *[f"matches_{i}" for i in range(1, len(names))])
+    totals = [F.count("*").alias("rows_0"), F.count("*").alias("matched_0")]
     for i in range(1, len(names)):
-        totals += [F.sum(f"rows_{i}").alias(f"rows_{i}"), F.sum(f"matched_{i}").alias(f"matched_{i}")]
+        matched = F.when(F.col(f"matches_{i}").isNotNull(), F.col(f"rows_{i}"))
+        totals += [F.sum(f"rows_{i}").alias(f"rows_{i}"), F.sum(matched).alias(f"matched_{i}")]
     entries = F.array(*[
         F.struct(
             F.lit(i).alias("step"), F.lit(name).alias("step_name"),
@@ -82,7 +108,7 @@ def join_reconciliation(
         )
         for i, name in enumerate(names)
     ])
-    return counted.agg(*totals).select(F.inline(entries))
+    return weighted.agg(*totals).select(F.inline(entries))
 
 
 def _long(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -269,15 +269,10 @@ def rolling(
     return F.when(F.count(value).over(frame) == n, figure(value).over(frame))
 
 
-def add_ewm(
-    df: DataFrame,
-    value: str,
-    span: int,
-    out: str,
-    order_by: str = "date",
-    partition_by: Iterable[str] = (),
+def ewm_sums(
+    df: DataFrame, value: str, span: int, order_by: str = "date", partition_by: Iterable[str] = ()
 ) -> DataFrame:
-    """Exponentially weighted mean of all rows before this one, weight 1 - 2 / (span + 1) per row.
+    """Add ``__sum`` and ``__norm``: values and counts of the rows so far, weighted 1 - 2 / (span + 1) per row of age.
 
     Written as running sums of x * decay^-i. Those would overflow on a long series, so
     rows are cut into blocks short enough for the weights; what a block owes to the
@@ -287,11 +282,10 @@ def add_ewm(
     keys = tuple(partition_by)
     decay = 1.0 - 2.0 / (span + 1.0)
     block = max(1, int(math.log(LARGEST_WEIGHT) / -math.log(decay)))
-    series = series_window(order_by, keys)
-    inside = Window.partitionBy(*keys, "__block").orderBy("__place").rowsBetween(
+    inside = Window.partitionBy(*keys, "__run").orderBy("__place").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    previous = Window.partitionBy(*keys).orderBy("__block").rangeBetween(-1, -1)
+    previous = Window.partitionBy(*keys).orderBy("__run").rangeBetween(-1, -1)
     place = F.col("__place")
 
     def running(amount: Column) -> Column:
@@ -302,21 +296,34 @@ def add_ewm(
         before = F.max(F.when(place == block - 1, F.col(local))).over(previous)
         return F.col(local) + F.coalesce(before, F.lit(0.0)) * F.pow(F.lit(decay), place + 1)
 
-    row = F.row_number().over(series) - 1
+    row = F.row_number().over(series_window(order_by, keys)) - 1
     numbered = df.withColumn("__row", row).withColumns({
-        "__block": F.floor(F.col("__row") / block).cast("int"),
+        "__run": F.floor(F.col("__row") / block).cast("int"),
         "__place": (F.col("__row") % block).cast("int"),
     })
     summed = numbered.withColumns({
-        "__sum": running(F.coalesce(F.col(value), F.lit(0.0))),
-        "__norm": running(F.col(value).isNotNull().cast("double")),
+        "__own_sum": running(F.coalesce(F.col(value), F.lit(0.0))),
+        "__own_norm": running(F.col(value).isNotNull().cast("double")),
     })
-    today = summed.withColumn("__ewm", F.try_divide(with_past("__sum"), with_past("__norm")))
-    return today.withColumn(out, F.lag("__ewm").over(series)).drop(
-        "__row", "__block", "__place", "__sum", "__norm", "__ewm"
+    return summed.withColumns({"__sum": with_past("__own_sum"), "__norm": with_past("__own_norm")}).drop(
+        "__row", "__run", "__place", "__own_sum", "__own_norm"
     )
 
 
+def add_ewm(
+    df: DataFrame,
+    value: str,
+    span: int,
+    out: str,
+    order_by: str = "date",
+    partition_by: Iterable[str] = (),
+) -> DataFrame:
+    """Exponentially weighted mean of all rows before this one, see ``ewm_sums``."""
+    keys = tuple(partition_by)
+    today = ewm_sums(df, value, span, order_by, keys).withColumn("__ewm", F.try_divide("__sum", "__norm"))
+    return today.withColumn(out, F.lag("__ewm").over(series_window(order_by, keys))).drop("__sum", "__norm", "__ewm")
+
+
 def add_revenue_windows(
     df: DataFrame,
     value: str = "actual_revenue",

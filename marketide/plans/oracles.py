@@ -488,7 +488,12 @@ def oracles() -> dict[str, str]:
         texts = ", ".join(f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in columns)
         out[name] = f"SELECT * REPLACE ({texts}) FROM ({out[name]}) AS result"
     # The path of large tables has to give the same rows.
-    return out | {f"{name}_spread": out[name] for name in ("fact_sales", "transaction_matrix", "daily_series")}
+    spread = ("fact_sales", "transaction_matrix", "daily_series", "join_reconciliation", "duplicate_profile")
+    blocks = ("lag_features", "rolling_features", "ewma_features")
+    return (
+        out | {f"{name}_spread": out[name] for name in spread} | {f"{name}_blocks": out[name] for name in blocks}
+        | {"promo_active_days_sweep": out["promo_active_days"]}
+    )
 
 
 def _plain_oracles() -> dict[str, str]:
@@ -705,6 +710,14 @@ def _plain_oracles() -> dict[str, str]:
                    {_mean_sql('actual_revenue', 30)} AS roll_mean_30,
                    {_std_sql('actual_revenue', 7)} AS roll_std_7
             FROM daily"""),
+        "line_windows": with_parts("r_lines", """
+            SELECT order_id, product_id, quantity,
+                   CAST(sum(quantity) OVER (ORDER BY order_id, product_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS running_quantity,
+                   lag(quantity, 1) OVER w AS quantity_lag1, lag(quantity, 30) OVER w AS quantity_lag30,
+                   CASE WHEN count(quantity) OVER (ORDER BY order_id, product_id ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) = 7
+                        THEN avg(quantity) OVER (ORDER BY order_id, product_id ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) END AS mean_7
+            FROM (SELECT order_id, product_id, CAST(sum(quantity) AS BIGINT) AS quantity FROM r_lines GROUP BY ALL)
+            WINDOW w AS (ORDER BY order_id, product_id)"""),
         "ewma_features": with_parts("daily", f"""
             SELECT d.date, actual_revenue, round(e7.ewm, 2) AS ewma_7,
                    round(e30.ewm, 2) AS ewma_30

@@ -16,6 +16,7 @@ from marketide.operators import (
     errors,
     forecast,
     linear,
+    longseries,
     model,
     quality,
     questions,
@@ -317,7 +318,11 @@ def duplicate_profile(t: Tables) -> DataFrame:
 
 
 @query
-def join_reconciliation(t: Tables) -> DataFrame:
+def duplicate_profile_spread(t: Tables) -> DataFrame:
+    return quality.duplicate_profile({n: t[n] for n in RAW_TABLES}, FORCED)
+
+
+def _reconciliation(t: Tables, spread: Spread = DEFAULT) -> DataFrame:
     pair = ["order_id", "product_id"]
     return quality.join_reconciliation(
         t["order_items"],
@@ -331,9 +336,20 @@ def join_reconciliation(t: Tables) -> DataFrame:
             ("promotions", t["promotions"], ["promo_id"]),
         ],
         "order_items",
+        spread,
     )
 
 
+@query
+def join_reconciliation(t: Tables) -> DataFrame:
+    return _reconciliation(t)
+
+
+@query
+def join_reconciliation_spread(t: Tables) -> DataFrame:
+    return _reconciliation(t, FORCED)
+
+
 PROFILED = {
     "products": PRODUCT_LABELS,
     "customers": ("city", "gender", "age_group", "acquisition_channel"),
@@ -499,6 +515,53 @@ def ewma_features(t: Tables) -> DataFrame:
     return _rounded(out, 2, "ewma_7", "ewma_30")
 
 
+# Blocks of a few rows stand for long series here, so that every series has many of them.
+FEW_ROWS = 64
+
+
+@query
+def lag_features_blocks(t: Tables) -> DataFrame:
+    blocks = longseries.cut(kept_daily(t).select("date", "actual_revenue"), ["date"], size=FEW_ROWS)
+    out = longseries.look_back(blocks, longseries.lag_columns("actual_revenue"), max(series.LAGS))
+    difference = F.col("actual_revenue_lag1") - F.col("actual_revenue_lag7")
+    return out.withColumn("revenue_diff_lag1_lag7", difference).drop(longseries.BLOCK, longseries.POSITION)
+
+
+@query
+def rolling_features_blocks(t: Tables) -> DataFrame:
+    blocks = longseries.cut(kept_daily(t).select("date", "actual_revenue"), ["date"], size=FEW_ROWS)
+    out = longseries.look_back(blocks, longseries.rolling_columns("actual_revenue"), max(series.ROLLING_MEANS))
+    return _rounded(out, 2, "roll_std_7").drop(longseries.BLOCK, longseries.POSITION)
+
+
+@query
+def ewma_features_blocks(t: Tables) -> DataFrame:
+    blocks = longseries.cut(kept_daily(t).select("date", "actual_revenue"), ["date"], size=FEW_ROWS)
+    for span in series.EWM_SPANS:
+        blocks = longseries.add_ewm(blocks, "actual_revenue", span, f"ewma_{span}")
+    return _rounded(blocks.rows, 2, "ewma_7", "ewma_30").drop(longseries.BLOCK, longseries.POSITION)
+
+
+@query
+def promo_active_days_sweep(t: Tables) -> DataFrame:
+    return longseries.flag_covered(kept_daily(t).select("date"), t["promotions"], size=FEW_ROWS)
+
+
+@query
+def line_windows(t: Tables) -> DataFrame:
+    """All order lines as one series, in the order of order and product: lag, rolling mean and running quantity."""
+    lines = t["order_items"].groupBy("order_id", "product_id").agg(F.sum("quantity").cast("long").alias("quantity"))
+    blocks = longseries.cut(materialise(lines), ["order_id", "product_id"], size=10_000)
+    blocks = longseries.add_running_total(blocks, "quantity", "running_quantity")
+    out = longseries.look_back(
+        blocks,
+        lambda order, by: longseries.lag_columns("quantity", (1, 30))(order, by)
+        | {"mean_7": series.rolling("quantity", 7, "mean", order, by)},
+        30,
+    )
+    return out.drop(longseries.BLOCK, longseries.POSITION)
+
+
 def _regional_lines(t: Tables) -> DataFrame:
     regions = _dim_customer(t).select("customer_id", "region")
     return join_spread(priced(t), regions, ["customer_id"], "left", probe=t["orders"])

@@ -9,6 +9,7 @@ from marketide.operators import encode, quality
 from marketide.operators.skew import Spread
 
 
+
 @pytest.fixture(scope="module")
 def tables(spark):
     return retail(spark)
@@ -115,3 +116,42 @@ def test_summary_and_preview(tables):
     last = quality.preview(tables["orders"].select("order_id"), 2, "order_id", last=True)
     assert [r[0] for r in last.collect()] == [6, 5]
     assert quality.preview(tables["orders"], 3).count() == 3
+
+
+def test_duplicates_where_fingerprints_clash(spark):
+    """With one fingerprint for all rows the full rows decide; missing values count by their place."""
+    table = spark.createDataFrame(
+        [(1, None, 0.0), (1, None, -0.0), (None, 1, float("nan")), (None, 1, float("nan")), (1, 1, None), (2, None, 0.0)],
+        "a int, b int, c double",
+    )
+    same = lambda df: [F.lit(7).cast("long"), F.lit(8).cast("long")]
+    for got in (quality.duplicate_profile({"t": table}), quality.duplicate_profile({"t": table}, fingerprint=same)):
+        assert rows(got) == [("t", 6, 2)]
+    assert rows(quality.duplicate_profile({"t": table.where("false")})) == [("t", 0, 0)]
+
+
+def test_unique_rows_shuffle_their_fingerprints_alone(spark):
+    table = spark.range(1000).withColumn("text", F.repeat(F.lit("long text"), 50))
+    plan = quality.duplicate_profile({"t": table})._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" in plan  # the repeated fingerprints, written once
+    assert rows(quality.duplicate_profile({"t": table.union(table.where("id < 5"))})) == [("t", 1005, 5)]
+
+
+def test_reconciliation_with_hot_keys(spark):
+    """A third of the lines under one promotion, a fifth in one order, lines without keys."""
+    lines = [(0 if i % 5 == 0 else i, i % 7, "P" if i % 3 == 0 else None if i % 3 == 1 else f"p{i}") for i in range(900)]
+    lines += [(None, 1, "P"), (3, None, "P")]
+    base = spark.createDataFrame(lines, "order_id int, product_id int, promo_id string")
+    orders = spark.createDataFrame([(i,) for i in range(0, 900, 2)] + [(0,)], "order_id int")
+    returns = spark.createDataFrame([(0, 3), (0, 3), (4, 4), (None, 1)], "order_id int, product_id int")
+    promotions = spark.createDataFrame([("P",), ("P",), ("p2",), (None,)], "promo_id string")
+    steps = [("orders", orders, ["order_id"]), ("returns", returns, ["order_id", "product_id"]),
+             ("again", orders.distinct(), ["order_id"]), ("promotions", promotions, ["promo_id"])]
+    joined, expected = base, [(0, "base", base.count(), base.count())]
+    for i, (name, right, on) in enumerate(steps, 1):
+        marked = joined.join(right.withColumn(f"m{i}", F.lit(1)), on, "left")
+        joined = marked
+        expected.append((i, name, joined.count(), joined.where(f"m{i} = 1").count()))
+    forced = Spread(above_bytes=0, rows_per_task=50, broadcast_small=False)
+    assert rows(quality.join_reconciliation(base, steps)) == sorted(expected)
+    assert rows(quality.join_reconciliation(base, steps, spread=forced)) == sorted(expected)
