@@ -56,15 +56,17 @@ def duplicate_profile(
     more than that of each row. Only rows whose fingerprint repeats are compared in full:
     copies merge before that shuffle, and different rows with one fingerprint stay apart.
     """
+    hashes = ["__hash_1", "__hash_2"]
+    marked = {name: df.withColumns(dict(zip(hashes, fingerprint(df)))) for name, df in tables.items()}
+    # All tables are counted in one job; what repeats is written once.
+    each = reduce(DataFrame.union, [df.select(F.lit(name).alias("__table"), *hashes) for name, df in marked.items()])
+    counted = each.groupBy("__table", *hashes).agg(F.count("*").alias("__n"))
+    repeated = materialise(counted.where(F.col("__n") > 1).drop("__n"))
     profiles = []
-    for name, df in tables.items():
-        marks = fingerprint(df)
-        hashes = [f"__hash_{i}" for i in range(len(marks))]
-        marked = df.withColumns(dict(zip(hashes, marks)))
-        counted = marked.groupBy(*hashes).agg(F.count("*").alias("__n"))
-        repeated = materialise(counted.where(F.col("__n") > 1).select(*hashes))
-        suspects = join_spread(marked, repeated, hashes, "inner", probe=marked.select(*hashes), spread=spread)
-        copies = suspects.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count("*").alias("__n"))
+    for name, df in marked.items():
+        own = repeated.where(F.col("__table") == name).drop("__table")
+        suspects = join_spread(df, own, hashes, "inner", probe=df.select(*hashes), spread=spread)
+        copies = suspects.groupBy(*[F.col(f"`{c}`") for c in tables[name].columns]).agg(F.count("*").alias("__n"))
         duplicates = copies.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("long").alias("n_duplicates"))
         total = df.agg(F.count("*").alias("n_rows"))
         profiles.append(total.join(duplicates).select(F.lit(name).alias("table_name"), "n_rows", "n_duplicates"))
