@@ -19,8 +19,6 @@ OTHER_CODE = 0
 
 ALL_CATEGORIES = "all_categories"
 
-MAX_LABELS = 1000
-
 
 def ordinal(df: DataFrame, column: str, codes: Mapping[str, int], out: str | None = None) -> DataFrame:
     """Codes for the known labels, ``OTHER_CODE`` for any other label and for NULL."""
@@ -29,16 +27,77 @@ def ordinal(df: DataFrame, column: str, codes: Mapping[str, int], out: str | Non
     return df.withColumn(out or column, F.coalesce(code, F.lit(OTHER_CODE)).cast("int"))
 
 
-def labels_of(df: DataFrame, column: str, limit: int = MAX_LABELS) -> list[str]:
-    """The sorted labels of a low-cardinality column.
+def labels_of(df: DataFrame, column: str) -> list[str]:
+    """The sorted labels of a column that is to become a column per label.
+
+    Such columns must be known when the plan is built, so this is for as many labels as a
+    plan can have columns. Any number of them fits ``label_dictionary`` and ``one_hot_sparse``.
+    """
+    return sorted(str(row[0]) for row in df.select(column).where(F.col(column).isNotNull()).distinct().collect())
+
+
+def _numbered(rows: DataFrame, order: list[Column | str], out: str) -> DataFrame:
+    """``rows`` with their place (from 0) in an order.
+
+    Rows are range-partitioned, so every task numbers its own range; the sizes of earlier
+    ranges (one figure per range) are added.
+    """
+    # The high bits of the id are the range, the low 33 the place in it.
+    placed = materialise(
+        rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__id", F.monotonically_increasing_id())
+    ).withColumn("__range", F.shiftright("__id", 33))
+    sizes = placed.groupBy("__range").agg(F.count("*").alias("__size"))
+    earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("__range", F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__before"))
+    place = F.col("__before") + F.col("__id").bitwiseAND((1 << 33) - 1)
+    return placed.join(before, "__range").withColumn(out, place).drop("__id", "__range", "__before")
 
-    They become column names, so they must be known when the plan is built. More
-    than ``limit`` of them is an error, never a cut.
+
+def label_dictionary(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """(column_name, label, label_id): ids from 0 over all labels of all columns, by column name and label.
+
+    Labels stay in the cluster, however many there are. NULL is no label.
     """
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} labels; one-hot columns do not fit it")
-    return sorted(str(row[0]) for row in rows)
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], list(columns), "column_name", "label")
+    return _numbered(long.where(F.col("label").isNotNull()).distinct(), ["column_name", "label"], "label_id")
+
+
+def one_hot_sparse(
+    df: DataFrame, columns: Iterable[str], dictionary: DataFrame, out: str = "label_ids", keep: bool = False,
+    spread: Spread = DEFAULT,
+) -> DataFrame:
+    """``one_hot`` as one column: the ascending ids of a row's labels, the places of its ones.
+
+    A label that the dictionary does not have is none. Frequent labels are dealt over
+    many tasks.
+    """
+    listed, rows = list(columns), df
+    for i, c in enumerate(listed):
+        own = dictionary.where(F.col("column_name") == c).select(F.col("label").alias("__label"), F.col("label_id").alias(f"__of_{i}"))
+        probe = df.select(F.col(c).cast("string").alias("__label"))
+        rows = join_spread(rows.withColumn("__label", F.col(c).cast("string")), own, ["__label"], "left", probe, spread).drop("__label")
+    ids = F.array_sort(F.array_compact(F.array(*[F.col(f"__of_{i}") for i in range(len(listed))])))
+    kept = [F.col(f"`{c}`") for c in df.columns if keep or c not in listed]
+    return rows.select(*kept, ids.alias(out))
+
+
+def dense(rows: DataFrame, ids: str, dictionary: DataFrame, labels: Mapping[str, list[str]]) -> DataFrame:
+    """0/1 columns ``{column}_{label}`` for some labels, from the ids of ``one_hot_sparse``."""
+    known = ids_of(dictionary, labels)
+    flags = [
+        F.array_contains(ids, F.lit(known[c, label])).cast("int").alias(f"{c}_{label}") if (c, label) in known
+        else F.lit(0).alias(f"{c}_{label}")
+        for c, values in labels.items() for label in values
+    ]
+    return rows.select(*[F.col(f"`{c}`") for c in rows.columns if c != ids], *flags)
+
+
+def ids_of(dictionary: DataFrame, labels: Mapping[str, list[str]]) -> dict[tuple[str, str], int]:
+    """The ids of some labels, which are as many as the columns asked for."""
+    wanted = F.lit(False)
+    for c, values in labels.items():
+        wanted = wanted | ((F.col("column_name") == c) & F.col("label").isin(list(values)))
+    return {(r["column_name"], r["label"]): r["label_id"] for r in dictionary.where(wanted).collect()}
 
 
 def one_hot(
@@ -63,22 +122,11 @@ def one_hot(
 def frequency_rank(df: DataFrame, column: str) -> DataFrame:
     """Per label (NULL included) its count and its rank, rarest = 1, ties in label order.
 
-    A plain ranking would sort all labels in one task. Here labels are range-partitioned
-    by (count, label), so every task ranks its own range, and a label's rank is its place
-    there after all labels of earlier ranges: one figure per range.
+    A plain ranking would sort all labels in one task; here they are numbered range by range.
     """
     counts = df.groupBy(F.col(column).alias("label")).agg(F.count("*").alias("n"))
-    order = ["n", F.col("label").asc_nulls_first()]
-    # The high bits of the id are the range, the low 33 the place in it.
-    placed = materialise(
-        counts.repartitionByRange(*order).sortWithinPartitions(*order)
-        .withColumn("id", F.monotonically_increasing_id())
-    ).withColumn("range", F.shiftright("id", 33))
-    sizes = placed.groupBy("range").agg(F.count("*").alias("size"))
-    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    before = sizes.select("range", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"))
-    rank = F.col("before") + F.col("id").bitwiseAND((1 << 33) - 1) + 1
-    return placed.join(before, "range").select(F.col("label").alias(column), "n", rank.cast("int").alias("rank"))
+    placed = _numbered(counts, ["n", F.col("label").asc_nulls_first()], "place")
+    return placed.select(F.col("label").alias(column), "n", (F.col("place") + 1).cast("int").alias("rank"))
 
 
 def rank_encode(df: DataFrame, column: str, spread: Spread = DEFAULT) -> DataFrame:

@@ -181,6 +181,26 @@ def daily_slices(
     return _by_labels(lines, keys).groupBy("date", *keys).agg(*_label_sums(labels))
 
 
+def daily_slices_sparse(lines: DataFrame, dictionary: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """``daily_slices`` with any number of labels: a map of label id to net revenue per day.
+
+    ``dictionary`` is a ``label_dictionary`` of the SLICES; a label without revenue that day is not in the map, a day without labels has no row.
+    """
+    named = dictionary.select(F.col("column_name").alias("slice"), "label", "label_id")
+    known = daily_slices_long(lines, keys).join(named, ["slice", "label"])
+    entries = F.sort_array(F.collect_list(F.struct("label_id", "revenue")))
+    return known.groupBy("date", *keys).agg(F.map_from_entries(entries).alias("revenues"))
+
+
+def revenue_columns(rows: DataFrame, ids: dict[tuple[str, str], int]) -> DataFrame:
+    """The map of ``daily_slices_sparse`` as a column ``revenue_{slice}_{label}`` for some labels' ids."""
+    columns = [
+        F.coalesce(F.try_element_at("revenues", F.lit(i).cast("long")), F.lit(0.0)).alias(f"revenue_{c}_{label}")
+        for (c, label), i in ids.items()
+    ]
+    return rows.select(*[c for c in rows.columns if c != "revenues"], *columns)
+
+
 def _by_labels(lines: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return (
         lines.where(F.col("date").isNotNull())

@@ -492,7 +492,7 @@ def oracles() -> dict[str, str]:
     blocks = ("lag_features", "rolling_features", "ewma_features")
     return (
         out | {f"{name}_spread": out[name] for name in spread} | {f"{name}_blocks": out[name] for name in blocks}
-        | {"promo_active_days_sweep": out["promo_active_days"]}
+        | {"promo_active_days_sweep": out["promo_active_days"], "daily_sliced_revenue_sparse": out["daily_sliced_revenue"]}
     )
 
 
@@ -676,6 +676,16 @@ def _plain_oracles() -> dict[str, str]:
         "encoded_geography": with_parts(
             "r_geography", f"SELECT zip, city, district, {_one_hot('region', _REGIONS)} FROM r_geography"),
         "rank_encode_city": with_parts("r_customers", _CITY_RANK),
+        "one_hot_sparse": with_parts("r_customers", """
+            SELECT customer_id, coalesce(string_agg(CAST(label_id AS VARCHAR), ',' ORDER BY label_id), '') AS label_ids
+            FROM (SELECT customer_id, gender, acquisition_channel, city FROM r_customers) c
+            LEFT JOIN (SELECT column_name, label, row_number() OVER (ORDER BY column_name, label) - 1 AS label_id
+                       FROM (SELECT DISTINCT column_name, label FROM (
+                           SELECT 'gender' AS column_name, gender AS label FROM r_customers
+                           UNION ALL SELECT 'acquisition_channel', acquisition_channel FROM r_customers
+                           UNION ALL SELECT 'city', city FROM r_customers) WHERE label IS NOT NULL)) d
+              ON label = CASE column_name WHEN 'gender' THEN gender WHEN 'city' THEN city ELSE acquisition_channel END
+            GROUP BY customer_id"""),
         "one_hot": with_parts("r_customers", f"""
             SELECT customer_id, cr.rank AS city, {_AGE_CODE} AS age_group,
                    {_one_hot('gender', ['female', 'male'])},

@@ -439,6 +439,25 @@ def rank_encode_city(t: Tables) -> DataFrame:
     return encode.frequency_rank(t["customers"], "city")
 
 
+@query
+def one_hot_sparse(t: Tables) -> DataFrame:
+    """Ids of the labels that a customer has; the dictionary itself has no bound."""
+    columns = ["gender", "acquisition_channel", "city"]
+    dictionary = materialise(encode.label_dictionary(t["customers"], columns))
+    found = encode.one_hot_sparse(t["customers"].select("customer_id", *columns), columns, dictionary, spread=FORCED)
+    return found.select("customer_id", F.array_join(F.transform("label_ids", lambda x: x.cast("string")), ",").alias("label_ids"))
+
+
+@query
+def daily_sliced_revenue_sparse(t: Tables) -> DataFrame:
+    """Maps of revenue per label and day, spread out to the columns of daily_sliced_revenue."""
+    labels = _labels(t["products"], *PRODUCT_LABELS)
+    dictionary = materialise(encode.label_dictionary(t["products"], PRODUCT_LABELS))
+    maps = series.daily_slices_sparse(priced(t), dictionary)
+    wide = _rounded(series.revenue_columns(maps, encode.ids_of(dictionary, labels)), 6)
+    return wide.toDF(*[c.replace("#", "_") for c in wide.columns])
+
+
 @query
 def one_hot(t: Tables) -> DataFrame:
     coded = encode.encode_customers(t["customers"])

@@ -7,6 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from helpers import d, retail, rows
 from marketide.operators import encode, quality
 from marketide.operators.skew import Spread
+from marketide.session import materialise
 
 
 
@@ -28,8 +29,33 @@ def test_one_hot(spark):
     assert got.columns == ["id", "k_a", "k_b"]
     assert rows(got) == [(1, 1, 0), (2, 0, 1), (3, 0, 0)]
     assert encode.one_hot(df, {"k": ["b"]}, keep=True).columns == ["id", "k", "k_b"]
-    with pytest.raises(ValueError):
-        encode.labels_of(df, "k", limit=1)
+
+
+def test_sparse_one_hot_spread_out_equals_one_hot(spark):
+    df = spark.createDataFrame(
+        [(1, "a", 3), (2, "b", None), (3, None, None), (4, "new", 5), (5, "a", 5)], "id int, k string, n int"
+    )
+    dictionary = encode.label_dictionary(df.where("id < 4"), ["n", "k"])
+    assert rows(dictionary) == [("k", "a", 0), ("k", "b", 1), ("n", "3", 2)]
+    forced = Spread(above_bytes=0, rows_per_task=1, broadcast_small=False)
+    for spread in (Spread(), forced):
+        sparse = encode.one_hot_sparse(df, ["k", "n"], dictionary, keep=True, spread=spread)
+        assert rows(sparse.select("id", "label_ids")) == [(1, [0, 2]), (2, [1]), (3, []), (4, []), (5, [0])]
+    wide = encode.dense(sparse, "label_ids", dictionary, {"k": ["a", "b", "unheard"], "n": ["3"]})
+    expected = encode.one_hot(df, {"k": ["a", "b", "unheard"], "n": ["3"]}, keep=True)
+    assert wide.columns == expected.columns and rows(wide) == rows(expected)
+    assert encode.label_dictionary(df.where("false"), ["k"]).count() == 0
+
+
+def test_a_hundred_thousand_labels(spark):
+    df = spark.range(300_000).select("id", F.concat(F.lit("label "), F.col("id") % 100_000).alias("k"))
+    dictionary = materialise(encode.label_dictionary(df, ["k"]))
+    figures = dictionary.agg(F.count("*"), F.min("label_id"), F.max("label_id"), F.count_distinct("label_id")).first()
+    assert tuple(figures) == (100_000, 0, 99_999, 100_000)
+    sparse = encode.one_hot_sparse(df, ["k"], dictionary)
+    assert sparse.where("size(label_ids) = 1").count() == 300_000
+    wide = encode.dense(sparse, "label_ids", dictionary, {"k": ["label 7", "label 99999"]})
+    assert wide.agg(F.sum("k_label 7"), F.sum("k_label 99999")).first() == (3, 3)
 
 
 def test_frequency_rank_orders_count_then_label(spark):
