@@ -247,14 +247,13 @@ def similar_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     return _grouped(docs, words, percent).select("doc_id", "n_shingles", "class_id", "component_id")
 
 
-def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The columns of ``similar_groups``, each row's key, and first_key: that of its component's first row."""
-    docs = by_row(docs)
+def _members(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows with their sets' digests; classes of equal sets; the tiles in which classes meet. ``docs`` are ``by_row``."""
     described = kept(describe(docs, words))
     members = described.where("kind = 0").select("id", "doc", "size", "d0", "d1")
     classes = kept(
         members.where("size > 0 AND id IS NOT NULL").groupBy("d0", "d1").agg(
-            F.min("id").alias("class_key"), F.min(F.struct("doc", "id")).alias("first")
+            F.min("id").alias("class_key"), F.min(F.struct("doc", "id")).alias("first"), F.count("*").alias("copies")
         )
     )
     counts = counters(described)
@@ -265,7 +264,47 @@ def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
     blocks = {int(c): int(np.ceil((counts[c] - usual) / TILE_ROWS)) for c in hot}
     named = classes.select(F.col("class_key").alias("id")).distinct()
     firsts = prefixes(docs, words, percent, levels, linking.id_filter(named)).join(named, "id", "left_semi")
-    linked = linking.link(tiles(firsts, blocks), partial(sets_of, docs, words), percent, 100)
+    return members, classes, tiles(firsts, blocks)
+
+
+def links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """class_id and other_id of every two classes of equal sets that link, each pair once, class_id the smaller.
+
+    Classes are named by their smallest doc_id; ``similar_groups`` says which documents
+    are in a class. There are as many rows as links, whose number may grow with the square
+    of a group of near copies; copies themselves are not multiplied out.
+    """
+    rows = by_row(docs)
+    _, classes, meeting = _members(rows, words, percent)
+    found = linking.all_links(meeting, partial(sets_of, rows, words), percent, 100)
+    for side in ("a", "b"):
+        found = found.join(classes.select(F.col("class_key").alias(side), F.col("first.doc").alias(f"doc_{side}")), side)
+    return found.select(F.least("doc_a", "doc_b").alias("class_id"), F.greatest("doc_a", "doc_b").alias("other_id"))
+
+
+def link_counts(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """doc_id and n_links (other documents that link with it, equal sets among them) of every row of ``docs``.
+
+    Texts without words and rows without doc_id have no links.
+    """
+    rows = by_row(docs)
+    members, classes, meeting = _members(rows, words, percent)
+    found = kept(linking.all_links(meeting, partial(sets_of, rows, words), percent, 100))
+    both = found.union(found.select("b", "a"))
+    others = classes.select(F.col("class_key").alias("b"), "copies")
+    linked = both.join(others, "b").groupBy(F.col("a").alias("class_key")).agg(F.sum("copies").alias("others"))
+    per_class = classes.join(linked, "class_key", "left").select(
+        "d0", "d1", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")
+    )
+    named = F.when((F.col("size") > 0) & F.col("id").isNotNull(), F.col("n_links")).otherwise(0)
+    return members.join(per_class, ["d0", "d1"], "left").select(F.col("doc").alias("doc_id"), named.cast("long").alias("n_links"))
+
+
+def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The columns of ``similar_groups``, each row's key, and first_key: that of its component's first row."""
+    docs = by_row(docs)
+    members, classes, meeting = _members(docs, words, percent)
+    linked = linking.link(meeting, partial(sets_of, docs, words), percent, 100)
     joined = kept(classes.join(linked, classes["class_key"] == linked["id"], "left").select(
         "d0", "d1", "first", F.coalesce("component", "class_key").alias("component")
     ))

@@ -229,6 +229,49 @@ def compare_tiles(tiles: DataFrame, p: int, q: int) -> DataFrame:
     return placed.mapInArrow(run, schema)
 
 
+#: Pairs that a task hands on at once.
+PAIRS_AT_ONCE = 1 << 20
+
+
+def compare_all(tiles: DataFrame, p: int, q: int) -> DataFrame:
+    """All pairs (a, b) of a tile that may be similar, each once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile in _runs(batches):
+            starts = np.flatnonzero(np.concatenate([[True], tile.key[1:] != tile.key[:-1]]))
+            lengths = np.diff(starts, append=len(tile.key))
+            following = np.repeat(starts + lengths, lengths) - np.arange(len(tile.key)) - 1
+            active, left, right, waiting = np.arange(len(tile.key)), [], [], 0
+            for lag in range(1, int(lengths.max(initial=1))):
+                active = active[following[active] >= lag]
+                hit = active[tile.may_link(active, active + lag, p, q)]
+                left.append(tile.id[hit])
+                right.append(tile.id[hit + lag])
+                waiting += len(hit)
+                if waiting > PAIRS_AT_ONCE:
+                    yield _ordered_pairs(left, right)
+                    left, right, waiting = [], [], 0
+            if waiting:
+                yield _ordered_pairs(left, right)
+
+    placed = tiles.repartition("key").sortWithinPartitions("key", "size", "id")
+    return placed.mapInArrow(run, "a long, b long").distinct()
+
+
+def _ordered_pairs(left: list[np.ndarray], right: list[np.ndarray]) -> pa.RecordBatch:
+    a, b = np.concatenate(left), np.concatenate(right)
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+
+def all_links(
+    tiles: DataFrame, sets: Callable[[np.ndarray], DataFrame], p: int, q: int,
+    decode: Callable[[bytes], np.ndarray] = elements,
+) -> DataFrame:
+    """Every link (a, b), also within what other links already join: as many rows as there are links."""
+    tried = kept(compare_all(tiles, p, q))
+    return verify(kept(bounded(tried, sets, p, q)), sets, decode, p, q)
+
+
 def compare_components(rows: DataFrame, p: int, q: int, turn: int | None = None) -> DataFrame:
     """Pairs (a, b) of large tiles that may be similar and are of different components.
 

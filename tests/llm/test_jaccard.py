@@ -40,6 +40,18 @@ def brute(texts, words, percent):
     return {i: (len(s), root(i)) for i, s in all_sets.items()}
 
 
+def brute_links(texts, words, percent):
+    """All pairs of documents that link."""
+    all_sets, where, out = sets(texts, words), defaultdict(list), set()
+    for i in sorted(all_sets):
+        for j, n in Counter(j for s in all_sets[i] for j in where[s]).items():
+            if 100 * n >= percent * (len(all_sets[i]) + len(all_sets[j]) - n):
+                out.add((j, i))
+        for s in all_sets[i]:
+            where[s].append(i)
+    return out
+
+
 def near_copies(count, seed=5, length=80, chain=False):
     """Texts that differ from a base, or from the one before, by a few words."""
     rng = random.Random(seed)
@@ -160,3 +172,29 @@ def test_one_id_with_different_texts(spark):
     assert found == [(3, 3, 3), (5, 5, 5), (5, 5, 5), (7, 7, 5), (8, 8, 5), (9, 9, 3), (9, 9, 9), (10, 10, 9)]
     left = sorted((r["doc_id"], r["text"]) for r in jaccard.one_of_each(docs).collect())
     assert left == sorted([rows[0], rows[1], rows[4], rows[7]])
+
+
+@pytest.mark.parametrize("tile_rows", [10, 20_000])
+@pytest.mark.parametrize("chain", [False, True])
+def test_every_link_is_found(spark, monkeypatch, tile_rows, chain):
+    """Large groups, chains, copies and cut tiles: links within a component too."""
+    monkeypatch.setattr(jaccard, "TILE_ROWS", tile_rows)
+    texts = near_copies(90, chain=chain) | {1000 + i: t for i, t in near_copies(30, seed=2, length=30).items()}
+    texts |= {2000 + i: texts[4] for i in range(3)} | {3000: "", 3001: None}
+    expected, all_sets = brute_links(texts, 5, 80), sets(texts, 5)
+    first = {i: min(j for j in texts if all_sets[j] == all_sets[i]) for i in texts}
+    got = [tuple(r) for r in jaccard.links(frame(spark, texts)).collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == {tuple(sorted((first[i], first[j]))) for i, j in expected if first[i] != first[j]}
+    counts = {r["doc_id"]: r["n_links"] for r in jaccard.link_counts(frame(spark, texts)).collect()}
+    assert counts == {i: sum(i in pair for pair in expected) for i in texts}
+
+
+def test_links_of_awkward_rows(awkward, nothing):
+    assert sorted(tuple(r) for r in jaccard.links(awkward, 4, 85).collect()) == []
+    counts = defaultdict(set)
+    for r in jaccard.link_counts(awkward, 4, 85).collect():
+        counts[r["doc_id"]].add(r["n_links"])
+    assert counts[1] == counts[2] == counts[7] == counts[10] == {1} and counts[6] == {1}
+    assert counts[None] == counts[3] == counts[4] == counts[5] == {0}
+    assert jaccard.links(nothing).count() == 0 and jaccard.link_counts(nothing).count() == 0
