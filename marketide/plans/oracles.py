@@ -460,9 +460,12 @@ def _promoted_pct() -> str:
 
 
 # Date columns of the results; they are compared as ISO text.
+_NET_DATES = ["order_date", "ship_date", "delivery_date", "return_date", "review_date", "start_date", "end_date"]
 _DATE_COLUMNS = {
     "dim_customer": ["signup_date"],
     "fact_sales": ["order_date", "ship_date", "delivery_date"],
+    "net_revenue_lines": _NET_DATES,
+    "transaction_master": [*_NET_DATES, "signup_date"],
     "transaction_matrix": ["order_date", "ship_date", "delivery_date", "return_date", "review_date"],
     "publish_star": ["first_date", "last_date"],
     "table_summary": ["first_date", "last_date"],
@@ -481,6 +484,23 @@ _DATE_COLUMNS = {
 }
 
 
+_NET_PARTS = "sold r_payments r_shipments returns_by_line reviews_by_line r_promotions"
+_NET_LINES = """
+    SELECT s.order_id, s.product_id, s.quantity, s.unit_price, s.promo_id, s.order_date, s.customer_id,
+           s.order_status, s.payment_method, py.installments, sh.ship_date, sh.delivery_date, sh.shipping_fee,
+           CAST(coalesce(s.return_quantity, 0) AS INTEGER) AS return_quantity, rt.return_date, s.return_reason,
+           coalesce(rv.rating, -1) AS rating, rv.review_date,
+           CASE WHEN s.return_quantity > 0 THEN 1 ELSE 0 END AS is_returned,
+           s.promo_name, pm.start_date, pm.end_date, pm.applicable_category, pm.promo_channel, pm.stackable_flag,
+           s.base_revenue, s.final_discount, s.actual_revenue
+    FROM sold s
+    LEFT JOIN r_payments py ON py.order_id = s.order_id
+    LEFT JOIN r_shipments sh ON sh.order_id = s.order_id
+    LEFT JOIN returns_by_line rt ON rt.order_id = s.order_id AND rt.product_id = s.product_id
+    LEFT JOIN reviews_by_line rv ON rv.order_id = s.order_id AND rv.product_id = s.product_id
+    LEFT JOIN r_promotions pm ON pm.promo_id = s.promo_id"""
+
+
 def oracles() -> dict[str, str]:
     """SQL per query name."""
     out = _plain_oracles()
@@ -488,7 +508,7 @@ def oracles() -> dict[str, str]:
         texts = ", ".join(f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in columns)
         out[name] = f"SELECT * REPLACE ({texts}) FROM ({out[name]}) AS result"
     # The path of large tables has to give the same rows.
-    spread = ("fact_sales", "transaction_matrix", "daily_series", "join_reconciliation", "duplicate_profile")
+    spread = ("transaction_master", "fact_sales", "transaction_matrix", "daily_series", "join_reconciliation", "duplicate_profile")
     blocks = ("lag_features", "rolling_features", "ewma_features")
     return (
         out | {f"{name}_spread": out[name] for name in spread} | {f"{name}_blocks": out[name] for name in blocks}
@@ -534,23 +554,15 @@ def _plain_oracles() -> dict[str, str]:
             LEFT JOIN r_shipments sh ON sh.order_id = l.order_id
             LEFT JOIN returns_by_line rt ON rt.order_id = l.order_id AND rt.product_id = l.product_id
             LEFT JOIN reviews_by_line rv ON rv.order_id = l.order_id AND rv.product_id = l.product_id"""),
-        "net_revenue_lines": with_parts("sold reviews_by_line", """
-            SELECT s.order_id, s.product_id, quantity, unit_price, promo_id, promo_name,
-                   CASE WHEN return_quantity > 0 THEN 1 ELSE 0 END AS is_returned,
-                   coalesce(rv.rating, -1) AS rating, base_revenue, final_discount, actual_revenue
-            FROM sold s LEFT JOIN reviews_by_line rv
-              ON rv.order_id = s.order_id AND rv.product_id = s.product_id"""),
-        "transaction_master": with_parts("sold r_products r_customers", f"""
-            SELECT s.order_id, s.product_id, s.customer_id, s.quantity, {_SIZE_CODE} AS size,
-                   cr.rank AS city, {_AGE_CODE} AS age_group,
-                   CAST(p.category = 'ECONOMY' AS INTEGER) AS "category_ECONOMY",
-                   CAST(p.color = 'red' AS INTEGER) AS color_red,
-                   CAST(p.segment = 'Brand#7' AS INTEGER) AS segment_brand_7,
-                   CAST(coalesce(c.gender = 'female', false) AS INTEGER) AS gender_female,
-                   CAST(c.acquisition_channel = 'BUILDING' AS INTEGER) AS "acquisition_channel_BUILDING",
-                   s.actual_revenue, s.gross_profit
-            FROM sold s JOIN r_products p ON p.product_id = s.product_id
-            LEFT JOIN r_customers c ON c.customer_id = s.customer_id
+        "net_revenue_lines": with_parts(_NET_PARTS, _NET_LINES),
+        "transaction_master": with_parts(f"{_NET_PARTS} r_products r_customers", f"""
+            SELECT n.*, p.product_name, {_SIZE_CODE} AS size, p.price, p.cogs,
+                   {', '.join(_one_hot(c, LABELS[c]) for c in LABELS)},
+                   c.zip, cr.rank AS city, c.signup_date, {_AGE_CODE} AS age_group,
+                   {_one_hot('gender', ['female', 'male'])}, {_one_hot('acquisition_channel', _CHANNELS)},
+                   p.cogs * n.quantity AS total_cogs, n.actual_revenue - p.cogs * n.quantity AS gross_profit
+            FROM ({_NET_LINES}) n JOIN r_products p ON p.product_id = n.product_id
+            LEFT JOIN r_customers c ON c.customer_id = n.customer_id
             LEFT JOIN ({_CITY_RANK}) cr ON cr.city = c.city"""),
         "publish_star": with_parts(
             "sold r_payments r_shipments r_products dim_customer r_promotions",

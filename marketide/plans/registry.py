@@ -130,23 +130,25 @@ def transaction_matrix_spread(t: Tables) -> DataFrame:
 
 @query
 def net_revenue_lines(t: Tables) -> DataFrame:
-    return star.net_revenue_lines(*_pick(t, *TRANSACTION_TABLES, "promotions")).select(
-        "order_id", "product_id", "quantity", "unit_price", "promo_id", "promo_name",
-        "is_returned", "rating", "base_revenue", "final_discount", "actual_revenue",
-    )
+    return star.net_revenue_lines(*_pick(t, *TRANSACTION_TABLES, "promotions"))
 
 
-@query
-def transaction_master(t: Tables) -> DataFrame:
-    lines = star.net_revenue_lines(*_pick(t, *TRANSACTION_TABLES, "promotions"))
+def _transaction_master(t: Tables, spread: Spread = DEFAULT) -> DataFrame:
+    lines = star.net_revenue_lines(*_pick(t, *TRANSACTION_TABLES, "promotions"), spread=spread)
     customers = encode.encode_customers(t["customers"])
     products = encode.encode_products(t["products"])
-    wide = star.with_master_data(lines, products, customers, t["order_items"], t["orders"])
-    return wide.select(
-        "order_id", "product_id", "customer_id", "quantity", "size", "city", "age_group",
-        "category_ECONOMY", "color_red", F.col("`segment_Brand#7`").alias("segment_brand_7"),
-        "gender_female", "acquisition_channel_BUILDING", "actual_revenue", "gross_profit",
-    )
+    wide = star.with_master_data(lines, products, customers, t["order_items"], t["orders"], spread)
+    return wide.toDF(*[c.replace("#", "_") for c in wide.columns])
+
+
+@query
+def transaction_master(t: Tables) -> DataFrame:
+    return _transaction_master(t)
+
+
+@query
+def transaction_master_spread(t: Tables) -> DataFrame:
+    return _transaction_master(t, FORCED)
 
 
 @query
