@@ -115,7 +115,7 @@ def test_publish_star(spark, tmp_path):
         for name, path in paths.items():
             reader = spark.read.parquet(path) if fmt == "parquet" else readers.read_csv(spark, path)
             assert reader.count() == star[name].count(), (fmt, name)
-    facts = spark.read.parquet(str(tmp_path / "parquet" / "fact_sales"))
+    facts = spark.read.parquet(writers.current_star(spark, str(tmp_path / "parquet"))["fact_sales"])
     january = facts.where((F.col("part_year") == 2020) & (F.col("part_month") == 1))
     assert january.count() == star["fact_sales"].where(F.month("order_date") == 1).count()
 
@@ -124,3 +124,28 @@ def test_dated_export(spark, tmp_path):
     df = spark.createDataFrame([(d("2020-01-05"), 1.5)], "Date date, Revenue double")
     writers.write_csv(df, str(tmp_path / "out"), "Date")
     assert rows(readers.read_csv(spark, str(tmp_path / "out"))) == [("2020-01-05", "1.5")]
+
+
+def test_a_failed_publication_leaves_the_old_star(spark, tmp_path):
+    """The fourth table fails: the last whole version stays the current one."""
+    root = str(tmp_path / "star")
+    table = lambda v: spark.createDataFrame([(1, v), (2, None), (2, v)], "id int, name string")
+    first = {f"t{i}": table("old") for i in range(5)}
+    assert writers.publish_star(first, root) == writers.current_star(spark, root)
+    broken = {f"t{i}": table("new") for i in range(5)}
+    broken["t3"] = broken["t3"].withColumn("name", F.when(F.col("id") == 2, F.raise_error(F.lit("lost"))).otherwise("x"))
+    with pytest.raises(Exception, match="lost"):
+        writers.publish_star(broken, root)
+    for path in writers.current_star(spark, root).values():
+        assert rows(spark.read.parquet(path)) == [(1, "old"), (2, "old"), (2, None)]
+    again = writers.publish_star({f"t{i}": table("new") for i in range(2)}, root)
+    assert writers.current_star(spark, root) == again
+    assert rows(spark.read.parquet(again["t1"])) == [(1, "new"), (2, "new"), (2, None)]
+
+
+def test_stored_rows_must_be_those_written(spark, tmp_path, monkeypatch):
+    table = spark.createDataFrame([(1, 0.5), (2, None)], "id int, v double")
+    true = writers.write_parquet
+    monkeypatch.setattr(writers, "write_parquet", lambda df, path, parts=(): (true(df, path, parts), df.limit(1).write.mode("overwrite").parquet(path)))
+    with pytest.raises(RuntimeError, match="not stored"):
+        writers.publish_star({"t": table}, str(tmp_path / "star"))
