@@ -441,14 +441,22 @@ def forest(links: DataFrame) -> DataFrame:
     return links.select("a", "b").mapInArrow(run, "u long, v long")
 
 
+#: Edges that are joined by one task, some 50 MB there; more of them are joined in passes.
+ONE_TASK = 200_000
+
+
 def components(links: DataFrame) -> DataFrame:
     """id and component of every id in ``links`` (a, b).
 
-    Distributed union-find: links are turned into stars around smaller and smaller ids,
-    in alternating passes over neighbours above and below each id, until nothing changes.
+    Distributed union-find: each task joins what it holds. What is left, if it is more
+    than one task can take, is turned into stars around smaller and smaller ids, in
+    alternating passes over neighbours above and below each id, until nothing changes.
     """
     edges = kept(forest(links).distinct())
     state = _state(edges)
+    if state[0] <= ONE_TASK:
+        # So few that one task joins them all.
+        return _stars(kept(forest(edges.select(F.col("u").alias("a"), F.col("v").alias("b")).coalesce(1))))
     while True:
         both = edges.select(F.col("u").alias("x"), F.col("v").alias("y")).union(edges.select("v", "u"))
         least = both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("m"))
@@ -460,7 +468,11 @@ def components(links: DataFrame) -> DataFrame:
         if now == state:
             break
         state = now
-    # Every edge leads to the smallest id of its component, which has no edge of its own.
+    return _stars(edges)
+
+
+def _stars(edges: DataFrame) -> DataFrame:
+    """id and component from edges that all lead to the smallest id of a component, which has no edge of its own."""
     tops = edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).union(tops)
 

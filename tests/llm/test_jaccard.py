@@ -198,3 +198,25 @@ def test_links_of_awkward_rows(awkward, nothing):
     assert counts[1] == counts[2] == counts[7] == counts[10] == {1} and counts[6] == {1}
     assert counts[None] == counts[3] == counts[4] == counts[5] == {0}
     assert jaccard.links(nothing).count() == 0 and jaccard.link_counts(nothing).count() == 0
+
+
+@pytest.mark.parametrize("one_task", [0, 200_000])
+def test_components_in_one_task_and_in_passes(spark, monkeypatch, one_task):
+    monkeypatch.setattr(linking, "ONE_TASK", one_task)
+    rng = np.random.default_rng(2)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(0, 300, (160, 2)) if a != b] + [(1000 + i, 1001 + i) for i in range(60)]
+    pairs += [(5000, 5000 + i) for i in range(1, 50)]
+    links = spark.createDataFrame(pairs, "a long, b long").repartition(6)
+    parent = {x: x for pair in pairs for x in pair}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    got = [tuple(r) for r in linking.components(links).collect()]
+    assert sorted(got) == sorted((x, root(x)) for x in parent)
+    assert linking.components(links.where("false")).collect() == []
