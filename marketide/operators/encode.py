@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector
@@ -17,6 +18,9 @@ SIZE_CODES = {"S": 1, "M": 2, "L": 3, "XL": 4, "XXL": 5}
 AGE_CODES = {"Unknown": 0, "18-24": 1, "25-34": 2, "35-44": 3, "45-54": 4, "55+": 5}
 OTHER_CODE = 0
 
+#: Marks the 0/1 columns of ``one_hot`` in a schema, and how many of them a whole number holds.
+FLAG, WORD_BITS = {"one_hot_flag": True}, 64
+
 ALL_CATEGORIES = "all_categories"
 
 
@@ -112,13 +116,31 @@ def one_hot(
     else:
         labels = {c: labels_of(df, c) for c in columns}
     flags = [
-        F.coalesce((F.col(c).cast("string") == label).cast("int"), F.lit(0)).alias(f"{c}_{label}")
+        F.coalesce((F.col(c).cast("string") == label).cast("int"), F.lit(0)).alias(f"{c}_{label}", metadata=FLAG)
         for c, values in labels.items() for label in values
     ]
     kept = [F.col(f"`{c}`") for c in df.columns if keep or c not in labels]
     return df.select(*kept, *flags)
 
 
+def packed_flags(df: DataFrame, out: str) -> tuple[DataFrame, dict[str, Column]]:
+    """``df`` with the columns that ``one_hot`` made as bits of a few whole numbers ``{out}_{n}``,
+    and the expression that gives each of them back.
+
+    Where rows are shuffled, a flag takes a bit instead of eight bytes. A row that a left join
+    did not find has no number and gets NULLs.
+    """
+    flags = [f.name for f in df.schema if FLAG.items() <= f.metadata.items()]
+    words = []
+    for n, start in enumerate(range(0, len(flags), WORD_BITS)):
+        bits = [F.shiftleft(F.col(f"`{c}`").cast("long"), i) for i, c in enumerate(flags[start:start + WORD_BITS])]
+        words.append(reduce(Column.bitwiseOR, bits).alias(f"{out}_{n}"))
+    back = {
+        c: F.getbit(F.col(f"{out}_{i // WORD_BITS}"), F.lit(i % WORD_BITS)).cast("int") for i, c in enumerate(flags)
+    }
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in back], *words), back
+
+
 def frequency_rank(df: DataFrame, column: str) -> DataFrame:
     """Per label (NULL included) its count and its rank, rarest = 1, ties in label order.
 

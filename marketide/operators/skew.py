@@ -39,6 +39,9 @@ class Spread:
 
 DEFAULT = Spread()
 
+#: Slots that keys are counted in before they are counted one by one.
+SLOTS = 1 << 20
+
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate, from file sizes and pruned columns; no job is run.
@@ -76,30 +79,35 @@ def frequent_keys(
 ) -> dict[str, DataFrame]:
     """Per named key set: hash of every frequent key, tasks to deal it over.
 
-    All key sets are counted in one scan of their columns; counting starts in each task,
-    so a frequent key is a row per task by the time it is shuffled. Keys with a NULL are
-    not counted.
+    All key sets are counted together, in two scans of their columns: by slots of the hash,
+    then by key in the slots that have enough rows. Counting starts in each task, so a
+    frequent key is a row per task by the time it is shuffled. Keys with a NULL are not counted.
     """
     hashes = [
         F.struct(
-            F.lit(name).alias("key_set"),
+            F.lit(i).cast("byte").alias("key_set"),
             F.when(~_any_null([F.col(k) for k in keys]), F.xxhash64(*keys)).alias("item"),
         )
-        for name, keys in key_sets.items()
+        for i, keys in enumerate(key_sets.values())
     ]
+    items = df.select(F.inline(F.array(*hashes))).where(F.col("item").isNotNull()).withColumn(
+        "slot", F.pmod("item", F.lit(SLOTS)).cast("int")
+    )
+    # A slot with few rows holds no frequent key, so what is shuffled first does not grow with the
+    # number of keys. Of the others there are no more than rows / ``rows_per_task`` as well.
+    full = items.groupBy("key_set", "slot").agg(F.count("*").alias("n")).where(F.col("n") > spread.rows_per_task)
     counted = (
-        df.select(F.inline(F.array(*hashes)))
-        .where(F.col("item").isNotNull())
+        items.join(F.broadcast(full.drop("n")), ["key_set", "slot"], "left_semi")
         .groupBy("key_set", "item")
         .agg(F.count("*").alias("n"))
     )
     found = materialise(counted.where(F.col("n") > spread.rows_per_task))
     return {
-        name: found.where(F.col("key_set") == name).select(
+        name: found.where(F.col("key_set") == i).select(
             F.col("item").alias(f"{name}_hash"),
             F.ceil(F.col("n") / spread.rows_per_task).cast("int").alias(f"{name}_tasks"),
         )
-        for name in key_sets
+        for i, name in enumerate(key_sets)
     }
 
 
@@ -129,11 +137,13 @@ def join_spread(
     how: str = "left",
     probe: DataFrame | None = None,
     spread: Spread = DEFAULT,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """``left.join(right, keys, how)`` for ``how`` in left/inner, safe for frequent left keys.
 
     ``probe`` is a cheap frame with the key columns of ``left`` (its source scan) for
-    counting; by default ``left`` itself. Rows of ``left`` with a NULL key never match
+    counting; by default ``left`` itself. Where the frequent keys are known, ``hot`` lists
+    them with the ``tasks`` each is to be dealt over, and nothing is counted. Rows of ``left`` with a NULL key never match
     and are dealt over many tasks instead of meeting in one. Both sides are placed by
     an explicit repartition: left to itself, Spark may keep a side where an earlier
     aggregate on ``keys`` put it and pull the salted rows together again.
@@ -144,7 +154,10 @@ def join_spread(
     if not is_large(source, spread) or (spread.broadcast_small and fits_broadcast(right)):
         return left.join(right, keys, how)
 
-    hot = frequent_keys(source, {"hot": keys}, spread)["hot"]
+    if hot is None:
+        hot = frequent_keys(source, {"hot": keys}, spread)["hot"]
+    else:
+        hot = hot.select(F.xxhash64(*keys).alias("hot_hash"), F.col("tasks").alias("hot_tasks"))
     right = _same_key_types(left, right, keys)
     columns = [F.col(k) for k in keys]
     salt = (
@@ -162,27 +175,47 @@ def join_spread(
     return joined.select(*left.columns, *[c for c in right.columns if c not in keys])
 
 
+def is_even(df: DataFrame, keys: list[str], found: DataFrame, spread: Spread = DEFAULT) -> bool:
+    """Whether a shuffle of ``df`` by ``keys`` is even: ``found`` lists no frequent key, and few rows lack one."""
+    if not found.isEmpty():
+        return False
+    missing = df.where(_any_null([F.col(k) for k in keys])).agg(F.count("*")).first()[0]
+    return missing <= spread.rows_per_task
+
+
+def placed(df: DataFrame, keys: list[str], spread: Spread = DEFAULT) -> DataFrame:
+    """``df`` shuffled by ``keys``, for an aggregate and a join that both can use that; as it is, if small or uneven."""
+    if not is_large(df, spread) or not is_even(df, keys, frequent_keys(df, {"hot": keys}, spread)["hot"], spread):
+        return df
+    return df.repartition(*keys)
+
+
 def attach_to_lines(
     lines: DataFrame,
     by_order: DataFrame,
     by_line: list[DataFrame],
     spread: Spread = DEFAULT,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """Order lines, with one order-grain table and any (order, product)-grain tables joined on.
 
+    ``probe`` is a cheap frame with the keys of ``lines``, as in ``join_spread``. Where no order is
+    frequent, plain joins by order do, which shuffle none of the order-grain tables again. Otherwise:
     Every side is placed by (order_id, salt) with an explicit repartition, which also
     serves the joins on (order_id, product_id): the lines are shuffled once. An order too
     large for a task is cut by product; a single (order, product) too large for a task, and
     the lines of such an order that have no product, are dealt out by input split.
     """
     pair = ["order_id", "product_id"]
-    if not is_large(lines, spread):
+    source = lines if probe is None else probe
+    hot = frequent_keys(source, {"order": ["order_id"], "pair": pair}, spread) if is_large(source, spread) else {}
+    if not hot or is_even(source, ["order_id"], hot["order"], spread):
         out = lines.join(by_order, "order_id", "left")
         for table in by_line:
             out = out.join(table, pair, "left")
-        return out
+        extra = [c for t in (by_order, *by_line) for c in t.columns if c not in pair]
+        return out.select(*lines.columns, *extra)
 
-    hot = frequent_keys(lines, {"order": ["order_id"], "pair": pair}, spread)
     order_tasks, pair_tasks = F.col("order_tasks"), F.col("pair_tasks")
     by_product = F.pmod(F.xxhash64(F.col("product_id")), order_tasks).cast("int")
     tags = ("order_tasks", "pair_tasks")

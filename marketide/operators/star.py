@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketide.functions.scalars import joined_labels
+from marketide.operators.encode import packed_flags
 from marketide.operators.revenue import (
     attach_promotions,
     gross_profit,
     order_totals,
     with_net_revenue,
 )
-from marketide.operators.skew import DEFAULT, Spread, attach_to_lines, join_spread
+from marketide.operators.skew import DEFAULT, Spread, attach_to_lines, join_spread, placed
 
 PRODUCT_COLUMNS = (
     "product_id", "product_name", "category", "segment", "size", "color", "price", "cogs",
@@ -33,26 +34,27 @@ def dim_customer(customers: DataFrame, geography: DataFrame, spread: Spread = DE
     return join_spread(customers, places, ["zip"], "left", spread=spread).select(*CUSTOMER_COLUMNS)
 
 
-def returns_by_line(returns: DataFrame, with_date: bool = False) -> DataFrame:
+def returns_by_line(returns: DataFrame, with_date: bool = False, spread: Spread = DEFAULT) -> DataFrame:
     """Returns per (order, product): total quantity, distinct reasons, latest date."""
     columns = [F.coalesce(F.sum("return_quantity"), F.lit(0)).alias("return_quantity")]
     if with_date:
         columns.append(F.max("return_date").alias("return_date"))
     columns.append(joined_labels("return_reason").alias("return_reason"))
-    return _by_line(returns).agg(*columns)
+    return _by_line(returns, spread).agg(*columns)
 
 
-def reviews_by_line(reviews: DataFrame) -> DataFrame:
+def reviews_by_line(reviews: DataFrame, spread: Spread = DEFAULT) -> DataFrame:
     """Reviews per (order, product): mean rating rounded half to even, latest date."""
-    return _by_line(reviews).agg(
+    return _by_line(reviews, spread).agg(
         F.bround(F.avg("rating"), 0).cast("int").alias("rating"),
         F.max("review_date").alias("review_date"),
     )
 
 
-def _by_line(df: DataFrame):
+def _by_line(df: DataFrame, spread: Spread):
+    """Placed by order, where the lines meet them."""
     keyed = df.where(F.col("order_id").isNotNull() & F.col("product_id").isNotNull())
-    return keyed.groupBy("order_id", "product_id")
+    return placed(keyed, ["order_id"], spread).groupBy("order_id", "product_id")
 
 
 def order_grain(lines: DataFrame, *tables: DataFrame, totals: bool = False) -> DataFrame:
@@ -93,10 +95,11 @@ def fact_sales(
         ),
         totals=True,
     )
-    lines = attach_to_lines(order_items, per_order, [returns_by_line(returns)], spread)
+    # Lines are joined by promotion and product while they are narrow.
     costs = products.select("product_id", "cogs")
+    lines = attach_promotions(order_items, promotions, probe=order_items, spread=spread)
     lines = join_spread(lines, costs, ["product_id"], "left", order_items, spread)
-    lines = attach_promotions(lines, promotions, probe=order_items, spread=spread)
+    lines = attach_to_lines(lines, per_order, [returns_by_line(returns, spread=spread)], spread, order_items)
     priced = with_net_revenue(lines).withColumn("gross_profit", gross_profit())
     return priced.select(
         *order_items.columns,
@@ -111,8 +114,8 @@ def revenue_lines(
 ) -> DataFrame:
     """order_id, customer_id and net revenue of every line, as the sales fact has them, and nothing else."""
     per_order = order_grain(order_items, orders.select("order_id", "customer_id"), totals=True)
-    lines = attach_to_lines(order_items, per_order, [], spread)
-    lines = attach_promotions(lines, promotions, probe=order_items, spread=spread)
+    lines = attach_promotions(order_items, promotions, probe=order_items, spread=spread)
+    lines = attach_to_lines(lines, per_order, [], spread, order_items)
     return with_net_revenue(lines).select("order_id", "customer_id", "actual_revenue")
 
 
@@ -125,11 +128,13 @@ def transaction_matrix(
     reviews: DataFrame,
     totals: bool = False,
     spread: Spread = DEFAULT,
+    wider: DataFrame | None = None,
 ) -> DataFrame:
     """Order lines with order, payment, shipment, return and review columns.
 
     No return becomes quantity 0, no review becomes rating -1. With ``totals`` the
-    undiscounted order value is kept as ``order_base_total``.
+    undiscounted order value is kept as ``order_base_total``. ``wider`` are the lines with
+    what was joined to them while they were narrow; totals and keys are those of ``order_items``.
     """
     per_order = order_grain(
         order_items,
@@ -138,9 +143,8 @@ def transaction_matrix(
         shipments.select("order_id", "ship_date", "delivery_date", "shipping_fee"),
         totals=totals,
     )
-    lines = attach_to_lines(
-        order_items, per_order, [returns_by_line(returns, with_date=True), reviews_by_line(reviews)], spread
-    )
+    by_line = [returns_by_line(returns, True, spread), reviews_by_line(reviews, spread)]
+    lines = attach_to_lines(order_items if wider is None else wider, per_order, by_line, spread, order_items)
     quantity = F.coalesce(F.col("return_quantity"), F.lit(0)).cast("int")
     return lines.withColumns({
         "return_quantity": quantity,
@@ -158,32 +162,56 @@ def net_revenue_lines(
     reviews: DataFrame,
     promotions: DataFrame,
     spread: Spread = DEFAULT,
+    products: DataFrame | None = None,
 ) -> DataFrame:
-    """The transaction matrix with base revenue, discount and net revenue per line."""
+    """The transaction matrix with base revenue, discount and net revenue per line.
+
+    Lines meet promotions, and ``products`` if given, before the columns of their order make
+    them wide; the columns of the products come last.
+    """
+    kept = [c for c in promotions.columns if c != "promo_id"]
+    wider = attach_promotions(order_items, promotions, tuple(kept), order_items, spread)
+    if products is not None:
+        wider = join_spread(wider, products, ["product_id"], "left", order_items, spread)
+    late = [*kept, *[c for c in wider.columns if c not in {*order_items.columns, *kept}]]
     matrix = transaction_matrix(
-        order_items, orders, payments, shipments, returns, reviews, totals=True, spread=spread
+        order_items, orders, payments, shipments, returns, reviews, True, spread, wider
     )
-    kept = [c for c in promotions.columns if c != "promo_id"]
-    lines = attach_promotions(matrix, promotions, tuple(kept), order_items, spread)
-    priced = with_net_revenue(lines, clean_type=False)
+    money = ["base_revenue", "final_discount", "actual_revenue"]
+    order = [*[c for c in matrix.columns if c not in late], *kept, *money, *late[len(kept):]]
+    priced = with_net_revenue(matrix, clean_type=False).select(*[F.col(f"`{c}`") for c in order])
     return priced.drop("order_base_total", "promo_type", "min_order_value", "discount_value")
 
 
 def with_master_data(
-    lines: DataFrame,
+    order_items: DataFrame,
+    orders: DataFrame,
+    payments: DataFrame,
+    shipments: DataFrame,
+    returns: DataFrame,
+    reviews: DataFrame,
+    promotions: DataFrame,
     products: DataFrame,
     customers: DataFrame,
-    order_items: DataFrame | None = None,
-    orders: DataFrame | None = None,
     spread: Spread = DEFAULT,
 ) -> DataFrame:
-    """Lines with all product and customer columns, plus cost and gross profit.
+    """``net_revenue_lines`` with all product and customer columns, plus cost and gross profit.
 
-    Frequent products and customers are looked for in ``order_items`` and ``orders``,
-    the plain scans behind ``lines``.
+    Products are joined to the narrow lines and customers to the orders, so that no join moves
+    the wide lines; 0/1 columns travel as bits of a whole number.
     """
-    with_products = join_spread(lines, products, ["product_id"], "left", order_items, spread)
-    wide = join_spread(with_products, customers, ["customer_id"], "left", orders, spread)
+    own = [[c for c in df.columns if c != key] for df, key in ((products, "product_id"), (customers, "customer_id"))]
+    slim_products, products_back = packed_flags(products, "product_flags")
+    slim_customers, customers_back = packed_flags(customers, "customer_flags")
+    known = join_spread(orders, slim_customers, ["customer_id"], "left", orders, spread)
+    lines = net_revenue_lines(
+        order_items, known, payments, shipments, returns, reviews, promotions, spread, slim_products
+    )
+    joined = {*slim_products.columns, *slim_customers.columns} - {"product_id", "customer_id"}
+    wide = lines.select(
+        *[F.col(f"`{c}`") for c in lines.columns if c not in joined],
+        *[back.get(c, F.col(f"`{c}`")).alias(c) for names, back in zip(own, (products_back, customers_back)) for c in names],
+    )
     return wide.withColumn("total_cogs", F.col("cogs") * F.col("quantity")).withColumn(
         "gross_profit", F.col("actual_revenue") - F.col("total_cogs")
     )

@@ -134,10 +134,9 @@ def net_revenue_lines(t: Tables) -> DataFrame:
 
 
 def _transaction_master(t: Tables, spread: Spread = DEFAULT) -> DataFrame:
-    lines = star.net_revenue_lines(*_pick(t, *TRANSACTION_TABLES, "promotions"), spread=spread)
     customers = encode.encode_customers(t["customers"])
     products = encode.encode_products(t["products"])
-    wide = star.with_master_data(lines, products, customers, t["order_items"], t["orders"], spread)
+    wide = star.with_master_data(*_pick(t, *TRANSACTION_TABLES, "promotions"), products, customers, spread)
     return wide.toDF(*[c.replace("#", "_") for c in wide.columns])
 
 
@@ -584,8 +583,12 @@ def line_windows(t: Tables) -> DataFrame:
 
 
 def _regional_lines(t: Tables) -> DataFrame:
+    """Lines with the region of their order's customer, which is joined to the orders."""
     regions = _dim_customer(t).select("customer_id", "region")
-    return join_spread(priced(t), regions, ["customer_id"], "left", probe=t["orders"])
+    located = join_spread(t["orders"], regions, ["customer_id"], "left")
+    return series.priced_lines(
+        t["order_items"], located, *_pick(t, "returns", "products", "promotions"), keys=("region",)
+    )
 
 
 @query

@@ -19,6 +19,8 @@ PLAN_SETTINGS = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # Lines placed by (order, salt) may join on (order, product, salt) where they are.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # The JVM never compiles a longer method, so a stage of wide rows is not fused into one.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 # Starting size of shuffles, before adaptive execution merges what turns out small.
