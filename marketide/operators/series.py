@@ -66,28 +66,32 @@ def priced_lines(
     products: DataFrame,
     promotions: DataFrame,
     spread: Spread = DEFAULT,
+    keys: tuple[str, ...] = (),
 ) -> DataFrame:
     """Order lines with day, customer, product labels, returns flag, net revenue and profit.
 
     Only what the daily series needs: payments, shipments and customers have one row
-    per key and would change no daily figure, so they are not joined.
+    per key and would change no daily figure, so they are not joined. ``keys`` are more
+    columns of ``orders`` that the lines are to have.
+
+    The order comes last: lines that meet it are placed by order, as the daily series needs them.
     """
     per_order = order_totals(order_items).join(
-        orders.select("order_id", "order_date", "customer_id"), "order_id", "left"
+        orders.select("order_id", "order_date", "customer_id", *keys), "order_id", "left"
     )
-    returned = returns_by_line(returns).select(
+    returned = returns_by_line(returns, spread=spread).select(
         "order_id", "product_id", (F.col("return_quantity") > 0).alias("returned")
     )
-    lines = attach_to_lines(order_items, per_order, [returned], spread)
     labels = products.select("product_id", *SLICES, "cogs")
+    lines = attach_promotions(order_items, promotions, probe=order_items, spread=spread)
     lines = join_spread(lines, labels, ["product_id"], "left", order_items, spread)
-    lines = attach_promotions(lines, promotions, probe=order_items, spread=spread)
+    lines = attach_to_lines(lines, per_order, [returned], spread, order_items)
     priced = with_net_revenue(lines, clean_type=False)
     return priced.select(
         F.to_date("order_date").alias("date"), "order_id", "customer_id", "product_id",
         "quantity", *SLICES, "actual_revenue",
         gross_profit().alias("gross_profit"),
-        F.coalesce(F.col("returned").cast("int"), F.lit(0)).alias("is_returned"),
+        F.coalesce(F.col("returned").cast("int"), F.lit(0)).alias("is_returned"), *keys,
     )
 
 
