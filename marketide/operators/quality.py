@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from marketide.functions.scalars import is_missing
-from marketide.operators.skew import DEFAULT, Spread, join_spread
+from marketide.operators.skew import DEFAULT, SLOTS, Spread, join_spread
 from marketide.session import materialise
 
 
@@ -58,14 +58,18 @@ def duplicate_profile(
     """
     hashes = ["__hash_1", "__hash_2"]
     marked = {name: df.withColumns(dict(zip(hashes, fingerprint(df)))) for name, df in tables.items()}
-    # All tables are counted in one job; what repeats is written once.
-    each = reduce(DataFrame.union, [df.select(F.lit(name).alias("__table"), *hashes) for name, df in marked.items()])
+    # All tables are counted in one job, known by their places; what repeats is written once.
+    each = reduce(DataFrame.union, [df.select(F.lit(i).cast("short").alias("__table"), *hashes) for i, df in enumerate(marked.values())])
     counted = each.groupBy("__table", *hashes).agg(F.count("*").alias("__n"))
-    repeated = materialise(counted.where(F.col("__n") > 1).drop("__n"))
+    repeated = materialise(counted.where(F.col("__n") > 1)).withColumn("__slot", F.pmod("__hash_1", F.lit(SLOTS)).cast("int"))
     profiles = []
-    for name, df in marked.items():
-        own = repeated.where(F.col("__table") == name).drop("__table")
-        suspects = join_spread(df, own, hashes, "inner", probe=df.select(*hashes), spread=spread)
+    for i, (name, df) in enumerate(marked.items()):
+        own = repeated.where(F.col("__table") == i).drop("__table")
+        # Most rows without a copy stay where they are: their slot, of which there are SLOTS, holds no repeated fingerprint.
+        slots = own.select("__slot").distinct()
+        near = df.withColumn("__slot", F.pmod("__hash_1", F.lit(SLOTS)).cast("int")).join(F.broadcast(slots), "__slot", "left_semi")
+        hot = own.where(F.col("__n") > spread.rows_per_task).select(*hashes, F.ceil(F.col("__n") / spread.rows_per_task).cast("int").alias("tasks"))
+        suspects = join_spread(near.drop("__slot"), own.select(*hashes), hashes, "inner", probe=df.select(*hashes), spread=spread, hot=hot)
         copies = suspects.groupBy(*[F.col(f"`{c}`") for c in tables[name].columns]).agg(F.count("*").alias("__n"))
         duplicates = copies.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("long").alias("n_duplicates"))
         total = df.agg(F.count("*").alias("n_rows"))
