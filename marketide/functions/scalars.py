@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
 # Calendar harmonics repeat yearly, two of them are used.
@@ -56,9 +56,10 @@ def _joined(units: Column, micros: Column, picos: Column) -> Column:
     return F.coalesce((whole + rest).cast("double"), F.lit(0.0))
 
 
-def exact_sum(amount: Column | str) -> Column:
+def exact_sum(amount: Column | str, over: WindowSpec | None = None) -> Column:
     """Aggregate: a money sum that is the same in every run; over nothing but NULLs it is 0."""
-    return _joined(*map(F.sum, money_parts(amount)))
+    sums = [F.sum(p) for p in money_parts(amount)]
+    return _joined(*(sums if over is None else [s.over(over) for s in sums]))
 
 
 def part_sums(amount: Column | str, name: str) -> list[Column]:

@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from marketide.functions.scalars import is_missing
-from marketide.operators.skew import DEFAULT, SLOTS, Spread, join_spread
+from marketide.operators.skew import DEFAULT, Spread, join_spread
 from marketide.session import materialise
 
+#: Slots of fingerprints, of which some hold a repeated one.
+SLOTS = 1 << 20
+
 
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)

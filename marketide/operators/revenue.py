@@ -23,6 +23,15 @@ def order_totals(lines: DataFrame) -> DataFrame:
     )
 
 
+def with_order_total(lines: DataFrame) -> DataFrame:
+    """``lines`` with the undiscounted value of their order, which must be here whole; NULL without an order.
+
+    For orders that fit a task: what is placed by order for their joins is not placed once more for the totals.
+    """
+    total = exact_sum(F.col("unit_price") * F.col("quantity"), Window.partitionBy("order_id"))
+    return lines.withColumn("order_base_total", F.when(F.col("order_id").isNotNull(), total))
+
+
 def attach_promotions(
     lines: DataFrame,
     promotions: DataFrame,

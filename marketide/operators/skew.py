@@ -11,6 +11,7 @@ both sides of a join see the same one.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -39,8 +40,9 @@ class Spread:
 
 DEFAULT = Spread()
 
-#: Slots that keys are counted in before they are counted one by one.
-SLOTS = 1 << 20
+#: Slots that keys are counted in before they are counted one by one: what a task shuffles at most.
+#: They tell keys apart up to some 1e11 rows; with more, most slots are full and more keys are counted.
+SLOTS = 1 << 16
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -67,6 +69,11 @@ def fits_broadcast(df: DataFrame) -> bool:
     return size <= threshold
 
 
+def meets_broadcast(right: DataFrame, spread: Spread = DEFAULT) -> bool:
+    """Whether ``join_spread`` leaves ``right`` to Catalyst's broadcast, however large the left side is."""
+    return spread.broadcast_small and fits_broadcast(right)
+
+
 def _any_null(columns: list[Column]) -> Column:
     missing = F.lit(False)
     for c in columns:
@@ -151,7 +158,7 @@ def join_spread(
     if how not in ("left", "inner"):
         raise ValueError(f"join_spread supports left and inner, not {how}")
     source = left if probe is None else probe
-    if not is_large(source, spread) or (spread.broadcast_small and fits_broadcast(right)):
+    if not is_large(source, spread) or meets_broadcast(right, spread):
         return left.join(right, keys, how)
 
     if hot is None:
@@ -184,8 +191,10 @@ def is_even(df: DataFrame, keys: list[str], found: DataFrame, spread: Spread = D
 
 
 def placed(df: DataFrame, keys: list[str], spread: Spread = DEFAULT) -> DataFrame:
-    """``df`` shuffled by ``keys``, for an aggregate and a join that both can use that; as it is, if small or uneven."""
-    if not is_large(df, spread) or not is_even(df, keys, frequent_keys(df, {"hot": keys}, spread)["hot"], spread):
+    """``df`` shuffled by ``keys``, for an aggregate and a join that both can use that; as it is, if uneven or broadcast."""
+    if fits_broadcast(df):
+        return df
+    if is_large(df, spread) and not is_even(df, keys, frequent_keys(df, {"hot": keys}, spread)["hot"], spread):
         return df
     return df.repartition(*keys)
 
@@ -196,11 +205,13 @@ def attach_to_lines(
     by_line: list[DataFrame],
     spread: Spread = DEFAULT,
     probe: DataFrame | None = None,
+    even: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Order lines, with one order-grain table and any (order, product)-grain tables joined on.
 
     ``probe`` is a cheap frame with the keys of ``lines``, as in ``join_spread``. Where no order is
-    frequent, plain joins by order do, which shuffle none of the order-grain tables again. Otherwise:
+    frequent, plain joins by order do, which shuffle none of the order-grain tables again; ``even``
+    then adds the columns of ``by_order`` to the lines, if there is a shorter way. Otherwise:
     Every side is placed by (order_id, salt) with an explicit repartition, which also
     serves the joins on (order_id, product_id): the lines are shuffled once. An order too
     large for a task is cut by product; a single (order, product) too large for a task, and
@@ -210,7 +221,7 @@ def attach_to_lines(
     source = lines if probe is None else probe
     hot = frequent_keys(source, {"order": ["order_id"], "pair": pair}, spread) if is_large(source, spread) else {}
     if not hot or is_even(source, ["order_id"], hot["order"], spread):
-        out = lines.join(by_order, "order_id", "left")
+        out = lines.join(by_order, "order_id", "left") if even is None else even(lines)
         for table in by_line:
             out = out.join(table, pair, "left")
         extra = [c for t in (by_order, *by_line) for c in t.columns if c not in pair]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,8 +14,9 @@ from marketide.operators.revenue import (
     gross_profit,
     order_totals,
     with_net_revenue,
+    with_order_total,
 )
-from marketide.operators.skew import DEFAULT, Spread, attach_to_lines, join_spread, placed
+from marketide.operators.skew import DEFAULT, Spread, attach_to_lines, join_spread, meets_broadcast, placed
 
 PRODUCT_COLUMNS = (
     "product_id", "product_name", "category", "segment", "size", "color", "price", "cogs",
@@ -71,6 +74,18 @@ def order_grain(lines: DataFrame, *tables: DataFrame, totals: bool = False) -> D
     return base
 
 
+def _with_order_grain(lines: DataFrame, tables: list[DataFrame]) -> DataFrame:
+    """``lines`` with their order's total and the columns of the order-grain tables; no order may be frequent.
+
+    The lines must be those of the order and no others, as none is counted twice. All of it
+    needs one placement by order.
+    """
+    out = with_order_total(lines)
+    for table in tables:
+        out = out.join(table, "order_id", "left")
+    return out
+
+
 def fact_sales(
     order_items: DataFrame,
     orders: DataFrame,
@@ -86,20 +101,29 @@ def fact_sales(
     Orders, payments and shipments have one row per order and products and
     promotions one per id; the line count is that of ``order_items``.
     """
-    per_order = order_grain(
-        order_items,
+    by_order = [
         orders.select("order_id", "order_date", "customer_id", "order_status", "payment_method"),
         payments.select("order_id", "installments"),
         shipments.select("order_id", "shipping_fee", "ship_date", "delivery_date").withColumn(
             "delivery_days", F.datediff("delivery_date", "ship_date")
         ),
-        totals=True,
-    )
-    # Lines are joined by promotion and product while they are narrow.
+    ]
+    # Lines are joined by promotion and product while they are narrow, but what is broadcast moves
+    # no line: it comes last, so that the lines do not take its columns along.
     costs = products.select("product_id", "cogs")
-    lines = attach_promotions(order_items, promotions, probe=order_items, spread=spread)
-    lines = join_spread(lines, costs, ["product_id"], "left", order_items, spread)
-    lines = attach_to_lines(lines, per_order, [returns_by_line(returns, spread=spread)], spread, order_items)
+    lines, late_terms, late_costs = order_items, meets_broadcast(promotions, spread), meets_broadcast(costs, spread)
+    if not late_terms:
+        lines = attach_promotions(lines, promotions, probe=order_items, spread=spread)
+    if not late_costs:
+        lines = join_spread(lines, costs, ["product_id"], "left", order_items, spread)
+    lines = attach_to_lines(
+        lines, order_grain(order_items, *by_order, totals=True), [returns_by_line(returns, spread=spread)], spread,
+        order_items, partial(_with_order_grain, tables=by_order) if late_terms and late_costs else None,
+    )
+    if late_terms:
+        lines = attach_promotions(lines, promotions, probe=order_items, spread=spread)
+    if late_costs:
+        lines = join_spread(lines, costs, ["product_id"], "left", order_items, spread)
     priced = with_net_revenue(lines).withColumn("gross_profit", gross_profit())
     return priced.select(
         *order_items.columns,

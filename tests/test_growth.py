@@ -99,3 +99,24 @@ def test_only_rows_that_may_have_copies_are_placed(spark):
     got = quality.duplicate_profile({"t": copies, "u": table}, spread)
     assert rows(got) == [("t", 2057, 57), ("u", 2000, 0)]
     assert "LeftSemi" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_order_totals_need_no_shuffle_of_their_own(spark, tables, tmp_path):
+    given = [tables[n] for n in SALES]
+    # Lines that share an order, lines without one, and one whose order nobody knows.
+    more = spark.createDataFrame(
+        [(1, 10, 3, 7.25, "A"), (None, 10, 1, 5.0, "A"), (None, 11, 1, 9.0, None), (77, 10, 2, 900.0, "A")], given[0].schema
+    )
+    given[0] = given[0].union(more)
+    # Repeated keys on the other side repeat lines and leave the totals alone.
+    given[1] = given[1].union(given[1].limit(1))
+    given[6] = given[6].union(given[6].limit(1))
+    plain = rows(star.fact_sales(*given, spread=FORCED))
+    for i in (5, 6):
+        given[i].write.parquet(f"{tmp_path}/{i}")
+        given[i] = spark.read.parquet(f"{tmp_path}/{i}")
+    lines = star.fact_sales(*given, spread=Spread(0, 1000, True))
+    assert rows(lines) == plain
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    # Promotions, which are broadcast, are met after the totals.
+    assert "Window" in plan and plan.index("promo_type") < plan.index("Window")
