@@ -16,12 +16,15 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketide.llm import linking, pretokens
 from marketide.llm.bpe import text_batches
-from marketide.llm.tables import free_names, kept, texts
+from marketide.llm.packed import scratch
+from marketide.llm.tables import BATCH_BYTES, free_names, kept, texts
+from marketide.session import remove
 
 SHINGLE = 8
 PERCENT = 80
@@ -65,11 +68,6 @@ def shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return values[at], np.cumsum(counts) - counts
 
 
-def shingles_of(line: bytes) -> np.ndarray:
-    """Sorted distinct shingles of one line."""
-    return linking.distinct(shingles([line.decode()])[0])
-
-
 def minima(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """For every line the least value under each hash function; lines are taken in cached blocks."""
     out = np.empty((len(_FACTORS), len(starts)), np.uint32)
@@ -115,77 +113,153 @@ def text_key() -> Column:
 
 
 def known_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, line (from 0) and id of every line that is not blank."""
+    """doc_id, text_key, line (from 0), id and normal form of every line that is not blank.
+
+    A task gives the normal form with a line's first row, as far as it remembers; null later.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for part, items in text_batches(batches):
             owner, number, lines = split_lines(items)
-            if lines:
-                yield pa.RecordBatch.from_arrays(
-                    [*part.select([0, 2]).take(pa.array(owner)).columns, pa.array(number), pa.array(line_ids(lines))],
-                    ["doc_id", "text_key", "line", "id"],
-                )
+            if not lines:
+                continue
+            ids = line_ids(lines)
+            distinct, first = np.unique(ids, return_index=True)
+            old = np.ones(len(ids), bool)
+            old[first] = [x in seen for x in distinct.tolist()]
+            if len(seen) > SEEN:
+                seen.clear()
+            seen.update(distinct.tolist())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *part.select([0, 2]).take(pa.array(owner)).columns, pa.array(number), pa.array(ids),
+                    pa.array(lines, pa.string(), mask=old),
+                ],
+                ["doc_id", "text_key", "place", "id", "text"],
+            )
+
+    found = texts(docs, text_key()).mapInArrow(run, "doc_id long, text_key long, place int, id long, text string")
+    return found.withColumnRenamed("place", "line")
+
+
+def stored_lines(docs: DataFrame, path: str) -> DataFrame:
+    """``known_lines``, found once; later plans read the columns they need of it."""
+    known_lines(docs).write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema("doc_id long, text_key long, line int, id long, text string").parquet(path)
+
+
+def normal_forms(known: DataFrame) -> DataFrame:
+    return known.where("text IS NOT NULL").select("id", "text")
+
+
+def padded_sets(lines: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Which lines, their shingles in the order of values and which of these are the first of their value.
 
-    return texts(docs, text_key()).mapInArrow(run, "doc_id long, text_key long, line int, id long")
-
-
-def _new_lines(batches: Iterator[pa.RecordBatch], wanted: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, list[str]]]:
-    """Ids and normal forms of the lines of a task, each once as far as it remembers."""
-    seen: set[int] = set()
-    for _, items in text_batches(batches):
-        lines = split_lines(items)[2]
-        if not lines:
-            continue
-        ids, first = np.unique(line_ids(lines), return_index=True)
-        if wanted is not None:
-            first = first[linking.passes(wanted, ids)]
-            ids = ids[linking.passes(wanted, ids)]
-        new = np.array([x not in seen for x in ids.tolist()], bool)
-        if len(seen) > SEEN:
-            seen.clear()
-        ids, first = ids[new], first[new]
-        seen.update(ids.tolist())
-        if len(ids):
-            yield ids, [lines[i] for i in first.tolist()]
-
-
-def tiles(docs: DataFrame) -> DataFrame:
+    Lines of about one length come together, as rows of one table; rows are filled up with copies of their last shingle.
+    """
+    values, starts = shingles(lines)
+    counts = np.diff(starts, append=len(values))
+    order = np.argsort(counts, kind="stable")
+    ordered = counts[order]
+    lo = 0
+    while lo < len(order):
+        # Up to a quarter more shingles than the shortest, and a table that stays in the cache.
+        most = int(ordered[lo]) * 5 // 4
+        hi = int(np.searchsorted(ordered, most, side="right"))
+        hi = min(hi, lo + max(1, AT_ONCE // max(1, most)))
+        rows = order[lo:hi]
+        width = int(ordered[hi - 1])
+        at = starts[rows][:, None] + np.minimum(np.arange(width), counts[rows][:, None] - 1)
+        table = np.sort(values[at], axis=1)
+        first = np.ones(table.shape, bool)
+        np.not_equal(table[:, 1:], table[:, :-1], out=first[:, 1:])
+        yield rows, table, first
+        lo = hi
+
+
+def sizes_and_signatures(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Size and ``linking.signatures`` of every line's shingle set."""
+    sizes, s0, s1 = np.zeros(len(lines), np.int32), np.zeros(len(lines), np.uint64), np.zeros(len(lines), np.uint64)
+    for rows, table, first in padded_sets(lines):
+        sizes[rows] = first.sum(axis=1)
+        bit = np.left_shift(first.astype(np.uint64), table & np.uint64(63))
+        second = (table & np.uint64(64)) > 0
+        s0[rows] = np.bitwise_xor.reduce(np.where(second, np.uint64(0), bit), axis=1)
+        s1[rows] = np.bitwise_xor.reduce(np.where(second, bit, np.uint64(0)), axis=1)
+    return sizes, s0.view(np.int64), s1.view(np.int64)
+
+
+def overlaps(left: list[str], right: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes of the shingle sets of each pair of lines, and how many shingles they share."""
+    names = {line: i for i, line in enumerate(dict.fromkeys([*left, *right]))}
+    sets: list[np.ndarray] = [np.zeros(0, np.uint64)] * len(names)
+    for rows, table, first in padded_sets(list(names)):
+        for i, values, stay in zip(rows.tolist(), table, first):
+            sets[i] = values[stay]
+    shared = []
+    for a, b in zip(left, right):
+        both = np.concatenate([sets[names[a]], sets[names[b]]])
+        both.sort()
+        shared.append(np.count_nonzero(both[1:] == both[:-1]))
+    sizes = [np.fromiter((len(sets[names[x]]) for x in side), np.int64, len(side)) for side in (left, right)]
+    return *sizes, np.array(shared, np.int64)
+
+
+def similar(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """``linking.verify`` for lines: the sets of a batch are made together, each once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = np.cumsum(sum(pc.binary_length(batch.column(i)).to_numpy().astype(np.int64) for i in (2, 3)))
+            lo = 0
+            while lo < len(ends):
+                before = int(ends[lo - 1]) if lo else 0
+                hi = max(lo + 1, int(np.searchsorted(ends, before + BATCH_BYTES, side="right")))
+                part = batch.slice(lo, hi - lo)
+                a, b, both = overlaps(part.column(2).to_pylist(), part.column(3).to_pylist())
+                yield part.select([0, 1]).filter(pa.array(100 * both >= percent * (a + b - both)))
+                lo = hi
+
+    return linking.with_both(pairs, sets_of(known, linking.ids_of(pairs), False), "text").mapInArrow(run, "a long, b long").distinct()
+
+
+def tiles(known: DataFrame) -> DataFrame:
     """One tile row for every band of every line."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, lines in _new_lines(batches):
-            values, starts = shingles(lines)
-            keys = band_keys(minima(values, starts))
-            ends = np.append(starts[1:], len(values)).tolist()
-            sets = [linking.distinct(values[a:b]) for a, b in zip(starts.tolist(), ends)]
-            signs = linking.signatures(sets)
-            sizes = np.array([len(s) for s in sets], np.int32)
+        for part, lines in text_batches(batches):
+            ids = part.column(0)
+            keys = band_keys(minima(*shingles(lines)))
+            size, s0, s1 = map(pa.array, sizes_and_signatures(lines))
+            place = pa.array(np.zeros(len(lines), np.int32))
             for band in range(BANDS):
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(keys[band]), pa.array(ids), pa.array(sizes), pa.array(np.zeros(len(ids), np.int32)),
-                        *map(pa.array, signs),
-                    ],
-                    ["key", "id", "size", "place", "s0", "s1"],
+                    [pa.array(keys[band]), ids, size, place, s0, s1], ["key", "id", "size", "place", "s0", "s1"]
                 )
 
-    return texts(docs).mapInArrow(run, linking.TILE)
+    return normal_forms(known).mapInArrow(run, linking.TILE)
+
 
+def sets_of(known: DataFrame, wanted: np.ndarray, wide: bool = True) -> DataFrame:
+    """The shingle sets of the lines whose id passes the bitmap, or (not ``wide``) their normal forms."""
+    shared = known.sparkSession.sparkContext.broadcast(wanted)
 
-def sets_of(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """The shingle sets of the lines whose id passes the bitmap."""
-    shared = docs.sparkSession.sparkContext.broadcast(wanted)
+    @F.arrow_udf("boolean")
+    def passes(ids: pa.Array) -> pa.Array:
+        return pa.array(linking.passes(shared.value, ids.to_numpy(zero_copy_only=False)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, lines in _new_lines(batches, shared.value):
-            values, starts = shingles(lines)
-            ends = np.append(starts[1:], len(values)).tolist()
-            sets = [linking.distinct(values[a:b]) for a, b in zip(starts.tolist(), ends)]
-            yield linking.set_rows(pa.array(ids), sets, [x.encode() for x in lines])
+        for part, lines in text_batches(batches):
+            sets: list[np.ndarray] = [np.zeros(0, np.uint64)] * len(lines)
+            for rows, table, first in padded_sets(lines):
+                for i, values, stay in zip(rows.tolist(), table, first):
+                    sets[i] = values[stay]
+            yield linking.set_rows(part.column(0), sets, [x.encode() for x in lines])
 
     # A line that many tasks have comes once from each.
-    found = texts(docs).mapInArrow(run, linking.SETS)
-    return found.groupBy("id").agg(*[F.min(c).alias(c) for c in ("size", "wide", "payload")])
+    found = normal_forms(known.where(passes("id"))).groupBy("id").agg(F.min("text").alias("text"))
+    return found.mapInArrow(run, linking.SETS) if wide else found
 
 
 def line_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -196,10 +270,14 @@ def line_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     repeat a doc_id with another text are told apart by their text_key; rows that repeat
     both share their verdicts. Rows without doc_id come first.
     """
-    lines = kept(known_lines(docs))
-    found = linking.link(tiles(docs), partial(sets_of, docs), percent, 100, shingles_of, light=True)
+    path = scratch(docs.sparkSession, "lines")
+    lines = stored_lines(docs, path)
+    found = linking.link(
+        tiles(lines), partial(sets_of, lines), percent, 100, check=lambda pairs: similar(pairs, lines, percent)
+    )
     place = ["doc_id", "line", "text_key"]
     named = kept(lines.join(found, "id", "left").select(*place, F.coalesce("component", "id").alias("component")))
+    remove(docs.sparkSession, path)
     first = named.groupBy("component").agg(F.min(F.struct(*place)).alias("first"))
     return named.join(first, "component").select(
         "doc_id", "text_key", "line", "component",

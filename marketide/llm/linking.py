@@ -331,7 +331,7 @@ def passes(bitmap: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 
-def _with_both(pairs: DataFrame, found: DataFrame, *columns: str) -> DataFrame:
+def with_both(pairs: DataFrame, found: DataFrame, *columns: str) -> DataFrame:
     """a, b and these columns of both. Sets may be long, so they are never broadcast."""
     for side in ("a", "b"):
         named = found.select(F.col("id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns])
@@ -339,7 +339,7 @@ def _with_both(pairs: DataFrame, found: DataFrame, *columns: str) -> DataFrame:
     return pairs.select("a", "b", *[f"{c}_{side}" for c in columns for side in ("a", "b")])
 
 
-def _ids(pairs: DataFrame) -> np.ndarray:
+def ids_of(pairs: DataFrame) -> np.ndarray:
     return id_filter(pairs.select(F.explode(F.array("a", "b")).alias("id")))
 
 
@@ -355,7 +355,7 @@ def bounded(pairs: DataFrame, sets: Callable[[np.ndarray], DataFrame], p: int, q
             stay = (size[0] + size[1] - differ) // 2 >= needed(*size, p, q)
             yield batch.select([0, 1]).filter(pa.array(stay))
 
-    return _with_both(pairs, sets(_ids(pairs)), "size", "wide").mapInArrow(run, "a long, b long")
+    return with_both(pairs, sets(ids_of(pairs)), "size", "wide").mapInArrow(run, "a long, b long")
 
 
 def verify(
@@ -377,21 +377,24 @@ def verify(
                 stay.append(q * overlap >= p * (len(x) + len(y) - overlap))
             yield batch.select([0, 1]).filter(pa.array(stay, pa.bool_()))
 
-    return _with_both(pairs, sets(_ids(pairs)), "payload").mapInArrow(run, "a long, b long").distinct()
+    return with_both(pairs, sets(ids_of(pairs)), "payload").mapInArrow(run, "a long, b long").distinct()
 
 
 def link(
     tiles: DataFrame, sets: Callable[[np.ndarray], DataFrame], p: int, q: int,
-    decode: Callable[[bytes], np.ndarray] = elements, light: bool = False,
+    decode: Callable[[bytes], np.ndarray] = elements, check: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """id and component (smallest id reachable by links) of every id that has a link.
 
-    ``light`` says that payloads are hardly larger than wide signatures, so that these
-    are not worth a scan of their own.
+    ``check`` gives the similar ones of some pairs, where payloads are hardly larger than
+    wide signatures, so that these are not worth a scan of their own.
     """
     compared = kept(compare_tiles(tiles, p, q))
     tried = kept(compared.where("kind = 0").select(F.col("id").alias("a"), F.col("other").alias("b")).distinct())
-    links = kept(verify(tried if light else kept(bounded(tried, sets, p, q)), sets, decode, p, q))
+    if check is None:
+        links = kept(verify(kept(bounded(tried, sets, p, q)), sets, decode, p, q))
+    else:
+        links = kept(check(tried))
     found = components(links)
     large = compared.where("kind = 1").select("key", "id", "size", "place", "s0", "s1")
     if large.isEmpty():
@@ -410,7 +413,8 @@ def link(
         pairs = kept(compare_components(wide, p, q, turn).join(tried, ["a", "b"], "left_anti"))
         if pairs.isEmpty():
             continue
-        links = kept(links.union(verify(pairs, lambda _, known=of_large: known, decode, p, q)))
+        more = verify(pairs, lambda _, known=of_large: known, decode, p, q) if check is None else check(pairs)
+        links = kept(links.union(more))
         tried = tried.union(pairs)
         found = components(links)
     return found

@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 
-from marketide.llm import lines, queries
+from marketide.llm import lines, linking, queries
 
 
 def brute(texts, percent=80, size=8):
@@ -99,3 +99,32 @@ def test_two_texts_of_one_doc_id(spark):
     assert got == sorted(expected, key=repr)
     dropped = sorted((r["doc_id"] or 0, r["dropped"]) for r in lines.line_report(docs).collect())
     assert dropped == [(0, []), (0, []), (3, [0]), (5, []), (5, [0]), (5, [0])]
+
+
+def test_sets_of_many_lines_at_once():
+    rng = np.random.default_rng(4)
+    some = ["".join(rng.choice(list("abc \U0001f600"), n)) for n in [*rng.integers(1, 300, 400), 1, 7, 8, 9, 20_000]]
+    values, starts = lines.shingles(some)
+    sets = [np.unique(v) for v in np.split(values, starts[1:])]
+    size, s0, s1 = lines.sizes_and_signatures(some)
+    assert size.tolist() == list(map(len, sets))
+    assert [s0.tolist(), s1.tolist()] == [s.tolist() for s in linking.signatures(sets)]
+    a, b, both = lines.overlaps(some, some[::-1])
+    assert a.tolist() == size.tolist() and b.tolist() == size[::-1].tolist()
+    assert both.tolist() == [len(np.intersect1d(x, y)) for x, y in zip(sets, sets[::-1])]
+
+
+def test_documents_are_read_once(spark, small):
+    """Once for their lines and once for the report, however many rounds the links take."""
+    read = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    docs = small.select("doc_id", "text")
+    counted = docs.mapInArrow(run, docs.schema)
+    expected = sorted(map(repr, lines.line_report(docs).collect()))
+    assert sorted(map(repr, lines.line_report(counted).collect())) == expected
+    assert read.value <= 2 * docs.count()
