@@ -153,12 +153,11 @@ def normal_forms(known: DataFrame) -> DataFrame:
     return known.where("text IS NOT NULL").select("id", "text")
 
 
-def padded_sets(lines: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Which lines, their shingles in the order of values and which of these are the first of their value.
+def padded_sets(values: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Which lines of ``shingles``, their shingles in the order of values and which of these are the first of their value.
 
     Lines of about one length come together, as rows of one table; rows are filled up with copies of their last shingle.
     """
-    values, starts = shingles(lines)
     counts = np.diff(starts, append=len(values))
     order = np.argsort(counts, kind="stable")
     ordered = counts[order]
@@ -178,15 +177,16 @@ def padded_sets(lines: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.n
         lo = hi
 
 
-def sizes_and_signatures(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Size and ``linking.signatures`` of every line's shingle set."""
-    sizes, s0, s1 = np.zeros(len(lines), np.int32), np.zeros(len(lines), np.uint64), np.zeros(len(lines), np.uint64)
-    for rows, table, first in padded_sets(lines):
-        sizes[rows] = first.sum(axis=1)
-        bit = np.left_shift(first.astype(np.uint64), table & np.uint64(63))
-        second = (table & np.uint64(64)) > 0
-        s0[rows] = np.bitwise_xor.reduce(np.where(second, np.uint64(0), bit), axis=1)
-        s1[rows] = np.bitwise_xor.reduce(np.where(second, bit, np.uint64(0)), axis=1)
+def sizes_and_signatures(values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Size and ``linking.signatures`` of the shingle set of every line of ``shingles``."""
+    sizes, s0, s1 = np.zeros(len(starts), np.int32), np.zeros(len(starts), np.uint64), np.zeros(len(starts), np.uint64)
+    for rows, table, first in padded_sets(values, starts):
+        sizes[rows] = np.count_nonzero(first, axis=1)
+        bit = np.left_shift(first.view(np.uint8), table & np.uint64(63))
+        both = np.bitwise_xor.reduce(bit, axis=1)
+        bit *= (table >> np.uint64(6)) & np.uint64(1)
+        s1[rows] = np.bitwise_xor.reduce(bit, axis=1)
+        s0[rows] = both ^ s1[rows]
     return sizes, s0.view(np.int64), s1.view(np.int64)
 
 
@@ -194,7 +194,7 @@ def overlaps(left: list[str], right: list[str]) -> tuple[np.ndarray, np.ndarray,
     """Sizes of the shingle sets of each pair of lines, and how many shingles they share."""
     names = {line: i for i, line in enumerate(dict.fromkeys([*left, *right]))}
     sets: list[np.ndarray] = [np.zeros(0, np.uint64)] * len(names)
-    for rows, table, first in padded_sets(list(names)):
+    for rows, table, first in padded_sets(*shingles(list(names))):
         for i, values, stay in zip(rows.tolist(), table, first):
             sets[i] = values[stay]
     shared = []
@@ -230,8 +230,9 @@ def tiles(known: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, lines in text_batches(batches):
             ids = part.column(0)
-            keys = band_keys(minima(*shingles(lines)))
-            size, s0, s1 = map(pa.array, sizes_and_signatures(lines))
+            values, starts = shingles(lines)
+            keys = band_keys(minima(values, starts))
+            size, s0, s1 = map(pa.array, sizes_and_signatures(values, starts))
             place = pa.array(np.zeros(len(lines), np.int32))
             for band in range(BANDS):
                 yield pa.RecordBatch.from_arrays(
@@ -252,7 +253,7 @@ def sets_of(known: DataFrame, wanted: np.ndarray, wide: bool = True) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, lines in text_batches(batches):
             sets: list[np.ndarray] = [np.zeros(0, np.uint64)] * len(lines)
-            for rows, table, first in padded_sets(lines):
+            for rows, table, first in padded_sets(*shingles(lines)):
                 for i, values, stay in zip(rows.tolist(), table, first):
                     sets[i] = values[stay]
             yield linking.set_rows(part.column(0), sets, [x.encode() for x in lines])
