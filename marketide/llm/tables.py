@@ -9,13 +9,21 @@ from marketide.session import materialise
 
 #: Text that a Python worker has in hand at once; a longer text makes a batch of its own.
 BATCH_BYTES = 400_000
+#: What an executor and a Python worker hand each other at once. Spark's own limits (10,000 rows, 64 MB) let buffers
+#: of texts grow to 128 MB per task on both sides, beside the heap.
+ARROW_BYTES = 4 << 20
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def texts(docs: DataFrame, *more: str) -> DataFrame:
-    """doc_id and text (null as empty), and whatever else is asked for; other columns do not travel."""
+    """doc_id and text (null as empty), and whatever else is asked for; other columns do not travel.
+
+    From here on the session's Arrow batches hold ARROW_BYTES at most.
+    """
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),

@@ -3,13 +3,14 @@
 from collections import Counter
 
 import public_tokenizers
+import pyarrow as pa
 from test_exact import plain
 from test_jaccard import brute
 from test_langid import plain_predict
 
 import __spark_entry__ as entry_point
 import corpus_pipeline
-from marketide.llm import pretokens, queries
+from marketide.llm import pretokens, queries, tables
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -58,3 +59,20 @@ def test_registered():
     names = entry_point.queries()
     assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
     assert "op4_exact_dedup" in entry_point.oracle_sql()
+
+
+def test_texts_reach_python_in_small_batches(spark):
+    """Batches of 10,000 long texts are what took the memory beside an executor's heap."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "64m")
+        docs = spark.range(0, 3000, 1, 1).selectExpr("id AS doc_id", "repeat(cast(id AS string), 2500) AS text")
+        sizes = tables.texts(docs).mapInArrow(
+            lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["rows", "bytes"]) for b in batches),
+            "rows long, bytes long",
+        ).collect()
+    finally:
+        spark.conf.set(name, before)
+    assert sum(r["rows"] for r in sizes) == 3000
+    assert max(r["bytes"] for r in sizes) < tables.ARROW_BYTES + 100_000
