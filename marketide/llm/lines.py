@@ -11,6 +11,7 @@ pairs of different lines are expected to share one.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import partial
 
@@ -41,14 +42,15 @@ _PLACES = _RNG.integers(1, 1 << 62, SHINGLE, np.uint64) * np.uint64(2) + np.uint
 
 
 def normal(line: str) -> str:
+    if line.isascii() and line.isprintable() and "  " not in line:
+        # The only white space are single spaces.
+        return line.lower().strip(" ")
     return " ".join(line.lower().split())
 
 
 def line_ids(lines: list[str]) -> np.ndarray:
-    """A 64-bit hash of every (non-empty) line."""
-    sizes = np.fromiter(map(len, lines), np.int64, len(lines))
-    points = pretokens.code_points("".join(lines))
-    return pretokens.piece_hashes(points, np.cumsum(sizes) - sizes, (1,))[0].view(np.int64)
+    """A 64-bit hash of every line."""
+    return np.frombuffer(b"".join(hashlib.blake2b(x.encode(), digest_size=8).digest() for x in lines), np.int64)
 
 
 def shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -56,11 +58,15 @@ def shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.fromiter(map(len, lines), np.int64, len(lines))
     # Zeros after a line fill up what is short; they are no characters.
     filled = [t + "\0" * (SHINGLE - len(t)) if len(t) < SHINGLE else t for t in lines]
-    points = pretokens.code_points("".join(filled)).astype(np.uint64)
+    points = pretokens.code_points("".join(filled))
     values = np.zeros(max(0, len(points) - SHINGLE + 1), np.uint64)
-    for i in range(SHINGLE):
-        values += points[i:i + len(values)] * _PLACES[i]
-    values = pretokens.mix(values)
+    for lo in range(0, len(values), AT_ONCE >> 2):
+        own = values[lo:lo + (AT_ONCE >> 2)]
+        near = points[lo:lo + len(own) + SHINGLE - 1].astype(np.uint64)
+        term = np.empty_like(own)
+        for i in range(SHINGLE):
+            own += np.multiply(near[i:i + len(own)], _PLACES[i], out=term)
+        own[:] = pretokens.mix(own)
     full = np.maximum(sizes, SHINGLE)
     counts = full - SHINGLE + 1
     starts = np.cumsum(full) - full
@@ -206,8 +212,11 @@ def overlaps(left: list[str], right: list[str]) -> tuple[np.ndarray, np.ndarray,
     return *sizes, np.array(shared, np.int64)
 
 
-def similar(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """``linking.verify`` for lines: the sets of a batch are made together, each once."""
+def similar(pairs: DataFrame, known: DataFrame, percent: int, there: DataFrame | None = None) -> DataFrame:
+    """``linking.verify`` for lines: the sets of a batch are made together, each once.
+
+    ``there``: rows of ``sets_of`` for all ids of the pairs, if there are any already; else ``known`` is read.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -221,7 +230,11 @@ def similar(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
                 yield part.select([0, 1]).filter(pa.array(100 * both >= percent * (a + b - both)))
                 lo = hi
 
-    return linking.with_both(pairs, sets_of(known, linking.ids_of(pairs), False), "text").mapInArrow(run, "a long, b long").distinct()
+    if there is None:
+        found = sets_of(known, linking.ids_of(pairs), False)
+    else:
+        found = there.select("id", F.col("payload").cast("string").alias("text"))
+    return linking.with_both(pairs, found, "text").mapInArrow(run, "a long, b long").distinct()
 
 
 def tiles(known: DataFrame) -> DataFrame:
@@ -274,7 +287,7 @@ def line_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     path = scratch(docs.sparkSession, "lines")
     lines = stored_lines(docs, path)
     found = linking.link(
-        tiles(lines), partial(sets_of, lines), percent, 100, check=lambda pairs: similar(pairs, lines, percent)
+        tiles(lines), partial(sets_of, lines), percent, 100, check=lambda pairs, there: similar(pairs, lines, percent, there)
     )
     place = ["doc_id", "line", "text_key"]
     named = kept(lines.join(found, "id", "left").select(*place, F.coalesce("component", "id").alias("component")))
@@ -313,7 +326,8 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def line_report(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_lines (blank ones too; 0 for a null or empty text) and the dropped line numbers per row."""
-    count = F.when(F.coalesce(F.length("text"), F.lit(0)) > 0, F.size(F.split(F.col("text"), "\n", -1))).otherwise(0)
+    ends = F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit("")))
+    count = F.when(F.coalesce(F.length("text"), F.lit(0)) > 0, ends + 1).otherwise(0)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), count.cast("long").alias("n_lines"), text_key())
     joined = _with_dropped(rows, docs, percent, "doc_id", "text_key", "dropped")
     return joined.select("doc_id", "n_lines", F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))

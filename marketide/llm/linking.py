@@ -99,7 +99,7 @@ def elements(payload: bytes) -> np.ndarray:
 
 
 class Tile:
-    """Columns of tile rows in the order key, size, id."""
+    """Columns of tile rows in the order key, size, id; a key has two rows or more, or one that came repeatedly."""
 
     def __init__(self, columns: list[np.ndarray]) -> None:
         self.columns = columns
@@ -152,26 +152,38 @@ class Tile:
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[Tile]:
-    """Batches cut between keys, each id once per key."""
-    carried: list[np.ndarray] | None = None
+    """Batches in the order of keys, cut between keys, each id once per key. Keys of a single row are left out."""
+    carried: list[list[np.ndarray]] = []
     for batch in batches:
         columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-        if carried is not None:
-            columns = [np.concatenate([a, b]) for a, b in zip(carried, columns)]
         if not len(columns[0]):
             continue
-        cut = int(np.searchsorted(columns[0], columns[0][-1]))
-        carried = [c[cut:] for c in columns]
-        if cut:
-            yield _once([c[:cut] for c in columns])
-    if carried is not None and len(carried[0]):
-        yield _once(carried)
-
-
-def _once(columns: list[np.ndarray]) -> Tile:
-    stay = np.ones(len(columns[0]), bool)
+        last = columns[0][-1]
+        if carried and carried[0][0][0] == last:
+            carried.append(columns)
+            continue
+        cut = int(np.searchsorted(columns[0], last))
+        yield from _once([*carried, [c[:cut] for c in columns]])
+        carried = [[c[cut:] for c in columns]]
+    if carried:
+        yield from _once(carried)
+
+
+def _once(parts: list[list[np.ndarray]]) -> Iterator[Tile]:
+    columns = [np.concatenate(c) for c in zip(*parts)]
+    same = columns[0][1:] == columns[0][:-1]
+    company = np.zeros(len(columns[0]), bool)
+    company[1:] = same
+    company[:-1] |= same
+    if not company.any():
+        return
+    # Most keys have one row, so few rows are left to be ordered.
+    columns = [c[company] for c in columns]
+    order = np.lexsort((columns[1], columns[2], columns[0]))
+    columns = [c[order] for c in columns]
+    stay = np.ones(len(order), bool)
     stay[1:] = (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])
-    return Tile([np.ascontiguousarray(c[stay]) for c in columns])
+    yield Tile([c[stay] for c in columns])
 
 
 def _pairs_batch(a: list[np.ndarray], b: list[np.ndarray], tile: Tile, big: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
@@ -224,7 +236,7 @@ def compare_tiles(tiles: DataFrame, p: int, q: int) -> DataFrame:
             if left or big:
                 yield _pairs_batch(left, right, tile, big, names)
 
-    placed = tiles.repartition("key").sortWithinPartitions("key", "size", "id")
+    placed = tiles.repartition("key").sortWithinPartitions("key")
     schema = "kind byte, other long, key long, id long, size int, place int, s0 long, s1 long"
     return placed.mapInArrow(run, schema)
 
@@ -254,7 +266,7 @@ def compare_all(tiles: DataFrame, p: int, q: int) -> DataFrame:
             if waiting:
                 yield _ordered_pairs(left, right)
 
-    placed = tiles.repartition("key").sortWithinPartitions("key", "size", "id")
+    placed = tiles.repartition("key").sortWithinPartitions("key")
     return placed.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -306,7 +318,7 @@ def compare_components(rows: DataFrame, p: int, q: int, turn: int | None = None)
                         a, b = tile.id[a[hit]], tile.id[b[hit]]
                         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
-    placed = rows.repartition("key").sortWithinPartitions("key", "size", "id")
+    placed = rows.repartition("key").sortWithinPartitions("key")
     return placed.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -382,24 +394,26 @@ def verify(
 
 def link(
     tiles: DataFrame, sets: Callable[[np.ndarray], DataFrame], p: int, q: int,
-    decode: Callable[[bytes], np.ndarray] = elements, check: Callable[[DataFrame], DataFrame] | None = None,
+    decode: Callable[[bytes], np.ndarray] = elements, check: Callable[[DataFrame, DataFrame | None], DataFrame] | None = None,
 ) -> DataFrame:
     """id and component (smallest id reachable by links) of every id that has a link.
 
     ``check`` gives the similar ones of some pairs, where payloads are hardly larger than
-    wide signatures, so that these are not worth a scan of their own.
+    wide signatures, so that these are not worth a scan of their own. Next to the pairs it
+    gets SETS of all their ids, if these are there already.
     """
     compared = kept(compare_tiles(tiles, p, q))
     tried = kept(compared.where("kind = 0").select(F.col("id").alias("a"), F.col("other").alias("b")).distinct())
     if check is None:
         links = kept(verify(kept(bounded(tried, sets, p, q)), sets, decode, p, q))
     else:
-        links = kept(check(tried))
+        links = kept(check(tried, None))
     found = components(links)
     large = compared.where("kind = 1").select("key", "id", "size", "place", "s0", "s1")
     if large.isEmpty():
         return found
     # A few partners in turn join most of a large group; then all that is still apart is compared.
+    of_large = None
     for turn in (*range(TURNS), None):
         labelled = kept(large.join(found, "id", "left").withColumn("component", F.coalesce("component", "id")))
         # Tiles that hang together are done; only rows of the others bring their wide signatures.
@@ -408,12 +422,14 @@ def link(
         rows = kept(labelled.join(open_keys, "key", "left_semi"))
         if rows.isEmpty():
             break
-        of_large = kept(sets(id_filter(rows)).join(rows.select("id").distinct(), "id", "left_semi"))
+        if of_large is None:
+            # Tiles that are open in a later turn were so in the first: its sets are all that is needed.
+            of_large = kept(sets(id_filter(rows)).join(rows.select("id").distinct(), "id", "left_semi"))
         wide = rows.join(of_large.select("id", "wide"), "id").select(*large.columns, "component", "wide")
         pairs = kept(compare_components(wide, p, q, turn).join(tried, ["a", "b"], "left_anti"))
         if pairs.isEmpty():
             continue
-        more = verify(pairs, lambda _, known=of_large: known, decode, p, q) if check is None else check(pairs)
+        more = verify(pairs, lambda _, known=of_large: known, decode, p, q) if check is None else check(pairs, of_large)
         links = kept(links.union(more))
         tried = tried.union(pairs)
         found = components(links)

@@ -3,6 +3,7 @@
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 from marketide.llm import lines, linking, queries
 
@@ -128,3 +129,42 @@ def test_documents_are_read_once(spark, small):
     expected = sorted(map(repr, lines.line_report(docs).collect()))
     assert sorted(map(repr, lines.line_report(counted).collect())) == expected
     assert read.value <= 2 * docs.count()
+
+
+def test_normal_form():
+    rng = np.random.default_rng(6)
+    letters = list("aB  \t\x1c\x85\u3000\u03a3\u03c3\u00e9\x00\x7f")
+    for n in rng.integers(0, 9, 20_000):
+        line = "".join(rng.choice(letters, n))
+        assert lines.normal(line) == " ".join(line.lower().split())
+
+
+def test_a_large_group_is_scanned_for_once(spark, monkeypatch):
+    """Texts are read for the first links and for the large tiles, however many turns these take."""
+    calls = []
+    sets_of = lines.sets_of
+    monkeypatch.setattr(lines, "sets_of", lambda *a: (calls.append(a), sets_of(*a))[1])
+    # A chain whose neighbours are similar and whose ends are not, so that turns find what is still apart.
+    rng = np.random.default_rng(8)
+    line, texts = list(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 400)), []
+    for i in range(300):
+        line[i] = "#"
+        texts.append((i, "".join(line)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    gone = {(r["doc_id"], j) for r in lines.line_report(docs).collect() for j in r["dropped"]}
+    assert gone == brute(dict(texts))
+    assert len(calls) <= 2
+
+
+def test_tiles_are_ordered_and_single_rows_left_out():
+    """Rows come by key alone, and a key may go over several batches."""
+    rng = np.random.default_rng(9)
+    key = np.sort(np.concatenate([rng.integers(0, 500, 300), np.full(700, 250), np.arange(1000, 1400)]))
+    columns = [key, rng.integers(0, 400, len(key)), rng.integers(1, 9, len(key)).astype(np.int32), key.astype(np.int32), key, key]
+    columns[2] = (columns[1] % 7).astype(np.int32)  # a set has one size
+    names = ["key", "id", "size", "place", "s0", "s1"]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c[i:i + 90]) for c in columns], names) for i in range(0, len(key), 90)]
+    got = [row for tile in linking._runs(iter(batches)) for row in zip(tile.key.tolist(), tile.size.tolist(), tile.id.tolist())]
+    rows = sorted(set(zip(key.tolist(), columns[2].tolist(), columns[1].tolist())))
+    counts = Counter(key.tolist())
+    assert got == [r for r in rows if counts[r[0]] > 1]
